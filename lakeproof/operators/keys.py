@@ -167,3 +167,19 @@ def orphan_keys(frames: Mapping[str, DataFrame], edge: Edge) -> DataFrame:
 def orphan_examples(frames: Mapping[str, DataFrame], edge: Edge, n: int = 3) -> DataFrame:
     """The first orphan keys in key order."""
     return orphan_keys(frames, edge).orderBy(*_names(len(edge[1]))).limit(n)
+
+
+def join_fanout(frames: Mapping[str, DataFrame], edges: Sequence[Edge]) -> DataFrame:
+    """(edge, rows_before, rows_after): child rows, and rows of the inner join.
+
+    The join's size follows from the counts per key; the join is never run.
+    """
+    shapes = [_edge_shape(frames, e) for e in edges]
+    found = []
+    for group in _by_shape(shapes):
+        shape = shapes[group[0]]
+        per_key = _key_counts(frames, {i: edges[i] for i in group}, shape)
+        matched = F.when(all_present(_names(len(shape))), F.col("refs") * F.col("targets"))
+        found.append(per_key.groupBy("test").agg(F.sum("refs").alias("rows_before"), F.sum(matched).alias("rows_after")))
+    tests = [(i, spell_edge(e)) for i, e in enumerate(edges)]
+    return _every_test(frames, tests, "test int, edge string", found, ("rows_before", "rows_after"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeproof.functions import text, typing
 from lakeproof.operators import edges as rel
@@ -45,7 +45,9 @@ KNOWN_GAPS = (
     "Whether a source NULL was an empty string: the extract spells both the same way.",
 )
 
-_COLUMN = F.concat_ws(".", "table_name", "column_name")
+
+def _column() -> Column:
+    return F.concat_ws(".", "table_name", "column_name")
 
 
 def _metric(frame: DataFrame, metric: str, value: str) -> DataFrame:
@@ -78,7 +80,7 @@ def known_baseline(lake: DataFrame, known: Mapping[str, int]) -> DataFrame:
 
 def _same_metric(check: str, source: DataFrame, lake: DataFrame, metric: str) -> DataFrame:
     sides = reconcile(source.where(F.col("metric") == metric), lake.where(F.col("metric") == metric))
-    subject = F.col("table_name") if metric == profile.ROWS else _COLUMN
+    subject = F.col("table_name") if metric == profile.ROWS else _column()
     return assertions(sides, check, subject, plain(F.col("left_value")), plain(F.col("right_value")))
 
 
@@ -92,7 +94,7 @@ def types(catalog: DataFrame, stored: DataFrame) -> DataFrame:
     wanted = F.when(
         F.col("sql_type").isNotNull(), typing.expected_type(F.col("sql_type"), F.col("precision"), F.col("scale"))
     )
-    return assertions(both, "types", _COLUMN, wanted, F.col("stored_type"))
+    return assertions(both, "types", _column(), wanted, F.col("stored_type"))
 
 
 def golden_frame(spark: SparkSession) -> DataFrame:
@@ -118,10 +120,10 @@ def type_mapping(spark: SparkSession, catalog: DataFrame) -> DataFrame:
 def nullability_flags(catalog: DataFrame, stored: DataFrame, lake: DataFrame) -> DataFrame:
     """Required exactly where NOT NULL is pinned, and no NULL stored there."""
     both = catalog.join(stored, ["table_name", "column_name"], "full_outer")
-    flags = assertions(both, "nullability_flags", _COLUMN, ~F.col("nullable"), F.col("required"))
+    flags = assertions(both, "nullability_flags", _column(), ~F.col("nullable"), F.col("required"))
     nulls = catalog.where(~F.col("nullable")).join(_metric(lake, "nulls", "n"), ["table_name", "column_name"], "left")
     return flags.unionAll(
-        assertions(nulls, "nullability_flags", F.concat(_COLUMN, F.lit(" nulls")), F.lit("0"), plain(F.col("n")))
+        assertions(nulls, "nullability_flags", F.concat(_column(), F.lit(" nulls")), F.lit("0"), plain(F.col("n")))
     )
 
 
@@ -161,7 +163,7 @@ def null_reconciliation(source: DataFrame, lake: DataFrame, catalog: DataFrame)
         .join(_metric(source, "empties", "source_empties"), ["table_name", "column_name"], "left")
         .join(_metric(lake, "nulls", "lake_nulls"), ["table_name", "column_name"], "left")
     )
-    return assertions(both, "null_reconciliation", _COLUMN, plain(F.col("source_empties")), plain(F.col("lake_nulls")))
+    return assertions(both, "null_reconciliation", _column(), plain(F.col("source_empties")), plain(F.col("lake_nulls")))
 
 
 def source_values(source: DataFrame, lake: DataFrame) -> DataFrame:
@@ -170,7 +172,7 @@ def source_values(source: DataFrame, lake: DataFrame) -> DataFrame:
     tokens = reconcile(source.where(is_token), lake.where(is_token))
     left, right = F.coalesce("left_value", F.lit(0)), F.coalesce("right_value", F.lit(0))
     seen = tokens.where((left > 0) | (right > 0))
-    token = F.concat(_COLUMN, F.lit(" "), F.substring_index("metric", ":", -1))
+    token = F.concat(_column(), F.lit(" "), F.substring_index("metric", ":", -1))
     out = assertions(seen, "source_values", token, plain(left), plain(right))
     nul = (
         _metric(source, "nul_only", "source_nul")
@@ -179,10 +181,10 @@ def source_values(source: DataFrame, lake: DataFrame) -> DataFrame:
     )
     left_over = _metric(lake, "nul_bytes", "lake_nul").where("lake_nul > 0")
     out = out.unionAll(
-        assertions(nul, "source_values", F.concat(_COLUMN, F.lit(" NUL")), plain(F.col("source_nul")), plain(F.col("lake_empties")))
+        assertions(nul, "source_values", F.concat(_column(), F.lit(" NUL")), plain(F.col("source_nul")), plain(F.col("lake_empties")))
     )
     return out.unionAll(
-        assertions(left_over, "source_values", F.concat(_COLUMN, F.lit(" NUL bytes")), F.lit("0"), plain(F.col("lake_nul")))
+        assertions(left_over, "source_values", F.concat(_column(), F.lit(" NUL bytes")), F.lit("0"), plain(F.col("lake_nul")))
     )
 
 
@@ -260,7 +262,7 @@ def referential_integrity(audit: DataFrame, classified: DataFrame) -> DataFrame:
     edges = assertions(audit, "referential_integrity", F.col("edge"), zero, found)
     strays = classified.where(F.col("kind") == "unclassified")
     return edges.unionAll(
-        assertions(strays, "referential_integrity", _COLUMN, F.lit("classified"), F.col("kind"))
+        assertions(strays, "referential_integrity", _column(), F.lit("classified"), F.col("kind"))
     )
 
 
