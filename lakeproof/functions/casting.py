@@ -24,27 +24,34 @@ _NEUTRAL = {
 }
 
 
+def _exact(text: str, to: T.DecimalType) -> str:
+    """Whether a number's text fits the scale: by its length, or by comparing wider."""
+    plain = f"NOT contains({text}, 'E') AND NOT contains({text}, 'e')"
+    short = f"{plain} AND (instr({text}, '.') = 0 OR length({text}) - instr({text}, '.') <= {to.scale})"
+    widest = 38 - (to.precision - to.scale)
+    same = f"try_cast({text} AS DECIMAL(38,{widest})) = try_cast({text} AS {to.simpleString()})"
+    return f"({short}) OR {same}"
+
+
 def strict_cast(text: str, to: T.DataType, label: str) -> str:
     """Cast text to ``to``; NULL stays NULL, anything unparsable raises.
 
     Holds with ANSI mode on or off. Decimals must fit their scale exactly, dates
-    must be written in full, timestamps need a date and a time of day.
+    must be written in full, timestamps need a date and a time of day. ``text``
+    should be a column: it is repeated, the cast is not.
     """
     if isinstance(to, T.StringType):
         return text
     of = to.simpleString()
     typed = f"try_cast({text} AS {of})"
-    accepted = f"{typed} IS NOT NULL"
-    if isinstance(to, T.DecimalType):
-        widest = 38 - (to.precision - to.scale)
-        if widest > to.scale:
-            accepted += f" AND try_cast({text} AS DECIMAL(38,{widest})) = {typed}"
+    if isinstance(to, T.DecimalType) and 38 - (to.precision - to.scale) > to.scale:
+        typed = f"if({_exact(text, to)}, {typed}, NULL)"
     elif isinstance(to, T.DateType):
-        accepted += f" AND CAST({typed} AS STRING) = {text}"
+        typed = f"if(length(trim({text})) = 10, {typed}, NULL)"
     elif isinstance(to, (T.TimestampType, T.TimestampNTZType)):
-        accepted += f" AND length({text}) >= 16"
+        typed = f"if(length({text}) >= 16, {typed}, NULL)"
     refused = f"CAST(raise_error(concat({literal(f'{label}: not a {of}: ')}, {text})) AS {of})"
-    return f"CASE WHEN {text} IS NULL THEN NULL WHEN {accepted} THEN {typed} ELSE {refused} END"
+    return f"coalesce({typed}, if({text} IS NULL, NULL, {refused}))"
 
 
 def not_null(value: str, of: T.DataType, label: str) -> str:

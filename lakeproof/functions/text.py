@@ -22,7 +22,7 @@ def snake_case(name: Column) -> Column:
 
 def strip_nul(value: str) -> str:
     """Remove NUL bytes; a NUL-only value becomes '', NULL stays NULL."""
-    return f"translate({value}, char(0), '')"
+    return f"replace({value}, char(0), '')"
 
 
 def empty_to_null(value: str) -> str:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakeproof.operators import keys
-from lakeproof.session import materialise
+from lakeproof.operators import joins, keys
+from lakeproof.session import remove, write_scratch
 
 
 def parents_of(df: DataFrame, key: str, parent: str) -> DataFrame:
@@ -39,7 +39,7 @@ def dangling_parents(df: DataFrame, key: str, parent: str) -> DataFrame:
     )
 
 
-def cycle_starts(df: DataFrame, key: str, parent: str) -> DataFrame:
+def cycle_starts(df: DataFrame, key: str, parent: str, hot_rows: int = joins.HOT_ROWS) -> DataFrame:
     """(node): every node whose chain of parents never ends.
 
     Pointer doubling. After round k the state holds the nodes with at least
@@ -50,18 +50,23 @@ def cycle_starts(df: DataFrame, key: str, parent: str) -> DataFrame:
     all remaining nodes lead into a cycle. The rounds needed grow with the
     logarithm of the longest chain, not with the table.
 
-    Many nodes may share an ancestor. Only the left side can be skewed, the
-    right side has one row per node, and AQE splits such a join.
+    Each round is written to the shared scratch folder, and the one before it
+    is deleted. Many nodes may share an ancestor; such hot ancestors are looked
+    up without a shuffle.
     """
-    state = materialise(
-        parents_of(df, key, parent).where(F.col("parent").isNotNull()).withColumnRenamed("parent", "hop"),
-        "hops",
-    )
+    spark = df.sparkSession
+    first = parents_of(df, key, parent).where(F.col("parent").isNotNull()).withColumnRenamed("parent", "hop")
+    path = write_scratch(first, "hops")
+    state = spark.read.schema(first.schema).parquet(path)
     alive = state.count()
     while alive:
         far = state.select(F.col("node").alias("hop"), F.col("hop").alias("next"))
-        state = materialise(state.join(far, "hop").select("node", F.col("next").alias("hop")), "hops")
-        left, alive = alive, state.count()
-        if alive == left:
+        doubled = joins.lookup(state, far, "hop", alive, hot_rows).select("node", F.col("next").alias("hop"))
+        longer = write_scratch(doubled, "hops")
+        remove(spark, path)
+        path, before = longer, alive
+        state = spark.read.schema(first.schema).parquet(path)
+        alive = state.count()
+        if alive == before:
             break
     return state.select("node")

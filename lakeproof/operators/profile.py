@@ -172,31 +172,30 @@ def lake_profile(df: DataFrame, table: str, side: str = "lake") -> DataFrame:
     return long_profile(with_hashes(df), side, table, metrics + digest_metrics(df.columns))
 
 
-def source_profile(raw: DataFrame, spec: TableSpec, side: str = "source") -> DataFrame:
+def source_profile(fields: DataFrame, spec: TableSpec, side: str = "source") -> DataFrame:
     """Everything the checks ask of an extract, in one parse of its text.
 
-    Counts come from the raw text, where an empty field is just empty. Sums and
-    digests come from the same row's values under the pinned types.
+    Counts come from the fields' text, where NULL is an empty field and nothing
+    else. Sums and digests come from the same row's values under the pinned
+    types.
     """
-    field = {c.name: f"_text_{c.name}" for c in spec.kept}
-    both = raw.selectExpr(
+    written = {c.name: f"_text_{c.name}" for c in spec.kept}
+    both = fields.selectExpr(
         *specs.projection({c.name: specs.typed(spec, c, name(c.name)) for c in spec.kept}),
-        *specs.projection({field[c.name]: name(c.name) for c in spec.kept}),
+        *specs.projection({written[c.name]: name(c.name) for c in spec.kept}),
     )
     hashes = {_hash_name(c.name): value_hash(name(c.name), c.stored) for c in spec.kept}
     hashed = both.selectExpr("*", *specs.projection(hashes))
     metrics: list[Metric] = []
     for c in spec.kept:
-        written = name(field[c.name])
-        metrics += [_count(c.name, "empties", f"{written} = ''"), _count(c.name, "nul_only", f"{written} = char(0)")]
+        as_written = name(written[c.name])
+        metrics += [_count(c.name, "empties", f"{as_written} IS NULL"), _count(c.name, "nul_only", f"{as_written} = char(0)")]
         if is_text(c.stored):
-            metrics += [_count(c.name, f"token:{t}", f"{written} = {literal(t)}") for t in text.WATCHED_TOKENS]
+            metrics += [_count(c.name, f"token:{t}", f"{as_written} = {literal(t)}") for t in text.WATCHED_TOKENS]
         if isinstance(c.stored, T.DecimalType):
             # The written number itself, wider than its stored form.
             scale = min(38 - (c.stored.precision - c.stored.scale), c.stored.scale + 4)
-            metrics.append(
-                Metric(c.name, "sum", (f"coalesce(sum(CAST({text.empty_to_null(written)} AS DECIMAL(38,{scale}))), 0)",))
-            )
+            metrics.append(Metric(c.name, "sum", (f"coalesce(sum(CAST({as_written} AS DECIMAL(38,{scale}))), 0)",)))
     return long_profile(hashed, side, spec.table, metrics + digest_metrics(c.name for c in spec.kept))
 
 

@@ -30,21 +30,37 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column
     return ranked.where(F.col("_n") <= n).drop("_n")
 
 
+def row_differences(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key columns, l, r): the cells of rows the two sides do not share.
+
+    Equal rows cancel out in one aggregation over whole rows, before anything
+    is paired, so a key that repeats does not multiply. What is left is paired
+    per key; where a key keeps several rows on a side, its smallest stands for
+    them. A side without a row for the key has NULL there.
+    """
+    cells = [c for c in left.columns if c not in key]
+    sides = left.select(*key, F.struct(*cells).alias("cells"), F.lit(1).alias("side")).unionAll(
+        right.select(*key, F.struct(*cells).alias("cells"), F.lit(-1).alias("side"))
+    )
+    surplus = sides.groupBy(*key, "cells").agg(F.sum("side").alias("surplus")).where("surplus <> 0")
+    return surplus.groupBy(*key).agg(
+        F.min(F.when(F.col("surplus") > 0, F.col("cells"))).alias("l"),
+        F.min(F.when(F.col("surplus") < 0, F.col("cells"))).alias("r"),
+    )
+
+
 def cell_differences(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """(key columns, column_name, left_value, right_value) for each differing cell.
 
     Rows meet on their key, as files have no stable order; a row that only one
     side has shows up under ``(row)``. Only differing cells leave the row.
     """
-    cells = [c for c in left.columns if c not in key]
-    a = left.select(*key, F.struct(*cells).alias("l"))
-    b = right.select(*key, F.struct(*cells).alias("r"))
-    joined = a.join(b, list(key), "full_outer")
+    paired = row_differences(left, right, key)
+    here, there = F.col("l").isNotNull(), F.col("r").isNotNull()
 
     def cell(name: str, l: Column, r: Column, differs: Column) -> Column:
         return F.when(differs, F.struct(F.lit(name).alias("column_name"), l.alias("left_value"), r.alias("right_value")))
 
-    here, there = F.col("l").isNotNull(), F.col("r").isNotNull()
     presence = cell(
         "(row)",
         F.when(here, F.lit("present")).otherwise("absent"),
@@ -58,9 +74,10 @@ def cell_differences(left: DataFrame, right: DataFrame, key: Sequence[str]) -> D
             F.col(f"r.`{c}`").cast("string"),
             here & there & ~F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")),
         )
-        for c in cells
+        for c in left.columns
+        if c not in key
     ]
-    return joined.select(*key, F.inline(F.array_compact(F.array(presence, *compared))))
+    return paired.select(*key, F.inline(F.array_compact(F.array(presence, *compared))))
 
 
 def diff_sample(left: DataFrame, right: DataFrame, key: Sequence[str], n: int = 2) -> DataFrame:

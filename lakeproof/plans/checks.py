@@ -206,6 +206,7 @@ def primary_keys(frames: Mapping[str, DataFrame], of: Sequence[tuple[str, Sequen
 
 def foreign_key_oracle(
     catalog: DataFrame,
+    classified: DataFrame,
     declared: DataFrame | None,
     curated: DataFrame,
     known: Mapping[str, int],
@@ -215,8 +216,6 @@ def foreign_key_oracle(
     Without a declared set only the curated edges can be tested against the
     derived ones.
     """
-    spark = catalog.sparkSession
-    classified = rel.classify_keys(catalog)
     derived, hierarchies = rel.derived_edges(classified), rel.hierarchy_edges(classified)
     others = [derived, hierarchies] + ([declared] if declared is not None else [])
     redundant = rel.not_minimal(curated, *others).select(rel.spelled().alias("edge"), "reason")

@@ -15,7 +15,7 @@ from lakeproof.plans.queries_ingest import planted_extract
 from lakeproof.plans.queries_keys import ALL_EDGES, _tables, edge_sql, stray_frames
 from lakeproof.plans.queries_profile import kept_frames
 from lakeproof.plans.registry import over, query, rows_sql
-from lakeproof.session import local_frame, materialise, new_scratch
+from lakeproof.session import materialise, new_scratch, settle
 from lakeproof.sources import delimited, lake, specs
 
 
@@ -101,8 +101,8 @@ def check_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def check_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows parsed from every extract against rows stored."""
-    source = materialise(
-        union_all(profile.long_profile(staging.raw(spark, sf_dir, t), "source", t, []) for t in _ALL), "source-rows"
+    source = settle(
+        union_all(profile.long_profile(staging.raw(spark, sf_dir, t), "source", t, []) for t in _ALL)
     )
 
     def side(lossy: bool) -> DataFrame:
@@ -276,13 +276,13 @@ def _sides(
     for t, defect in in_source.items():
         spec = _relaxed(t)
         path = planted_extract(spark, sf_dir, t, defect) if defect else staging.extract(spark, sf_dir, t)
-        raw = delimited.text_columns(spark, path, spec)
+        raw = delimited.fields(spark, path, spec)
         source.append(profile.source_profile(raw, spec))
         loaded = materialise(delimited.pin(raw, spec), f"loaded-{t}")
         clean.append(profile.lake_profile(loaded, t))
         bad = planted.plant(loaded, in_lake.get(t, {}))
         faulty.append(profile.lake_profile(bad, t))
-    return tuple(materialise(union_all(parts), "side") for parts in (source, clean, faulty))
+    return tuple(settle(union_all(parts)) for parts in (source, clean, faulty))
 
 
 def _texts(*tables: str) -> int:
@@ -426,11 +426,12 @@ def check_edge_oracle(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A reversed edge and edges to nowhere are declared; the curated list repeats
     # itself and what is declared.
     wrong = star.DECLARED + (_REVERSED,) + _BROKEN
+    classified = rel.classify_keys(columns)
     clean = checks.foreign_key_oracle(
-        columns, rel.edge_frame(spark, star.DECLARED), rel.edge_frame(spark, star.CURATED), known
+        columns, classified, rel.edge_frame(spark, star.DECLARED), rel.edge_frame(spark, star.CURATED), known
     )
     faulty = checks.foreign_key_oracle(
-        columns, rel.edge_frame(spark, wrong), rel.edge_frame(spark, _LISTED), known
+        columns, classified, rel.edge_frame(spark, wrong), rel.edge_frame(spark, _LISTED), known
     )
     compared = evidence(spark, sf_dir, star.DECLARED + star.CURATED).agg(F.sum("compared").alias("compared"))
     of_check = compared.select(F.lit("foreign_key_oracle").alias("check_name"), "compared")

@@ -95,7 +95,7 @@ def derive_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified.join(filled, ["table_name", "column_name"])
 
 
-_OWN = [(t, c) for t, c, kind, *_ in _KINDS if kind == "own key"]
+_OWN = [(t, c) for t, c, kind, *_ in _KINDS if kind == "own key" and c not in _EVENT_KEYS]
 
 
 @query(

@@ -40,6 +40,7 @@ def extract(spark: SparkSession, sf_dir: str, table: str) -> str:
 
 
 def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The extract's fields as text, empties as ''."""
     return delimited.text_columns(spark, extract(spark, sf_dir, table), star.SPECS[table])
 
 

@@ -8,7 +8,7 @@ and ``STAR_SQL`` states the same projections in SQL for the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from lakeproof.operators.keys import Edge
 from lakeproof.sources.specs import PinnedColumn, TableSpec, projection
@@ -36,7 +36,7 @@ PHYSICAL = {
 
 def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A test table under its known schema; nothing is inferred."""
-    return spark.read.schema(T.StructType.fromDDL(PHYSICAL[table])).parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(PHYSICAL[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 # table -> source table name, multi-line text, columns as "Name type[!]"; ! is NOT NULL.

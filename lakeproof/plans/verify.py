@@ -1,14 +1,16 @@
 """The whole verification: extracts on one side, stored tables on the other.
 
-Each extract is parsed once and each stored table scanned once for its profile;
-the profiles are small and written down. Keys, edges and hierarchies then read
-only the key columns.
+Each extract is parsed once and each stored table scanned once for its profile.
+Profiles, audits and assertions have a row per column, edge or check; they are
+kept as local relations. Keys, edges and hierarchies read only the key columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +18,7 @@ from lakeproof.operators import assertions, keys, profile
 from lakeproof.operators import edges as rel
 from lakeproof.operators.keys import Edge
 from lakeproof.plans import checks
-from lakeproof.session import materialise
+from lakeproof.session import local_frame, settle, settle_all
 from lakeproof.sources import delimited, lake, specs
 from lakeproof.sources.specs import TableSpec
 
@@ -39,30 +41,27 @@ class Verification:
 
     def __init__(self, spark: SparkSession, of: Dataset):
         self.spark, self.of = spark, of
-        self.frames = {
-            t: spark.read.schema(s.stored_schema).parquet(of.stored[t]) for t, s in of.specs.items()
-        }
+        self.frames = {t: self._read(t, of.stored[t]) for t in of.specs}
         self.catalog = specs.kept_columns(specs.column_catalog(spark, list(of.specs.values())))
-        self.classified = rel.classify_keys(self.catalog)
-        self._made: dict[str, DataFrame] = {}
-
-    def _once(self, what: str, make) -> DataFrame:
-        if what not in self._made:
-            self._made[what] = materialise(make(), what)
-        return self._made[what]
 
-    @property
-    def profiles(self) -> DataFrame:
-        """Both sides in one job, so that small tables run beside large ones."""
+    def _read(self, table: str, path: str) -> DataFrame:
+        """A stored table as it lies there, without the guard."""
+        return self.spark.read.schema(self.of.specs[table].stored_schema).parquet(path)
 
-        def make() -> DataFrame:
-            source = [
-                profile.source_profile(delimited.text_columns(self.spark, self.of.extracts[t], s), s)
-                for t, s in self.of.specs.items()
-            ]
-            return profile.union_all(source + [profile.lake_profile(df, t) for t, df in self.frames.items()])
+    @cached_property
+    def classified(self) -> DataFrame:
+        """One row per key column: metadata, kept as a local relation."""
+        return settle(rel.classify_keys(self.catalog))
 
-        return self._once("profiles", make)
+    @cached_property
+    def profiles(self) -> DataFrame:
+        """One parse of every extract and one scan of every stored table."""
+        source = [
+            lambda t=t, s=s: profile.source_profile(delimited.fields(self.spark, self.of.extracts[t], s), s)
+            for t, s in self.of.specs.items()
+        ]
+        stored = [lambda t=t, df=df: profile.lake_profile(df, t) for t, df in self.frames.items()]
+        return profile.union_all(settle_all(source + stored))
 
     @property
     def source(self) -> DataFrame:
@@ -72,7 +71,7 @@ class Verification:
     def lake(self) -> DataFrame:
         return self.profiles.where("side = 'lake'")
 
-    @property
+    @cached_property
     def stored(self) -> DataFrame:
         return specs.stored_catalog(
             self.spark, {t: lake.stored_schema(self.spark, p) for t, p in self.of.stored.items()}
@@ -84,37 +83,32 @@ class Verification:
             sets.append(rel.edge_frame(self.spark, self.of.declared))
         return rel.edge_list(rel.edge_union(*sets))
 
-    @property
+    @cached_property
     def audit(self) -> DataFrame:
-        return self._once("audit", lambda: keys.edge_audit(self.frames, self.edges()))
+        return settle(keys.edge_audit(self.frames, self.edges()))
 
     def _enforced(self) -> DataFrame:
-        """The guard on a whole NOT NULL column, and on the same column without its smallest value."""
-        spec, column = next(
-            (s, c) for s in self.of.specs.values() for c in s.kept if not c.nullable and s.table in self.frames
-        )
+        """The guard on a whole NOT NULL column, as it is and with every value missing."""
+        spec, column = next((s, c) for s in self.of.specs.values() for c in s.kept if not c.nullable)
         df = self.frames[spec.table]
         value = specs.quoted(column.name)
-        clean = df.selectExpr(f"{specs.guarded(spec, column, value)} AS {value}")
         nothing = f"CAST(NULL AS {column.stored.simpleString()})"
-        dirty = df.selectExpr(f"{specs.guarded(spec, column, nothing)} AS {value}")
+        clean, dirty = (
+            df.selectExpr(f"{specs.guarded(spec, column, v)} AS {value}") for v in (value, nothing)
+        )
         return checks.nullability_enforced(self.spark, clean, dirty, column.name)
 
     def _copies(self) -> DataFrame:
-        expected = profile.row_counts(self.frames)
-
         def reader(paths: Mapping[str, str]):
-            return lambda: profile.row_counts({t: self.spark.read.parquet(p) for t, p in paths.items()})
+            return lambda: profile.row_counts({t: self._read(t, p) for t, p in paths.items()})
 
+        expected = profile.row_counts(self.frames)
         return checks.copies_agree({name: reader(paths) for name, paths in self.of.copies.items()}, expected)
 
-    def assertions(self, names: Sequence[str] = checks.NAMES) -> DataFrame:
-        """The selected checks' assertions; an unknown name is an error."""
-        unknown = sorted(set(names) - set(checks.NAMES))
-        if unknown:
-            raise ValueError(f"unknown check(s): {', '.join(unknown)}")
+    def _builders(self) -> dict[str, Callable[[], DataFrame]]:
         declared = None if self.of.declared is None else rel.edge_frame(self.spark, self.of.declared)
-        of = {
+        curated = rel.edge_frame(self.spark, self.of.curated)
+        return {
             "known_baseline": lambda: checks.known_baseline(self.lake, self.of.known),
             "row_counts": lambda: checks.row_counts(self.source, self.lake),
             "types": lambda: checks.types(self.catalog, self.stored),
@@ -128,7 +122,7 @@ class Verification:
                 self.frames, [(r.table_name, (r.column_name,)) for r in rel.primary_keys(self.catalog).collect()]
             ),
             "foreign_key_oracle": lambda: checks.foreign_key_oracle(
-                self.catalog, declared, rel.edge_frame(self.spark, self.of.curated), self.of.known
+                self.catalog, self.classified, declared, curated, self.of.known
             ),
             "referential_integrity": lambda: checks.referential_integrity(self.audit, self.classified),
             "hierarchies": lambda: checks.hierarchies(
@@ -137,15 +131,49 @@ class Verification:
             "decimal_exactness": lambda: checks.decimal_exactness(self.source, self.lake),
             "copies_agree": self._copies,
         }
-        found = []
-        for name in names:
+
+    def assertions(self, names: Sequence[str] = checks.NAMES, parallel: int = 8) -> DataFrame:
+        """The selected checks' assertions; an unknown name is an error.
+
+        A check that cannot run is a failed check, not a crash.
+        """
+        unknown = sorted(set(names) - set(checks.NAMES))
+        if unknown:
+            raise ValueError(f"unknown check(s): {', '.join(unknown)}")
+        builders = self._builders()
+
+        def run(name: str) -> DataFrame:
             try:
-                found.append(of[name]())
-            except Exception as exc:  # a broken check is a failure, not a crash
-                found.append(
-                    assertions.stated(self.spark, name, [("the check itself", "runs", f"{type(exc).__name__}: {exc}", False)])
-                )
-        return materialise(assertions.all_of(found), "assertions")
+                return settle(builders[name]())
+            except Exception as exc:
+                reason = f"{type(exc).__name__}: {str(exc).splitlines()[0]}"
+                return assertions.stated(self.spark, name, [("the check itself", "runs", reason, False)])
+
+        # Shared measurements first, side by side; the checks then only read them.
+        _ = self.classified
+        with ThreadPoolExecutor(parallel) as pool:
+            if set(names) & _PROFILED:
+                pool.submit(lambda: self.profiles)
+            if "referential_integrity" in names:
+                pool.submit(lambda: self.audit)
+            own = {n: pool.submit(run, n) for n in names if n not in _PROFILED and n != "referential_integrity"}
+            own = {n: f.result() for n, f in own.items()}
+        with ThreadPoolExecutor(parallel) as pool:
+            rest = [n for n in names if n not in own]
+            own |= dict(zip(rest, pool.map(run, rest)))
+        return assertions.all_of([own[n] for n in names])
+
+
+# Checks that read the profiles.
+_PROFILED = {
+    "known_baseline",
+    "row_counts",
+    "nullability_flags",
+    "null_reconciliation",
+    "source_values",
+    "value_digests",
+    "decimal_exactness",
+}
 
 
 def report(found: DataFrame, names: Sequence[str] = checks.NAMES) -> DataFrame:
@@ -160,4 +188,4 @@ def exit_code(results: DataFrame, strict: bool = False) -> int:
 
 def known_gaps(spark: SparkSession) -> DataFrame:
     """What the checks do not see, stated with every report."""
-    return assertions.local_frame(spark, [(g,) for g in checks.KNOWN_GAPS], "gap string")
+    return local_frame(spark, [(g,) for g in checks.KNOWN_GAPS], "gap string")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -63,16 +65,49 @@ def new_scratch(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/lakeproof/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application left in the scratch folder."""
+    remove(spark, f"{scratch_root(spark)}/lakeproof/{spark.sparkContext.applicationId}")
+
+
+def write_scratch(df: DataFrame, label: str) -> str:
+    path = new_scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return path
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Cuts the lineage and survives the loss of an executor; unlike an RDD
     checkpoint the frame is computed once and stays columnar.
     """
-    spark = df.sparkSession
-    path = new_scratch(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_scratch(df, label))
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Run a job now and keep its rows as a local relation.
+
+    Only for results with one row per column, key, edge or check, whose number
+    the schema bounds and the data does not.
+    """
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
+def settle_all(builders: Sequence[Callable[[], DataFrame]], parallel: int = 8) -> list[DataFrame]:
+    """Plan and run independent small jobs side by side.
+
+    Planning and compiling one does not wait for another, and idle executors
+    take the tasks of whichever is ready.
+    """
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(lambda build: settle(build()), builders))
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], ddl: str | T.StructType) -> DataFrame:

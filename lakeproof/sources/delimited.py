@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from lakeproof.functions import text
 from lakeproof.functions.sqltext import name as quoted
 from lakeproof.sources import specs
 from lakeproof.sources.specs import TableSpec
@@ -21,21 +22,27 @@ _DIALECT = {
 }
 
 
-def text_columns(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """The kept columns as text under their lake names; empty fields are ''."""
+def fields(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """The kept columns as text under their lake names; an empty field is NULL."""
     raw = spark.read.options(**_DIALECT, multiLine=spec.multi_line).schema(spec.text_schema).csv(path)
-    return raw.selectExpr(*specs.projection({c.name: f"coalesce({quoted(c.source_name)}, '')" for c in spec.kept}))
+    return raw.selectExpr(*specs.projection({c.name: quoted(c.source_name) for c in spec.kept}))
+
+
+def text_columns(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """The same as written: nothing is NULL, an empty field is ''."""
+    return fields(spark, path, spec).na.fill("")
 
 
 def pin(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Text columns to the stored types, NOT NULL enforced."""
-    return raw.selectExpr(
+    """Fields to the stored types, NOT NULL enforced; both '' and NULL are empty."""
+    empties = raw.selectExpr(*specs.projection({c.name: text.empty_to_null(quoted(c.name)) for c in spec.kept}))
+    return empties.selectExpr(
         *specs.projection({c.name: specs.guarded(spec, c, specs.typed(spec, c, quoted(c.name))) for c in spec.kept})
     )
 
 
 def pinned_scan(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    return pin(text_columns(spark, path, spec), spec)
+    return pin(fields(spark, path, spec), spec)
 
 
 def inferred_scan(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:

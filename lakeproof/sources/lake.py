@@ -14,7 +14,7 @@ from lakeproof.functions import typing
 from lakeproof.functions.sqltext import name
 from lakeproof.sources import specs
 from lakeproof.sources.specs import TableSpec
-from lakeproof.session import local_frame
+from lakeproof.session import local_frame, remove
 
 COPY_BATCH_ROWS = 50_000
 
@@ -34,12 +34,6 @@ def scan(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return stored.selectExpr(*specs.projection({c.name: specs.guarded(spec, c, name(c.name)) for c in spec.kept}))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def full_refresh(df: DataFrame, database: str, table: str, root: str) -> str:
     """Replace a lake table by ``df``; returns the folder that now holds it.
 
@@ -61,7 +55,7 @@ def full_refresh(df: DataFrame, database: str, table: str, root: str) -> str:
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
     spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet LOCATION '{path}'")
     if previous and f"{root.rstrip('/')}/{table}/v-" in previous:
-        _remove(spark, previous)
+        remove(spark, previous)
     return path
 
 

@@ -62,12 +62,11 @@ def label(spec: TableSpec, column: PinnedColumn) -> str:
     return f"{spec.table}.{column.name}"
 
 
-def typed(spec: TableSpec, column: PinnedColumn, raw: str) -> str:
-    """Raw text to the stored value: empty is NULL, NULs stripped, cast strictly."""
-    value = text.empty_to_null(raw)
+def typed(spec: TableSpec, column: PinnedColumn, field: str) -> str:
+    """A field's text, NULL where empty, to the stored value: NULs stripped, cast strictly."""
     if isinstance(column.stored, T.StringType):
-        return text.strip_nul(value)
-    return casting.strict_cast(value, column.stored, label(spec, column))
+        return text.strip_nul(field)
+    return casting.strict_cast(field, column.stored, label(spec, column))
 
 
 def guarded(spec: TableSpec, column: PinnedColumn, value: str) -> str:
