@@ -179,12 +179,12 @@ def source_values(source: DataFrame, lake: DataFrame) -> DataFrame:
         .where("source_nul > 0")
         .join(_metric(lake, "empties", "lake_empties"), ["table_name", "column_name"], "left")
     )
-    left_over = _metric(lake, "nul_bytes", "lake_nul").where("lake_nul > 0")
     out = out.unionAll(
         assertions(nul, "source_values", F.concat(_column(), F.lit(" NUL")), plain(F.col("source_nul")), plain(F.col("lake_empties")))
     )
+    left_over = _metric(lake, "nul_bytes", "n").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"))
     return out.unionAll(
-        assertions(left_over, "source_values", F.concat(_column(), F.lit(" NUL bytes")), F.lit("0"), plain(F.col("lake_nul")))
+        assertions(left_over, "source_values", F.lit("values with NUL bytes in the lake"), F.lit("0"), F.col("n"))
     )
 
 

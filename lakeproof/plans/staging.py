@@ -7,12 +7,13 @@ the shared scratch folder the first time a query asks and reused after that.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeproof.plans import star
-from lakeproof.session import new_scratch
+from lakeproof.session import exists, new_scratch
 from lakeproof.sources import delimited, lake
 
 _MADE: dict[tuple[str, str, str, str], str] = {}
@@ -23,7 +24,7 @@ def _once(kind: str, spark: SparkSession, sf_dir: str, table: str, make) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, kind, table)
     with _LOCK:
         known = _MADE.get(key)
-    if known is None:
+    if known is None or not exists(spark, known):
         known = make(new_scratch(spark, f"{kind}-{table}"))
         with _LOCK:
             _MADE[key] = known
@@ -39,6 +40,11 @@ def extract(spark: SparkSession, sf_dir: str, table: str) -> str:
     return _once("extract", spark, sf_dir, table, make)
 
 
+def extract_all(spark: SparkSession, sf_dir: str, tables: Iterable[str] = star.TABLES, parallel: int = 4) -> list[str]:
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(lambda t: extract(spark, sf_dir, t), tables))
+
+
 def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The extract's fields as text, empties as ''."""
     return delimited.text_columns(spark, extract(spark, sf_dir, table), star.SPECS[table])

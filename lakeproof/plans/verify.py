@@ -61,7 +61,7 @@ class Verification:
             for t, s in self.of.specs.items()
         ]
         stored = [lambda t=t, df=df: profile.lake_profile(df, t) for t, df in self.frames.items()]
-        return profile.union_all(settle_all(source + stored))
+        return settle_all(source + stored)
 
     @property
     def source(self) -> DataFrame:

@@ -71,6 +71,11 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete everything this application left in the scratch folder."""
     remove(spark, f"{scratch_root(spark)}/lakeproof/{spark.sparkContext.applicationId}")
@@ -100,14 +105,21 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
 
 
-def settle_all(builders: Sequence[Callable[[], DataFrame]], parallel: int = 8) -> list[DataFrame]:
-    """Plan and run independent small jobs side by side.
+def settle_all(builders: Sequence[Callable[[], DataFrame]], parallel: int = 8) -> DataFrame:
+    """Plan and run independent small jobs side by side; their rows as one local relation.
 
     Planning and compiling one does not wait for another, and idle executors
     take the tasks of whichever is ready.
     """
+
+    def run(build: Callable[[], DataFrame]) -> tuple[DataFrame, pa.Table]:
+        df = build()
+        return df, df.toArrow()
+
     with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(lambda build: settle(build()), builders))
+        done = list(pool.map(run, builders))
+    first = done[0][0]
+    return first.sparkSession.createDataFrame(pa.concat_tables(rows for _, rows in done), first.schema)
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], ddl: str | T.StructType) -> DataFrame:

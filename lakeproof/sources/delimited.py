@@ -12,6 +12,9 @@ from lakeproof.session import local_frame
 
 _BAD = "_ragged"
 
+# A file whose text may hold line breaks is read by one task, so it is kept short.
+MULTI_LINE_ROWS = 1_000_000
+
 # Doubled quotes inside quotes; blanks are data; empty fields come back as NULL.
 _DIALECT = {
     "header": "true",
@@ -72,7 +75,10 @@ def write_extract(df: DataFrame, path: str, spec: TableSpec) -> str:
     NULL and '' both become an empty field; blanks and NUL bytes are kept.
     """
     cells = {c.source_name: as_text(c) if c in spec.kept else "CAST(NULL AS STRING)" for c in spec.columns}
-    df.selectExpr(*specs.projection(cells)).write.options(**_DIALECT, emptyValue="").csv(path)
+    writer = df.selectExpr(*specs.projection(cells)).write.options(**_DIALECT, emptyValue="")
+    if spec.multi_line:
+        writer = writer.option("maxRecordsPerFile", MULTI_LINE_ROWS)
+    writer.csv(path)
     return path
 
 

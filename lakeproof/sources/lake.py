@@ -34,6 +34,14 @@ def scan(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return stored.selectExpr(*specs.projection({c.name: specs.guarded(spec, c, name(c.name)) for c in spec.kept}))
 
 
+def location(spark: SparkSession, database: str, table: str) -> str | None:
+    """The folder a catalog table lies in; None if there is no such table."""
+    full = quoted(database, table)
+    if not spark.catalog.tableExists(full):
+        return None
+    return spark.sql(f"DESCRIBE FORMATTED {full}").where(F.col("col_name") == "Location").first().data_type
+
+
 def full_refresh(df: DataFrame, database: str, table: str, root: str) -> str:
     """Replace a lake table by ``df``; returns the folder that now holds it.
 
@@ -46,11 +54,7 @@ def full_refresh(df: DataFrame, database: str, table: str, root: str) -> str:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
     path = f"{root.rstrip('/')}/{table}/v-{uuid4().hex}"
     df.write.parquet(path)
-    previous = None
-    if spark.catalog.tableExists(full):
-        previous = (
-            spark.sql(f"DESCRIBE FORMATTED {full}").where(F.col("col_name") == "Location").first().data_type
-        )
+    previous = location(spark, database, table)
     spark.sql(f"DROP TABLE IF EXISTS {full}")
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
     spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet LOCATION '{path}'")
@@ -87,13 +91,19 @@ def copy_types(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
     return local_frame(spark, rows, "table_name string, column_name string, copy_type string")
 
 
-def copy_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
+def jdbc_options(properties: dict[str, str] | None = None, connections: int = 16) -> dict[str, str]:
+    """Writer options: rows per batch, and no more connections than the store can bear."""
+    return {"batchsize": str(COPY_BATCH_ROWS), "numPartitions": str(connections), **(properties or {})}
+
+
+def copy_jdbc(
+    df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, connections: int = 16
+) -> None:
     """Full-refresh copy into a relational store, written from the executors.
 
     The dialect's default column types are those of ``copy_type``.
     """
-    options = {"batchsize": str(COPY_BATCH_ROWS), **(properties or {})}
-    df.write.mode("overwrite").jdbc(url, table, properties=options)
+    df.write.mode("overwrite").jdbc(url, table, properties=jdbc_options(properties, connections))
 
 
 def publish_views(spark: SparkSession, source_db: str, view_db: str) -> DataFrame:
