@@ -140,7 +140,7 @@ def test_guard_makes_required_and_rejects_null(spark, of):
         ("FactInternetSales", "fact_internet_sales"),
         ("CustomerPONumber", "customer_po_number"),
         ("UnitPriceDiscountPct", "unit_price_discount_pct"),
-        ("AdventureWorksDWBuildVersion", "adventure_works_dw_build_version"),
+        ("SalesDWBuildVersion", "sales_dw_build_version"),
         ("AddressLine1", "address_line1"),
     ],
 )
