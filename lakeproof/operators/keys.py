@@ -14,6 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from lakeproof.functions.sqltext import name
 from lakeproof.operators.profile import union_all
 from lakeproof.session import local_frame
 
@@ -44,8 +45,8 @@ def _shared_type(a: T.DataType, b: T.DataType) -> T.DataType:
     return a if a == b else T.StringType()
 
 
-def _as_keys(df: DataFrame, columns: Sequence[str], types: Sequence[T.DataType]) -> list[Column]:
-    return [F.col(c).cast(t).alias(k) for c, t, k in zip(columns, types, _names(len(columns)))]
+def _as_keys(columns: Sequence[str], types: Sequence[T.DataType]) -> list[str]:
+    return [f"CAST({name(c)} AS {t.simpleString()}) AS k{i}" for i, (c, t) in enumerate(zip(columns, types))]
 
 
 def _by_shape(shapes: Sequence[tuple[T.DataType, ...]]) -> list[list[int]]:
@@ -68,8 +69,7 @@ def key_audit(frames: Mapping[str, DataFrame], candidates: Sequence[tuple[str, S
     for group in _by_shape(shapes):
         names = _names(len(shapes[group[0]]))
         rows = union_all(
-            frames[candidates[i][0]].select(F.lit(i).alias("test"), *_as_keys(frames[candidates[i][0]], candidates[i][1], shapes[i]))
-            for i in group
+            frames[candidates[i][0]].selectExpr(f"{i} AS test", *_as_keys(candidates[i][1], shapes[i])) for i in group
         )
         per_key = rows.groupBy("test", *names).agg(F.count(F.lit(1)).alias("n"))
         found.append(
@@ -112,15 +112,8 @@ def _key_counts(frames: Mapping[str, DataFrame], edges: Mapping[int, Edge], shap
     sides = []
     for i, (child, fk, parent, pk) in edges.items():
         for table, columns, refs in ((child, fk, 1), (parent, pk, 0)):
-            df = frames[table]
-            sides.append(
-                df.select(
-                    F.lit(i).alias("test"),
-                    *_as_keys(df, columns, shape),
-                    F.lit(refs).alias("ref"),
-                    F.lit(1 - refs).alias("target"),
-                )
-            )
+            keys = _as_keys(columns, shape)
+            sides.append(frames[table].selectExpr(f"{i} AS test", *keys, f"{refs} AS ref", f"{1 - refs} AS target"))
     return (
         union_all(sides)
         .groupBy("test", *_names(len(shape)))

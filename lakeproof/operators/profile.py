@@ -8,7 +8,6 @@ groups, which on a columnar source still reads each column once.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -34,7 +33,12 @@ class Metric(NamedTuple):
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionAll, frames)
+    """One union of many frames, put together pairwise so that no plan is analysed over and over."""
+    left = list(frames)
+    while len(left) > 1:
+        pairs = [left[i : i + 2] for i in range(0, len(left), 2)]
+        left = [p[0].unionAll(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return left[0]
 
 
 _VALUE = VALUE.simpleString()

@@ -15,7 +15,7 @@ from lakeproof.plans.queries_ingest import planted_extract
 from lakeproof.plans.queries_keys import ALL_EDGES, _tables, edge_sql, stray_frames
 from lakeproof.plans.queries_profile import kept_frames
 from lakeproof.plans.registry import over, query, rows_sql
-from lakeproof.session import materialise, new_scratch, settle
+from lakeproof.session import materialise, new_scratch, settle_all
 from lakeproof.sources import delimited, lake, specs
 
 
@@ -75,6 +75,8 @@ def _known(spark: SparkSession, sf_dir: str) -> dict[str, int]:
 )
 def check_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stored tables against known totals; then with customers lost."""
+    staging.stored_all(spark, sf_dir)
+    known = _known(spark, sf_dir)
 
     def side(lossy: bool) -> DataFrame:
         parts = []
@@ -82,8 +84,8 @@ def check_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = _stored(spark, sf_dir, t)
             if lossy and t == "dim_customer":
                 df = df.where(f"NOT ({_LOST})")
-            parts.append(profile.long_profile(df, "lake", t, profile.null_metrics(df.schema.fields)))
-        return checks.known_baseline(union_all(parts), _known(spark, sf_dir))
+            parts.append(lambda t=t, df=df: profile.long_profile(df, "lake", t, profile.null_metrics(df.schema.fields)))
+        return checks.known_baseline(settle_all(parts), known)
 
     return verdicts("known_baseline", side(False), side(True))
 
@@ -101,8 +103,9 @@ def check_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def check_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows parsed from every extract against rows stored."""
-    source = settle(
-        union_all(profile.long_profile(staging.raw(spark, sf_dir, t), "source", t, []) for t in _ALL)
+    staging.stored_all(spark, sf_dir)
+    source = settle_all(
+        [lambda t=t: profile.long_profile(staging.raw(spark, sf_dir, t), "source", t, []) for t in _ALL]
     )
 
     def side(lossy: bool) -> DataFrame:
@@ -122,9 +125,8 @@ def _rewritten(spark: SparkSession, df: DataFrame, label: str) -> str:
 
 def _footers(spark: SparkSession, sf_dir: str, replaced: dict[str, str]) -> DataFrame:
     """Stored types and flags of all tables, some of them read elsewhere."""
-    return specs.stored_catalog(
-        spark, {t: lake.stored_schema(spark, replaced.get(t) or staging.stored(spark, sf_dir, t)) for t in _ALL}
-    )
+    paths = staging.stored_all(spark, sf_dir) | replaced
+    return specs.stored_catalog(spark, {t: lake.stored_schema(spark, p) for t, p in paths.items()})
 
 
 @query("check_types", verdict_sql("types", str(_COLUMNS), {"clean": "0", "planted": "2"}))
@@ -233,8 +235,8 @@ def check_nullability(spark: SparkSession, sf_dir: str) -> DataFrame:
         for t in _ALL:
             schema = star.SPECS[t].stored_schema
             df = spark.read.schema(schema).parquet(replaced.get(t) or staging.stored(spark, sf_dir, t))
-            parts.append(profile.long_profile(df, "lake", t, profile.null_metrics(schema.fields)))
-        return checks.nullability_flags(catalog(spark), _footers(spark, sf_dir, replaced), union_all(parts))
+            parts.append(lambda t=t, df=df: profile.long_profile(df, "lake", t, profile.null_metrics(df.schema.fields)))
+        return checks.nullability_flags(catalog(spark), _footers(spark, sf_dir, replaced), settle_all(parts))
 
     return verdicts("nullability_flags", side({}), side({"dim_order": path}))
 
@@ -277,12 +279,13 @@ def _sides(
         spec = _relaxed(t)
         path = planted_extract(spark, sf_dir, t, defect) if defect else staging.extract(spark, sf_dir, t)
         raw = delimited.fields(spark, path, spec)
-        source.append(profile.source_profile(raw, spec))
+        source.append(lambda raw=raw, spec=spec: profile.source_profile(raw, spec, "source"))
         loaded = materialise(delimited.pin(raw, spec), f"loaded-{t}")
-        clean.append(profile.lake_profile(loaded, t))
         bad = planted.plant(loaded, in_lake.get(t, {}))
-        faulty.append(profile.lake_profile(bad, t))
-    return tuple(settle(union_all(parts)) for parts in (source, clean, faulty))
+        clean.append(lambda t=t, df=loaded: profile.lake_profile(df, t, "clean"))
+        faulty.append(lambda t=t, df=bad: profile.lake_profile(df, t, "faulty"))
+    sides = settle_all(source + clean + faulty)
+    return tuple(sides.where(F.col("side") == side) for side in ("source", "clean", "faulty"))
 
 
 def _texts(*tables: str) -> int:
@@ -578,8 +581,7 @@ def check_aggregates_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dataset(spark: SparkSession, sf_dir: str) -> verify.Dataset:
     """Extract, load and copy the whole star, ready to be verified."""
-    staging.prepare(spark, sf_dir)
-    stored = {t: staging.stored(spark, sf_dir, t) for t in _ALL}
+    stored = staging.stored_all(spark, sf_dir)
     return verify.Dataset(
         specs=star.SPECS,
         extracts={t: staging.extract(spark, sf_dir, t) for t in _ALL},

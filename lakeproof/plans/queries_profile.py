@@ -10,7 +10,7 @@ from lakeproof.operators.profile import union_all
 from lakeproof.plans import planted, star
 from lakeproof.plans.queries_ingest import MD5_SQL, hashable, hashable_sql
 from lakeproof.plans.registry import over, query, rows_sql, values_sql
-from lakeproof.session import local_frame
+from lakeproof.session import local_frame, settle_all
 from lakeproof.sources import specs
 
 _ORDER_EDGE = star.DECLARED[6]
@@ -85,8 +85,9 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     for t, df in _defective(spark, sf_dir).items():
         texts = [f.name for f in df.schema.fields if profile.is_text(f.dataType)]
         if texts:
-            parts.append(profile.column_profile(df.select(*texts), "lake", t).where(f"metric <> '{profile.ROWS}'"))
-    wide = union_all(parts).groupBy("table_name", "column_name").pivot("metric", metrics).agg(F.max("value"))
+            parts.append(lambda t=t, df=df.select(*texts): profile.column_profile(df, "lake", t))
+    long = settle_all(parts).where(f"metric <> '{profile.ROWS}'")
+    wide = long.groupBy("table_name", "column_name").pivot("metric", metrics).agg(F.max("value"))
     return wide.select("table_name", "column_name", *[F.col(m).cast("bigint").alias(m) for m in metrics])
 
 
@@ -112,7 +113,7 @@ def token_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Null-like literals in every text column, with planted segments."""
     frames = _defective(spark, sf_dir)
     tables = [t for t in star.TABLES if any(table == t for table, _ in _TEXTS)]
-    return union_all(profile.token_census(frames[t], "lake", t) for t in tables).drop("side")
+    return settle_all([lambda t=t: profile.token_census(frames[t], "lake", t) for t in tables]).drop("side")
 
 
 @query(
@@ -149,11 +150,12 @@ def decimal_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def column_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The portable digest of every kept column of every table."""
-    parts = []
-    for t, spec in star.SPECS.items():
-        df = star.frame(spark, sf_dir, t).selectExpr(*specs.projection(hashable(spec)))
-        parts.append(profile.column_digests(df, "lake", t, portable=True))
-    return union_all(parts).where("metric = 'digest'").select(
+
+    def digests(table: str) -> DataFrame:
+        df = star.frame(spark, sf_dir, table).selectExpr(*specs.projection(hashable(star.SPECS[table])))
+        return profile.column_digests(df, "lake", table, portable=True)
+
+    return settle_all([lambda t=t: digests(t) for t in star.TABLES]).where("metric = 'digest'").select(
         "table_name", "column_name", F.col("value").cast("decimal(38,0)").alias("digest")
     )
 
@@ -203,9 +205,11 @@ def _split_sql() -> str:
 def nullability_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns, cells and NULLs under each pinned flag."""
     catalog = specs.kept_columns(specs.column_catalog(spark, list(star.SPECS.values())))
-    measured = union_all(
-        profile.long_profile(df, "lake", t, profile.null_metrics(df.schema.fields))
-        for t, df in kept_frames(spark, sf_dir).items()
+    measured = settle_all(
+        [
+            lambda t=t, df=df: profile.long_profile(df, "lake", t, profile.null_metrics(df.schema.fields))
+            for t, df in kept_frames(spark, sf_dir).items()
+        ]
     )
     per_column = measured.where("metric = 'nulls'").select("table_name", "column_name", F.col("value").alias("nulls"))
     rows = measured.where(f"metric = '{profile.ROWS}'").select("table_name", F.col("value").alias("rows"))

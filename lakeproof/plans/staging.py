@@ -62,6 +62,13 @@ def stored(spark: SparkSession, sf_dir: str, table: str) -> str:
     return _once("lake", spark, sf_dir, table, lambda path: load_into(spark, sf_dir, table, path))
 
 
+def stored_all(spark: SparkSession, sf_dir: str, tables: Iterable[str] = star.TABLES, parallel: int = 4) -> dict[str, str]:
+    """The folders of several tables; what is missing is loaded side by side."""
+    names = list(tables)
+    with ThreadPoolExecutor(parallel) as pool:
+        return dict(zip(names, pool.map(lambda t: stored(spark, sf_dir, t), names)))
+
+
 def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return lake.scan(spark, stored(spark, sf_dir, table), star.SPECS[table])
 

@@ -102,7 +102,12 @@ def settle(df: DataFrame) -> DataFrame:
     Only for results with one row per column, key, edge or check, whose number
     the schema bounds and the data does not.
     """
-    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+    return _local(df.sparkSession, [df.toArrow()], df.schema)
+
+
+def _local(spark: SparkSession, tables: Sequence[pa.Table], schema: T.StructType) -> DataFrame:
+    # One chunk: rows behind two empty chunks are lost when a frame is made.
+    return spark.createDataFrame(pa.concat_tables(tables).combine_chunks(), schema)
 
 
 def settle_all(builders: Sequence[Callable[[], DataFrame]], parallel: int = 8) -> DataFrame:
@@ -119,7 +124,7 @@ def settle_all(builders: Sequence[Callable[[], DataFrame]], parallel: int = 8) -
     with ThreadPoolExecutor(parallel) as pool:
         done = list(pool.map(run, builders))
     first = done[0][0]
-    return first.sparkSession.createDataFrame(pa.concat_tables(rows for _, rows in done), first.schema)
+    return _local(first.sparkSession, [rows for _, rows in done], first.schema)
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], ddl: str | T.StructType) -> DataFrame:

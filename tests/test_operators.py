@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeproof.operators import edges as rel
 from lakeproof.operators import hierarchy, joins, keys, profile, reconcile
-from lakeproof.session import local_frame
+from lakeproof.session import local_frame, settle, settle_all
 
 
 def test_key_audit_against_brute_force(spark):
@@ -189,6 +189,14 @@ def test_row_counts_of_empty_tables(spark):
     assert got == {"a": 3, "b": 0}
 
 
+def test_settled_frames_keep_every_row(spark):
+    empty, full = (spark.range(n).selectExpr("id", "CAST(id AS STRING) AS s") for n in (0, 3))
+    for frames in ([empty, empty, empty, full], [full, empty, empty, full], [empty, empty]):
+        settled = settle_all([lambda df=df: df for df in frames])
+        assert settled.count() == sum(df.count() for df in frames)
+    assert sorted(r.id for r in settle(spark.range(100).repartition(20).where("id > 96")).collect()) == [97, 98, 99]
+
+
 def test_reconcile_sees_both_sides(spark):
     ddl = "side string, table_name string, column_name string, metric string, value decimal(38,4)"
     one = Decimal("1.0000")
