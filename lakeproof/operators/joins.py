@@ -37,6 +37,11 @@ def subtotals(fact: DataFrame, keys: Sequence[str], amount: Column) -> DataFrame
     return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("total"))
 
 
+def combined(joined: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Subtotals added up under coarser keys, ready for the next, smaller join."""
+    return joined.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
 def totals(joined: DataFrame, by: Sequence[str]) -> DataFrame:
     """Counts and exact sums per group from subtotals, in group order."""
     return (

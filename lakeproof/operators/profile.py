@@ -193,8 +193,10 @@ def source_profile(fields: DataFrame, spec: TableSpec, side: str = "source") ->
     metrics: list[Metric] = []
     for c in spec.kept:
         as_written = name(written[c.name])
-        metrics += [_count(c.name, "empties", f"{as_written} IS NULL"), _count(c.name, "nul_only", f"{as_written} = char(0)")]
+        metrics.append(_count(c.name, "empties", f"{as_written} IS NULL"))
         if is_text(c.stored):
+            # In any other column a NUL byte is no value and fails the cast.
+            metrics.append(_count(c.name, "nul_only", f"{as_written} = char(0)"))
             metrics += [_count(c.name, f"token:{t}", f"{as_written} = {literal(t)}") for t in text.WATCHED_TOKENS]
         if isinstance(c.stored, T.DecimalType):
             # The written number itself, wider than its stored form.

@@ -216,24 +216,25 @@ _E = {f"{e[0]}.{e[1][0]}": e for e in ALL_EDGES}
     ),
 )
 def role_playing_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nation dimension in two roles: the customer's and the supplier's."""
+    """The nation dimension in two roles: the customer's and the supplier's.
+
+    Keys travel through the large joins; names are joined to the few totals.
+    """
     d = star.frames(spark, sf_dir, ("fact_lineitem", "dim_order", "dim_customer", "dim_supplier", "dim_nation"))
-    customers = joins.follow(
-        d["dim_customer"], d["dim_nation"], _E["dim_customer.nation_key"], {"nation_name": "customer_nation"}
-    )
-    suppliers = joins.follow(
-        d["dim_supplier"], d["dim_nation"], _E["dim_supplier.nation_key"], {"nation_name": "supplier_nation"}
-    )
     lines = joins.follow(
-        d["fact_lineitem"], suppliers, _E["fact_lineitem.supplier_key"], {"supplier_nation": "supplier_nation"}
+        d["fact_lineitem"], d["dim_supplier"], _E["fact_lineitem.supplier_key"], {"nation_key": "supplier_nation_key"}
     )
     # At most one row per order and nation goes on to the large join.
-    per_order = joins.subtotals(lines, ["order_key", "supplier_nation"], F.col("extended_price"))
+    per_order = joins.subtotals(lines, ["order_key", "supplier_nation_key"], F.col("extended_price"))
     orders = joins.follow(
-        d["dim_order"], customers, _E["dim_order.customer_key"], {"customer_nation": "customer_nation"}
+        d["dim_order"], d["dim_customer"], _E["dim_order.customer_key"], {"nation_key": "customer_nation_key"}
     )
-    joined = joins.follow(per_order, orders, _E["fact_lineitem.order_key"], {"customer_nation": "customer_nation"})
-    return joins.totals(joined, ["customer_nation", "supplier_nation"])
+    joined = joins.follow(per_order, orders, _E["fact_lineitem.order_key"], {"customer_nation_key": "customer_nation_key"})
+    named = joins.combined(joined, ["customer_nation_key", "supplier_nation_key"])
+    for role in ("customer", "supplier"):
+        edge = ("totals", (f"{role}_nation_key",), "dim_nation", ("nation_key",))
+        named = joins.follow(named, d["dim_nation"], edge, {"nation_name": f"{role}_nation"})
+    return joins.totals(named, ["customer_nation", "supplier_nation"])
 
 
 @query(
@@ -248,17 +249,21 @@ def role_playing_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Revenue by customer region and ship year along the checked edges."""
+    """Revenue by customer region and ship year along the checked edges.
+
+    The large join carries keys; region names are joined to the totals per nation.
+    """
     d = star.frames(spark, sf_dir, ("fact_lineitem", "dim_order", "dim_customer", "dim_nation", "dim_region", "dim_date"))
-    nations = joins.follow(d["dim_nation"], d["dim_region"], _E["dim_nation.region_key"], {"region_name": "region_name"})
-    customers = joins.follow(d["dim_customer"], nations, _E["dim_customer.nation_key"], {"region_name": "region_name"})
-    orders = joins.follow(d["dim_order"], customers, _E["dim_order.customer_key"], {"region_name": "region_name"})
     lines = joins.follow(
         d["fact_lineitem"], d["dim_date"], _E["fact_lineitem.ship_date_key"], {"calendar_year": "calendar_year"}
     )
     per_order = joins.subtotals(lines, ["order_key", "calendar_year"], F.col("extended_price"))
-    joined = joins.follow(per_order, orders, _E["fact_lineitem.order_key"], {"region_name": "region_name"})
-    return joins.totals(joined, ["region_name", "calendar_year"])
+    orders = joins.follow(d["dim_order"], d["dim_customer"], _E["dim_order.customer_key"], {"nation_key": "nation_key"})
+    joined = joins.follow(per_order, orders, _E["fact_lineitem.order_key"], {"nation_key": "nation_key"})
+    per_nation = joins.combined(joined, ["nation_key", "calendar_year"])
+    regions = joins.follow(per_nation, d["dim_nation"], _E["dim_customer.nation_key"], {"region_key": "region_key"})
+    named = joins.follow(regions, d["dim_region"], _E["dim_nation.region_key"], {"region_name": "region_name"})
+    return joins.totals(named, ["region_name", "calendar_year"])
 
 
 @query(

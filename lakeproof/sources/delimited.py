@@ -13,7 +13,7 @@ from lakeproof.session import local_frame
 _BAD = "_ragged"
 
 # A file whose text may hold line breaks is read by one task, so it is kept short.
-MULTI_LINE_ROWS = 1_000_000
+MULTI_LINE_ROWS = 100_000
 
 # Doubled quotes inside quotes; blanks are data; empty fields come back as NULL.
 _DIALECT = {
