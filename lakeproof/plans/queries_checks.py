@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeproof.functions import text, typing
-from lakeproof.operators import assertions, hierarchy, keys, profile
+from lakeproof.functions.casting import strict_cast
+from lakeproof.operators import assertions, keys, profile
 from lakeproof.operators import edges as rel
 from lakeproof.operators.keys import Edge
 from lakeproof.operators.profile import union_all
 from lakeproof.plans import checks, planted, staging, star, verify
 from lakeproof.plans.queries_edges import _BROKEN, _LISTED, catalog, evidence
-from lakeproof.plans.queries_ingest import planted_extract
+from lakeproof.plans.queries_ingest import fresh_database, planted_extract
 from lakeproof.plans.queries_keys import ALL_EDGES, _tables, edge_sql, stray_frames
 from lakeproof.plans.queries_profile import kept_frames
 from lakeproof.plans.registry import over, query, rows_sql
@@ -185,8 +186,6 @@ def check_type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     TIME columns need a session setting, so that case is only compared.
     """
-    from lakeproof.functions.casting import strict_cast
-
     counted = []
     for kind, precision, scale, stored in typing.GOLDEN_TYPES:
         if kind not in _TEXT_OF:
@@ -521,8 +520,6 @@ _COPIED = ("dim_customer", "dim_supplier", "dim_order")
 )
 def check_copies_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views and copies count like the lake; then a copy lacks rows and a reader is gone."""
-    from lakeproof.plans.queries_ingest import fresh_database
-
     source, root = fresh_database(spark, "original")
     views, _ = fresh_database(spark, "seen")
     copies, copied_to = fresh_database(spark, "copied")
