@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeproof.session import materialise, new_scratch, remove
 
-__all__ = ["documents", "materialise", "new_scratch", "plus", "read", "remove", "row_key"]
+__all__ = ["documents", "materialise", "new_scratch", "plus", "read", "remove", "row_key", "same", "step"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,3 +34,22 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(schema)
+
+
+def step(df: DataFrame, label: str) -> DataFrame:
+    """``materialise``, then let Spark's cleaner take the shuffle files of the finished job.
+
+    They would stay until the driver happens to collect its garbage.
+    """
+    out = materialise(df, label)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def same(*pairs: tuple[str, str]) -> Column:
+    """A join condition in which null equals null."""
+    out = F.lit(True)
+    for a, b in pairs:
+        out = out & F.col(a).eqNullSafe(F.col(b))
+    return out
