@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeproof.llm import frames, line_windows, mixing, packing, quality, queries
+from lakeproof.llm import frames, line_windows, mixing, near_duplicates, packing, quality, queries
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,6 +27,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return cleaned.select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
+    queries.importable(spark)
+    return near_duplicates.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the budget of their source takes, each at most once."""
     mixed = mixing.mixture(docs, queries.tree(), queries.WEIGHTS, queries.MIX_FRACTION, max_epochs=1)
@@ -42,6 +48,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", keep_quality),
     ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
     ("mixing", mix_sources),
     ("packing", pack),
 ]

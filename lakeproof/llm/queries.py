@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeproof.llm import line_windows, mixing, packing, quality, repeats, token_counts
+from lakeproof.llm import line_windows, mixing, near_duplicates, packing, quality, repeats, token_counts
 from lakeproof.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,6 +98,12 @@ GROUP BY line.doc_id, line.k
 """
 
 
+@query
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), near_duplicates.Join(words=4))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixture(read(spark, sf_dir, "documents"), tree(), WEIGHTS, MIX_FRACTION)
