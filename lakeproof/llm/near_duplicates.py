@@ -6,7 +6,8 @@ values, at coordinates that the path itself draws; a path goes on at 1.25
 coordinates on average, the inverse of the similarity sought, so that a similar
 pair is as likely to meet at a deep node as at a shallow one. Nodes that are small enough
 are compared exhaustively, on full shingle sets, where the signatures leave a
-link possible. Larger nodes are first compared with a few of their own members
+link possible; a pair that meets in several trees is looked at in the first.
+Larger nodes are first compared with a few of their own members
 (pivots), and fall apart further only if they still hold more than one component.
 """
 
@@ -29,18 +30,15 @@ _U = np.uint64
 class Join:
     """Parameters of the similarity join.
 
-    Links are pairs with 100 * intersection >= percent * union. ``first_trees``
-    are worked off before the others, which then skip nodes whose classes are
-    connected already. ``slack`` is how many standard errors an estimate may lie
+    Links are pairs with 100 * intersection >= percent * union. ``slack`` is how many standard errors an estimate may lie
     below the threshold before the pair is given up.
     """
 
     words: int = 5
     percent: int = 80
     signature: int = 128
-    trees: int = 14
-    first_trees: int = 2
-    node_limit: int = 500
+    trees: int = 8
+    node_limit: int = 4000
     pivots: int = 2
     max_depth: int = 8
     slack: float = 3.5
@@ -130,51 +128,75 @@ def _sized(nodes: DataFrame) -> DataFrame:
     return nodes.join(counts, ["tree", "path"])
 
 
-def _possible(small: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
-    """Rows of small nodes whose signature leaves a link to another class of the node possible."""
+def _nodes_of(sig: np.ndarray, trees: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of depth two that each row reaches in the first trees: paths (row, tree, up to four), and which exist."""
+    paths, there = np.zeros((len(sig), trees, 4), _U), np.zeros((len(sig), trees, 4), bool)
+    for tree in range(trees):
+        row, path = np.arange(len(sig)), np.full(len(sig), arrays.mix(np.array([tree + 1], _U))[0])
+        for _ in range(2):
+            more, path = _children(path, sig[row])
+            row = row[more]
+        order = np.argsort(row, kind="stable")
+        row, path = row[order], path[order]
+        nth = np.arange(len(row)) - np.searchsorted(row, row)
+        paths[row, tree, nth], there[row, tree, nth] = path, True
+    return paths, there
+
+
+def _possible(small: DataFrame, large: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
+    """Rows of small nodes whose signature leaves a link to another class possible that they meet here first."""
     arrow = pa.schema([("tree", pa.int32()), ("path", pa.int64()), ("cid", pa.binary())])
 
     def near(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         sig = _matrix(group.column("sig"), join.signature)
+        tree = group.column("tree")[0].as_py()
+        paths, there = _nodes_of(sig, tree)
+        # A node that is large is no place where a pair has been looked at.
+        for row, trees in enumerate(group.column("large").to_pylist()):
+            there[row, [t for t in trees or [] if t < tree]] = False
         found = np.zeros(len(sig), bool)
         for i in range(len(sig) - 1):
-            hit = (sig[i + 1 :] == sig[i]).sum(1) >= join.least_equal
-            found[i] |= bool(hit.any())
-            found[i + 1 :] |= hit
+            hit = i + 1 + np.flatnonzero((sig[i + 1 :] == sig[i]).sum(1) >= join.least_equal)
+            if len(hit):
+                met = np.zeros(len(hit), bool)
+                for x in range(4):
+                    met |= ((paths[hit] == paths[i, :, x, None]) & there[hit] & there[i, :, x, None]).any((1, 2))
+                found[hit[~met]] = True
+                found[i] |= not met.all()
         return group.select(["tree", "path", "cid"]).filter(pa.array(found)).cast(arrow)
 
+    trees = large.groupBy(F.col("cid").alias("_cid")).agg(F.collect_set("tree").alias("large"))
     rows = small.select("tree", "path", "cid").join(classes.select("cid", "sig"), "cid")
+    rows = rows.join(trees, F.col("cid") == F.col("_cid"), "left").select("tree", "path", "cid", "sig", "large")
     return rows.groupBy("tree", "path").applyInArrow(near, "tree int, path long, cid binary")
 
 
 def _linked(texts: list[bytes], join: Join, labels: list[bytes]) -> list[tuple[int, int]]:
-    """A spanning forest of the links between texts of different labels."""
+    """A spanning forest of the links between texts of different labels.
+
+    Starting with the text that may have most links, each is compared with all
+    it may be linked with, but for those connected already.
+    """
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     h, bounds = shingles.shingle_sets(data, offsets, join.words)
     sig = shingles.signatures(h, bounds, join.signature)
-    parent: dict[bytes, bytes] = {}
-
-    def root(x: bytes) -> bytes:
-        while x in parent:
-            x = parent[x]
-        return x
-
-    pairs = []
-    for i in range(len(texts) - 1):
-        equal = (sig[i + 1 :] == sig[i]).sum(1)
-        pairs += [(-int(equal[k]), i, i + 1 + int(k)) for k in np.flatnonzero(equal >= join.least_equal) if labels[i] != labels[i + 1 + k]]
+    equal = np.stack([(sig == row).sum(1).astype(np.int16) for row in sig])
+    equal[equal < join.least_equal] = 0
+    _, part = np.unique(np.array(labels, object), return_inverse=True)
     out = []
-    for _, i, k in sorted(pairs):
-        a, b = root(labels[i]), root(labels[k])
-        if a == b:
-            continue
-        x, y = h[bounds[i] : bounds[i + 1]], h[bounds[k] : bounds[k + 1]]
-        both = shingles.common(x, y)
-        if 100 * both >= join.percent * (len(x) + len(y) - both):
-            parent[a] = b
-            out.append((i, k))
+    for i in np.argsort(-(equal > 0).sum(1), kind="stable").tolist():
+        maybe = np.flatnonzero((equal[i] > 0) & (part != part[i]))
+        for k in maybe[np.argsort(-equal[i, maybe], kind="stable")].tolist():
+            if part[k] == part[i]:
+                continue
+            x, y = h[bounds[i] : bounds[i + 1]], h[bounds[k] : bounds[k + 1]]
+            both = shingles.common(x, y)
+            equal[k, i] = 0
+            if 100 * both >= join.percent * (len(x) + len(y) - both):
+                part[part == part[k]] = part[i]
+                out.append((i, k))
     return out
 
 
@@ -274,22 +296,20 @@ def _grid(rows: DataFrame, join: Join) -> DataFrame:
     return sized.select("tree", "path", "cid", F.inline(cells))
 
 
-def _work_off(nodes: DataFrame, small: DataFrame, classes: DataFrame, texts: DataFrame, labels: _Labels, join: Join) -> None:
-    """Finds the links within the nodes (large) and among the rows of ``small`` nodes."""
-    large = frames.step(labels.unsettled(nodes).select("tree", "path", "cid"), "near-large")
+def _settle_nodes(large: DataFrame, classes: DataFrame, texts: DataFrame, labels: _Labels, join: Join) -> list[DataFrame]:
+    """Finds the links within large nodes, down to small ones, whose rows it returns."""
+    small = []
     for depth in range(join.max_depth):
         if large.isEmpty():
-            break
+            return small
         large = _settle_large(large, classes, texts, labels, join, depth)
         children = frames.step(_sized(_split(large, classes, join)), "near-children")
-        few = children.where(F.col("size") <= join.node_limit).select("tree", "path", "cid")
-        small = small.unionByName(frames.step(_possible(few, classes, join), "near-possible"))
-        large = children.where(F.col("size") > join.node_limit).select("tree", "path", "cid")
-        large = frames.step(labels.unsettled(large).select("tree", "path", "cid"), "near-large")
-    labels.add(_compare(labels.unsettled(small), texts, ["tree", "path"], join))
+        small.append(children.where(F.col("size") <= join.node_limit).select("tree", "path", "cid"))
+        large = labels.unsettled(children.where(F.col("size") > join.node_limit).select("tree", "path", "cid"))
+        large = frames.step(large.select("tree", "path", "cid"), "near-large")
     if not large.isEmpty():
-        left = labels.unsettled(large).select("tree", "path", "cid")
-        labels.add(_compare(labels.attach(_grid(left, join)), texts, ["tree", "path", "x", "y"], join))
+        labels.add(_compare(labels.attach(_grid(large, join)), texts, ["tree", "path", "x", "y"], join))
+    return small
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -322,14 +342,15 @@ def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id"
     nodes = frames.step(_sized(_plant(classes, join)), "near-nodes")
     few = nodes.where(F.col("size") <= join.node_limit)
     large = nodes.where(F.col("size") > join.node_limit).select("tree", "path", "cid")
-    small = frames.step(_possible(few, classes, join), "near-possible")
+    small = frames.step(_possible(few, large, classes, join), "near-possible")
     wanted = small.select("cid").union(large.select("cid")).distinct().join(classes, "cid").select("cid", F.col("at.doc_id").alias("_doc_id"), F.col("at.key").alias("_key"))
     texts = source.join(wanted, frames.same(("doc_id", "_doc_id"), ("key", "_key"))).dropDuplicates(["cid"]).select("cid", "text")
     texts = frames.step(texts, "near-texts")
 
     labels = _Labels(classes)
-    for of_batch in (F.col("tree") < join.first_trees, F.col("tree") >= join.first_trees):
-        _work_off(large.where(of_batch), small.where(of_batch), classes, texts, labels, join)
+    for more in _settle_nodes(large, classes, texts, labels, join):
+        small = small.unionByName(more)
+    labels.add(_compare(labels.unsettled(small), texts, ["tree", "path"], join))
 
     labelled = labels.attach(rows.select("doc_id", "key", "n", "cid"))
     least = labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("_least")).withColumnRenamed("label", "_of")
