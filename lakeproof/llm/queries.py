@@ -9,7 +9,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeproof.llm import line_windows, mixing, near_duplicates, packing, quality, repeats, token_counts
+from lakeproof.llm import (
+    language_model,
+    line_windows,
+    mixing,
+    near_duplicates,
+    packing,
+    quality,
+    repeats,
+    token_counts,
+    training_order,
+    vector_graph,
+)
 from lakeproof.llm.frames import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,11 +67,54 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.lm_scores(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_lm_scores"] = r"""
+WITH listed AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+word AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM listed),
+pair AS (SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS p FROM word),
+one AS (SELECT w, count(*) AS c FROM word GROUP BY w),
+two AS (SELECT p, w, count(*) AS c FROM pair WHERE i > 1 GROUP BY p, w HAVING count(*) >= 2),
+total AS (SELECT count(*) AS n FROM word),
+scored AS (
+  SELECT pair.r, two.c IS NULL AND pair.i > 1 AS backed,
+         CASE WHEN two.c IS NOT NULL THEN ln(two.c::DOUBLE / before.c)
+              ELSE ln(one.c::DOUBLE / total.n) + CASE WHEN pair.i > 1 THEN ln(0.4::DOUBLE) ELSE 0 END END AS s
+  FROM pair JOIN one ON one.w = pair.w CROSS JOIN total
+  LEFT JOIN two ON two.p = pair.p AND two.w = pair.w LEFT JOIN one AS before ON before.w = pair.p)
+SELECT listed.doc_id, count(scored.s) AS n_words, count(*) FILTER (backed) AS n_backed_off, round(avg(s), 6) AS mean_log_score
+FROM listed LEFT JOIN scored USING (r) GROUP BY listed.r, listed.doc_id
+"""
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), packing.default_path())
 
 
+@query
+def op4_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op4_vector_graph"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT e.vec_id, (SELECT count(*) FROM link WHERE link.a = e.vec_id) AS n_links,
+       min(reach.b) AS component_id, e.vec_id = min(reach.b) AS kept
+FROM embeddings e JOIN reach ON reach.a = e.vec_id GROUP BY e.vec_id
+"""
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), token_counts.default_path())
@@ -71,6 +125,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.training_shards(read(spark, sf_dir, "documents"), training_order.default_path())
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_windows.line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
