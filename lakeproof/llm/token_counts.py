@@ -177,8 +177,8 @@ class TransducerCounts:
         """The count on the border transition that ends ``segment``."""
         if not segment:
             return 0
-        data = np.frombuffer(segment, np.uint8)
-        return int(self.known.flat[self.known.starts[self.known.lookup(data, np.zeros(1, np.int64))]][0])
+        row = int(self.known.lookup(np.frombuffer(segment, np.uint8), np.zeros(1, np.int64))[0])
+        return int(self.known.flat[self.known.starts[row]])
 
     def joined(self, a: bytes, b: bytes) -> bool:
         return bool(self.joins[min(a[-1], 128), min(b[0], 128)])

@@ -24,7 +24,8 @@ class Graph:
     expand: float = 0.94  # the search goes on through vectors that are at least this close
     shard: int = 2000  # a larger cell is split
     fanout: int = 8
-    overlap_degrees: float = 12.0  # a vector also goes to the next centre when it is no more than this further away
+    copies: int = 3  # a vector also goes to the next centres, up to so many in all,
+    overlap_degrees: float = 23.0  # when they are no more than this further away: twice the angle of the cosine
     max_levels: int = 6
     block: int = 2000
 
@@ -55,9 +56,9 @@ def _cells(classes: DataFrame, graph: Graph) -> DataFrame:
         centres = large.where(drawn).groupBy("cell").agg(F.slice(F.sort_array(F.collect_list(F.struct("cid", "unit"))), 1, 4 * graph.fanout).alias("centres"))
         near = F.transform("centres", lambda c: F.struct(-_dot(F.col("unit"), c["unit"]), c["cid"].alias("centre")))
         ranked = large.join(centres, "cell", "left").withColumn("near", F.sort_array(near))
-        angle = lambda k: F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -F.get("near", F.lit(k))["col1"]))))
-        close = (F.size("near") > 1) & (angle(1) - angle(0) <= graph.overlap_degrees)
-        to = F.when(F.col("near").isNull(), F.array(F.lit(None).cast("string"))).when(close, F.array(F.get("near", F.lit(0))["centre"], F.get("near", F.lit(1))["centre"])).otherwise(F.array(F.get("near", F.lit(0))["centre"]))
+        angle = lambda c: F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -c["col1"]))))
+        within = F.filter(F.slice("near", 1, graph.copies), lambda c: angle(c) - angle(F.get("near", F.lit(0))) <= graph.overlap_degrees)
+        to = F.when(F.col("near").isNull(), F.array(F.lit(None).cast("string"))).otherwise(F.transform(within, lambda c: c["centre"]))
         rows = ranked.select("cell", "cid", "unit", "n", "primary", F.posexplode(to).alias("nth", "centre")).select(
             F.concat_ws("/", "cell", F.coalesce("centre", F.lit("-"))).alias("cell"), "cid", "unit", "n", (F.col("primary") & (F.col("nth") == 0)).alias("primary")
         )
