@@ -37,7 +37,8 @@ def strict_cast(text: str, to: T.DataType, label: str) -> str:
     """Cast text to ``to``; NULL stays NULL, anything unparsable raises.
 
     Holds with ANSI mode on or off. Decimals must fit their scale exactly, dates
-    must be written in full, timestamps need a date and a time of day. ``text``
+    must be written in full, timestamps need a date and a time of day,
+    bits are 0, 1, true or false, floating numbers are written in digits. ``text``
     should be a column: it is repeated, the cast is not.
     """
     if isinstance(to, T.StringType):
@@ -50,6 +51,10 @@ def strict_cast(text: str, to: T.DataType, label: str) -> str:
         typed = f"if(length(trim({text})) = 10, {typed}, NULL)"
     elif isinstance(to, (T.TimestampType, T.TimestampNTZType)):
         typed = f"if(length({text}) >= 16, {typed}, NULL)"
+    elif isinstance(to, T.BooleanType):
+        typed = f"if(lower({text}) IN ('0', '1', 'true', 'false'), {typed}, NULL)"
+    elif isinstance(to, (T.FloatType, T.DoubleType)):
+        typed = f"if(rlike({text}, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'), {typed}, NULL)"
     refused = f"CAST(raise_error(concat({literal(f'{label}: not a {of}: ')}, {text})) AS {of})"
     return f"coalesce({typed}, if({text} IS NULL, NULL, {refused}))"
 

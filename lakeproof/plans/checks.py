@@ -281,8 +281,9 @@ def hierarchies(frames: Mapping[str, DataFrame], edges: Sequence[Edge]) -> DataF
         ):
             n = found.agg(F.count(F.lit(1)).alias("n"))
             out.append(assertions(n, "hierarchies", F.lit(f"{table}.{parent} {what}"), F.lit("0"), F.col("n")))
-    if not out:
-        raise ValueError("no hierarchies to check")
+    if not out:  # nothing to check is no failure: no rows, which the report shows as skipped
+        none = next(iter(frames.values())).limit(0).select(F.lit(0).alias("n"))
+        return assertions(none, "hierarchies", F.lit(""), F.lit("0"), F.col("n"))
     return all_of(out)
 
 

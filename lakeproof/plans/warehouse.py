@@ -51,11 +51,13 @@ class Warehouse:
         return specs.select_tables(available, list(wanted))
 
     def load(self, wanted: Sequence[str] = (), parallel: int = 4) -> DataFrame:
-        """Full refresh of the wanted tables (all by default): the run log."""
-        chosen = [r.table_name for r in self.select(wanted).where("status = 'selected'").orderBy("table_name").collect()]
+        """Full refresh of the wanted tables (all by default): the run log, unknown names as failures in it."""
+        chosen = [r.table_name for r in self.select(wanted).orderBy("table_name").collect()]
         return lake.load_tables(self.spark, "lakeproof", {t: lambda t=t: self._load(t) for t in chosen}, parallel)
 
     def _load(self, table: str) -> DataFrame:
+        if table not in self.specs:
+            raise LookupError(f"no table named {table}")
         spec = self.specs[table]
         pinned = delimited.pinned_scan(self.spark, self.extract_of(table), spec)
         path = lake.full_refresh(pinned, self.database, table, self.root)

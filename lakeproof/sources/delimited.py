@@ -25,10 +25,33 @@ _DIALECT = {
 }
 
 
+def header(spark: SparkSession, path: str, spec: TableSpec) -> list[str]:
+    """The column names a file begins with."""
+    return spark.read.options(**_DIALECT, multiLine=spec.multi_line, inferSchema=False).csv(path).columns
+
+
+def by_name(spec: TableSpec, names: list[str]) -> T.StructType:
+    """The text schema in the file's own order; missing, unknown and repeated names are refused."""
+    known = {f.name: f for f in spec.text_schema.fields}
+    missing, unknown = sorted(set(known) - set(names)), sorted(set(names) - set(known))
+    if missing or unknown or len(names) != len(set(names)):
+        raise ValueError(f"{spec.table}: columns missing {missing}, unknown {unknown}, header {names}")
+    return T.StructType([known[n] for n in names])
+
+
 def fields(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """The kept columns as text under their lake names; an empty field is NULL."""
-    raw = spark.read.options(**_DIALECT, multiLine=spec.multi_line).schema(spec.text_schema).csv(path)
-    return raw.selectExpr(*specs.projection({c.name: quoted(c.source_name) for c in spec.kept}))
+    """The kept columns as text under their lake names; an empty field is NULL.
+
+    Columns are found by the names in the header. A row with fewer or more
+    fields than the header raises, whatever columns are asked for; so does a
+    further file whose header differs from the first one's.
+    """
+    schema = by_name(spec, header(spark, path, spec)).add(_BAD, "string")
+    options = {"columnNameOfCorruptRecord": _BAD, "columnPruning": "false", "enforceSchema": "false"}
+    raw = spark.read.options(**_DIALECT, **options, multiLine=spec.multi_line).schema(schema).csv(path)
+    first = quoted(schema.fields[0].name)
+    whole = f"if({_BAD} IS NULL, true, raise_error(concat('{spec.table}: not as many fields as the header: ', {_BAD}, coalesce(left({first}, 0), ''))))"
+    return raw.where(whole).selectExpr(*specs.projection({c.name: quoted(c.source_name) for c in spec.kept}))
 
 
 def text_columns(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:

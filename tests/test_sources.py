@@ -231,3 +231,17 @@ def test_multi_line_extracts_are_written_in_short_files(spark, monkeypatch):
     path = delimited.write_extract(df, new_scratch(spark, "short"), ITEMS)
     assert len(spark.read.text(path).inputFiles()) == 3
     assert delimited.pinned_scan(spark, path, ITEMS).where("item_name LIKE 'a\n%'").count() == 25
+
+
+@pytest.mark.parametrize("lines, error", [(["2,x"], "fields"), (["2,x,y,z"], "fields"), ([], None)])
+def test_scan_matches_by_name_and_refuses_ragged_rows(spark, tmp_path, lines, error):
+    spec = TableSpec("T", "t", tuple(PinnedColumn(n, n.lower(), "nvarchar") for n in "ABC"))
+    path = tmp_path / "t.csv"
+    path.write_text("\n".join(["A,C,B", "1,c,b", *lines, ""]))
+    df = delimited.fields(spark, str(path), spec)
+    if error is None:
+        assert [tuple(r) for r in df.select("a", "b", "c").collect()] == [("1", "b", "c")]
+        return
+    for run in (df.count, df.select("a").collect):
+        with pytest.raises(Exception, match=error):
+            run()
