@@ -119,10 +119,21 @@ def token_metrics(fields: Iterable[T.StructField]) -> list[Metric]:
     ]
 
 
+def _sums(column: str, value: str, scale: int) -> list[Metric]:
+    """The sum, and below its four decimals what is left of it, in units of the column's last digit.
+
+    Units end at the eighteenth digit, where a product still fits a decimal.
+    """
+    out = [Metric(column, "sum", (exact_sum(value),))]
+    if scale > VALUE.scale:
+        k = min(scale, 18)
+        rest = f"CAST(coalesce(sum({value}), 0) % 0.0001BD AS DECIMAL({k + 1},{k}))"
+        out.append(Metric(column, "sum_below", (f"{rest} * {10**k}BD",)))
+    return out
+
+
 def sum_metrics(fields: Iterable[T.StructField]) -> list[Metric]:
-    return [
-        Metric(f.name, "sum", (exact_sum(name(f.name)),)) for f in fields if isinstance(f.dataType, T.DecimalType)
-    ]
+    return [m for f in fields if isinstance(f.dataType, T.DecimalType) for m in _sums(f.name, name(f.name), f.dataType.scale)]
 
 
 def _hash_name(column: str) -> str:
@@ -201,7 +212,7 @@ def source_profile(fields: DataFrame, spec: TableSpec, side: str = "source") ->
         if isinstance(c.stored, T.DecimalType):
             # The written number itself, wider than its stored form.
             scale = min(38 - (c.stored.precision - c.stored.scale), c.stored.scale + 4)
-            metrics.append(Metric(c.name, "sum", (f"coalesce(sum(CAST({as_written} AS DECIMAL(38,{scale}))), 0)",)))
+            metrics += _sums(c.name, f"CAST({as_written} AS DECIMAL(38,{scale}))", c.stored.scale)
     return long_profile(hashed, side, spec.table, metrics + digest_metrics(c.name for c in spec.kept))
 
 

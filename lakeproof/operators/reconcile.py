@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from lakeproof.functions.sqltext import name
+from lakeproof.session import materialise
 
 _AT = ["table_name", "column_name", "metric"]
 
@@ -33,19 +38,32 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column
 def row_differences(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """(key columns, l, r): the cells of rows the two sides do not share.
 
-    Equal rows cancel out in one aggregation over whole rows, before anything
-    is paired, so a key that repeats does not multiply. What is left is paired
-    per key; where a key keeps several rows on a side, its smallest stands for
-    them. A side without a row for the key has NULL there.
+    Equal rows cancel out in one aggregation over keys and 128 bits of hash, so
+    a key that repeats does not multiply and no row is shuffled whole. What is
+    left is written to the scratch folder, fetches its cells, and is paired per
+    key in the order of the cells: the first with the first, and so on. A side
+    with fewer rows for the key has NULL there.
     """
     cells = [c for c in left.columns if c not in key]
-    sides = left.select(*key, F.struct(*cells).alias("cells"), F.lit(1).alias("side")).unionAll(
-        right.select(*key, F.struct(*cells).alias("cells"), F.lit(-1).alias("side"))
-    )
-    surplus = sides.groupBy(*key, "cells").agg(F.sum("side").alias("surplus")).where("surplus <> 0")
-    return surplus.groupBy(*key).agg(
-        F.min(F.when(F.col("surplus") > 0, F.col("cells"))).alias("l"),
-        F.min(F.when(F.col("surplus") < 0, F.col("cells"))).alias("r"),
+    # Hashes skip NULLs, so each is told; nested values, whose own NULLs cannot be told, are compared as they are.
+    nested = [c for c in cells if isinstance(left.schema[c].dataType, (T.ArrayType, T.StructType))]
+    told = [x for c in cells if c not in nested for x in (F.col(name(c)).isNull(), F.col(name(c)))]
+    both = left.select(*key, *cells, F.lit(1).alias("_side")).unionAll(right.select(*key, *cells, F.lit(-1).alias("_side")))
+    hashes = [F.xxhash64(F.lit(k), *told).alias(f"_hash{k}") for k in range(2)]
+    by = [*key, *nested, "_hash0", "_hash1"]
+    rows = both.select(*key, *nested, *hashes, "_side", F.struct(*cells).alias("_cells"))
+    surplus = rows.groupBy(*by).agg(F.sum("_side").alias("_surplus")).where("_surplus <> 0")
+    surplus = materialise(surplus, "row-differences").toDF(*[f"_of_{c}" for c in by], "_surplus")
+    same = reduce(and_, (F.col(name(c)).eqNullSafe(F.col(name(f"_of_{c}"))) for c in by))
+    left_over = rows.join(surplus, same).where("signum(_side) = signum(_surplus)")
+    found = left_over.groupBy(*by).agg(F.first("_cells").alias("_cells"), F.first("_surplus").alias("_surplus"))
+    each = found.select(*key, "_cells", (F.col("_surplus") > 0).alias("_left"), F.explode(F.sequence(F.lit(1), F.abs("_surplus"))).alias("_copy"))
+    nth = F.row_number().over(Window.partitionBy(*key, "_left").orderBy("_cells", "_copy"))
+    return (
+        each.withColumn("_nth", nth)
+        .groupBy(*key, "_nth")
+        .agg(F.min(F.when(F.col("_left"), F.col("_cells"))).alias("l"), F.min(F.when(~F.col("_left"), F.col("_cells"))).alias("r"))
+        .drop("_nth")
     )
 
 

@@ -78,9 +78,10 @@ def known_baseline(lake: DataFrame, known: Mapping[str, int]) -> DataFrame:
     return assertions(rows, "known_baseline", F.col("subject"), F.col("expected"), F.col("actual"))
 
 
-def _same_metric(check: str, source: DataFrame, lake: DataFrame, metric: str) -> DataFrame:
-    sides = reconcile(source.where(F.col("metric") == metric), lake.where(F.col("metric") == metric))
-    subject = F.col("table_name") if metric == profile.ROWS else _column()
+def _same_metric(check: str, source: DataFrame, lake: DataFrame, *metrics: str) -> DataFrame:
+    asked = F.col("metric").isin(*metrics)
+    sides = reconcile(source.where(asked), lake.where(asked))
+    subject = F.col("table_name") if profile.ROWS in metrics else _column()
     return assertions(sides, check, subject, plain(F.col("left_value")), plain(F.col("right_value")))
 
 
@@ -194,7 +195,7 @@ def value_digests(source: DataFrame, lake: DataFrame) -> DataFrame:
 
 def decimal_exactness(source: DataFrame, lake: DataFrame) -> DataFrame:
     """Sums of the money text against sums of what is stored, no tolerance."""
-    return _same_metric("decimal_exactness", source, lake, "sum")
+    return _same_metric("decimal_exactness", source, lake, "sum", "sum_below")
 
 
 def primary_keys(frames: Mapping[str, DataFrame], of: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:

@@ -148,6 +148,31 @@ def test_differences_do_not_multiply_on_a_hot_key(spark):
     assert got == [(1, "v", "0", "2000")]
 
 
+def test_every_differing_row_of_a_repeated_key_is_shown(spark):
+    ddl = "k int, a int, b string, c array<string>"
+    left = local_frame(spark, [(1, 1, None, ["x", None]), (1, 2, "q", None), (1, 2, "q", None), (None, 7, "n", None)], ddl)
+    right = local_frame(spark, [(1, 1, None, [None, "x"]), (1, 5, "q", None), (None, 8, "n", None)], ddl)
+    got = sorted((str(r.k), r.column_name, r.left_value, r.right_value) for r in reconcile.cell_differences(left, right, ["k"]).collect())
+    assert got == [
+        ("1", "(row)", "present", "absent"),
+        ("1", "a", "2", "5"),
+        ("1", "c", "[x, null]", "[null, x]"),
+        ("None", "a", "7", "8"),
+    ]
+
+
+def test_sums_differ_below_four_decimals(spark):
+    def below(value: str) -> dict:
+        df = spark.range(3).selectExpr(f"CAST({value} AS DECIMAL(18,6)) AS p", "CAST(1 AS DECIMAL(19,4)) AS m")
+        found = profile.lake_profile(df, "t").where("metric IN ('sum', 'sum_below')").collect()
+        return {(r.column_name, r.metric): r.value for r in found}
+
+    one, other = below("-1.000010"), below("-1.000011")
+    assert set(one) == {("p", "sum"), ("p", "sum_below"), ("m", "sum")}
+    assert one["p", "sum"] == other["p", "sum"]
+    assert (one["p", "sum_below"], other["p", "sum_below"]) == (-30, -33)
+
+
 def test_diff_sample_takes_the_first_of_every_column(spark):
     left = spark.range(100).selectExpr("id AS k", "id AS a", "id AS b")
     right = left.selectExpr("k", "a + 1 AS a", "if(k > 50, -1, b) AS b")
