@@ -69,6 +69,21 @@ def stored_all(spark: SparkSession, sf_dir: str, tables: Iterable[str] = star.TA
         return dict(zip(names, pool.map(lambda t: stored(spark, sf_dir, t), names)))
 
 
+def copied_all(spark: SparkSession, sf_dir: str, tables: Iterable[str] = star.TABLES, parallel: int = 4) -> dict[str, str]:
+    """The folders of a second copy of the stored tables, written from them."""
+
+    def copied(table: str) -> str:
+        def make(path: str) -> str:
+            scan(spark, sf_dir, table).write.parquet(path)
+            return path
+
+        return _once("copy", spark, sf_dir, table, make)
+
+    names = list(tables)
+    with ThreadPoolExecutor(parallel) as pool:
+        return dict(zip(names, pool.map(copied, names)))
+
+
 def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return lake.scan(spark, stored(spark, sf_dir, table), star.SPECS[table])
 

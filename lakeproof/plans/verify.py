@@ -33,7 +33,8 @@ class Dataset:
     known: Mapping[str, int]
     curated: Sequence[Edge]
     declared: Sequence[Edge] | None = None
-    copies: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    # Per reader: its tables, each a folder or what opens a table or view.
+    copies: Mapping[str, Mapping[str, str | Callable[[], DataFrame]]] = field(default_factory=dict)
 
 
 class Verification:
@@ -99,8 +100,8 @@ class Verification:
         return checks.nullability_enforced(self.spark, clean, dirty, column.name)
 
     def _copies(self) -> DataFrame:
-        def reader(paths: Mapping[str, str]):
-            return lambda: profile.row_counts({t: self._read(t, p) for t, p in paths.items()})
+        def reader(tables: Mapping[str, str | Callable[[], DataFrame]]):
+            return lambda: profile.row_counts({t: at() if callable(at) else self._read(t, at) for t, at in tables.items()})
 
         expected = profile.row_counts(self.frames)
         return checks.copies_agree({name: reader(paths) for name, paths in self.of.copies.items()}, expected)

@@ -7,6 +7,7 @@ extract per table, and optionally one document of declared foreign keys.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -106,10 +107,7 @@ class Warehouse:
             known=known,
             curated=self.curated,
             declared=declared,
-            copies={
-                db: {t: lake.location(self.spark, db, t) or f"{self.root}/no-copy-of-{t}" for t in self.specs}
-                for db in copies
-            },
+            copies={db: {t: partial(self.spark.table, lake.quoted(db, t)) for t in self.specs} for db in copies},
         )
 
     def verify(

@@ -35,34 +35,56 @@ def scan(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
 
 
 def location(spark: SparkSession, database: str, table: str) -> str | None:
-    """The folder a catalog table lies in; None if there is no such table."""
+    """The folder a catalog table lies in; None if there is no such table or it is a view."""
     full = quoted(database, table)
     if not spark.catalog.tableExists(full):
         return None
-    return spark.sql(f"DESCRIBE FORMATTED {full}").where(F.col("col_name") == "Location").first().data_type
+    row = spark.sql(f"DESCRIBE FORMATTED {full}").where(F.col("col_name") == "Location").first()
+    return row and row.data_type
 
 
 def full_refresh(df: DataFrame, database: str, table: str, root: str) -> str:
     """Replace a lake table by ``df``; returns the folder that now holds it.
 
     The data is written to a new folder first and the table is re-pointed only
-    after the write succeeded: a failed load leaves the old content in place,
-    and running it again gives the same table.
+    after the write succeeded: a failed load leaves the old content in place and
+    no folder of its own, and running it again gives the same table. While the
+    columns stay the same the table never ceases to exist. The folder before
+    this one stays for readers that are under way; the one before that goes.
+    One table is refreshed by one job at a time.
     """
     spark = df.sparkSession
     full = quoted(database, table)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
     path = f"{root.rstrip('/')}/{table}/v-{uuid4().hex}"
-    df.write.parquet(path)
+    try:
+        df.write.parquet(path)
+    except Exception:
+        remove(spark, path)
+        raise
     previous = location(spark, database, table)
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
-    spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet LOCATION '{path}'")
-    if previous and f"{root.rstrip('/')}/{table}/v-" in previous:
-        remove(spark, previous)
+    wanted = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    if previous and [(f.name, f.dataType.simpleString()) for f in spark.table(full).schema.fields] == wanted:
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(full)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        columns = ", ".join(f"{quoted(c)} {of}" for c, of in wanted)
+        spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet LOCATION '{path}'")
+    _remove_versions(spark, f"{root.rstrip('/')}/{table}", keep=(path, previous))
     return path
 
 
+def _remove_versions(spark: SparkSession, folder: str, keep: tuple[str | None, ...]) -> None:
+    """Delete the versions of a table below its folder, but for those in ``keep``."""
+    kept = {k.rsplit("/", 1)[1] for k in keep if k}
+    parent = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    for status in parent.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(parent):
+        version = status.getPath().getName()
+        if version.startswith("v-") and version not in kept:
+            remove(spark, f"{folder}/{version}")
+
+
 def load_tables(
     spark: SparkSession, loader: str, loads: dict[str, Callable[[], DataFrame]], parallel: int = 4
 ) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -147,6 +148,11 @@ def test_failed_refresh_leaves_the_table(spark):
     with pytest.raises(PySparkException):
         lake.full_refresh(bad, database, "t", path)
     assert spark.table(f"{database}.t").count() == 3
+    assert len(list(Path(path, "t").iterdir())) == 1
+    for n in (4, 6, 7):
+        at = lake.full_refresh(spark.range(n).toDF("k"), database, "t", path)
+        assert spark.table(f"{database}.t").count() == n and lake.location(spark, database, "t").endswith(at)
+    assert len(list(Path(path, "t").iterdir())) == 2
     lake.full_refresh(spark.range(5).selectExpr("id AS k", "'x' AS s"), database, "t", path)
     assert spark.table(f"{database}.t").columns == ["k", "s"]
     lake.drop_views(spark, database)

@@ -73,7 +73,7 @@ def test_load_copy_view_and_verify(spark, tmp_path):
     views = {r.view_name: r.n_columns for r in w.publish_views(f"{w.database}_views").collect()}
     assert views["fact_sales"] == 6
     w.copy(f"{w.database}_copy", f"{w.root}-copy").collect()
-    report, found = w.verify(KNOWN, copies=[f"{w.database}_copy"])
+    report, found = w.verify(KNOWN, copies=[f"{w.database}_copy", f"{w.database}_views"])
     assert {r.check_name: r.status for r in report.collect() if r.status != "PASS"} == {}
     assert assertions.findings(found).count() == 0
     assert verify.exit_code(report, strict=True) == 0
