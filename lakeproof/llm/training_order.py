@@ -121,7 +121,8 @@ def training_shards(
     stored = frames.materialise(sequences(docs, path, length, separator, pad, id_col, text_col), "training-sequences")
     sizes = stored.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    base = sizes.select(F.col("part").alias("_part"), before.alias("base"))  # one row for each task
+    # One row for each task. Written first, so that its size is known when the join is planned and the ids are not shuffled for it.
+    base = frames.materialise(sizes.select(F.col("part").alias("_part"), before.alias("base")), "training-parts")
     n = stored.count()
     order = Feistel(n, seed)
 
