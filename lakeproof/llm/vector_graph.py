@@ -24,8 +24,6 @@ class Graph:
     expand: float = 0.94  # the search goes on through vectors that are at least this close
     shard: int = 2000  # a larger cell is split
     fanout: int = 8
-    copies: int = 3  # a vector also goes to the next centres, up to so many in all,
-    overlap_degrees: float = 23.0  # when they are no more than this further away: twice the angle of the cosine
     max_levels: int = 6
     block: int = 2000
 
@@ -40,7 +38,15 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def _cells(classes: DataFrame, graph: Graph) -> DataFrame:
-    """(cell, cid, unit, n, primary): classes in overlapping shards; each has one primary cell."""
+    """(cell, cid, unit, n, primary): classes in overlapping shards.
+
+    Each class has one primary cell, and all it may be linked with are there too:
+    if x is nearest to centre c, x.(d - c) <= 0 for every centre d, so for y
+    within the chord r of x, y.(d - c) <= r |d - c|. A class goes to every centre
+    where this holds for its own nearest d. A cell whose parts would have more
+    than half its pairs again stays whole.
+    """
+    chord = (2 - 2 * graph.cosine) ** 0.5
     rows = classes.select(F.col("label").cast("string").alias("cell"), "cid", "unit", "n", F.lit(True).alias("primary"))
     done = []
     for level in range(graph.max_levels):
@@ -54,13 +60,19 @@ def _cells(classes: DataFrame, graph: Graph) -> DataFrame:
         share = F.least(F.lit(graph.fanout + 0.0), F.ceil(F.col("size") * 2 / graph.shard)) / F.col("size")
         drawn = (F.xxhash64("cid", F.lit(level)) / F.lit(2.0**64) + 0.5) < share
         centres = large.where(drawn).groupBy("cell").agg(F.slice(F.sort_array(F.collect_list(F.struct("cid", "unit"))), 1, 4 * graph.fanout).alias("centres"))
-        near = F.transform("centres", lambda c: F.struct(-_dot(F.col("unit"), c["unit"]), c["cid"].alias("centre")))
-        ranked = large.join(centres, "cell", "left").withColumn("near", F.sort_array(near))
-        angle = lambda c: F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -c["col1"]))))
-        within = F.filter(F.slice("near", 1, graph.copies), lambda c: angle(c) - angle(F.get("near", F.lit(0))) <= graph.overlap_degrees)
-        to = F.when(F.col("near").isNull(), F.array(F.lit(None).cast("string"))).otherwise(F.transform(within, lambda c: c["centre"]))
-        rows = ranked.select("cell", "cid", "unit", "n", "primary", F.posexplode(to).alias("nth", "centre")).select(
-            F.concat_ws("/", "cell", F.coalesce("centre", F.lit("-"))).alias("cell"), "cid", "unit", "n", (F.col("primary") & (F.col("nth") == 0)).alias("primary")
+        apart = F.transform("centres", lambda c: F.transform("centres", lambda d: F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * _dot(c["unit"], d["unit"])))))
+        near = F.transform("centres", lambda c, i: F.struct((-_dot(F.col("unit"), c["unit"])).alias("away"), c["cid"].alias("centre"), i.alias("at")))
+        ranked = large.join(centres.withColumn("apart", apart), "cell").withColumn("near", near).withColumn("first", F.array_min("near"))
+        reach = lambda c: chord * F.get(F.get("apart", F.col("first.at")), c["at"]) + 1e-9
+        within = F.filter("near", lambda c: c["away"] - F.col("first.away") <= reach(c))
+        to = F.transform(within, lambda c: F.struct(c["centre"].alias("centre"), (c["centre"] == F.col("first.centre")).alias("nearest")))
+        dealt = frames.materialise(ranked.select("cell", "cid", "unit", "n", "primary", "size", to.alias("to")), "graph-dealt")
+        parts = dealt.select("cell", "size", F.explode("to.centre").alias("centre")).groupBy("cell", "size", "centre").agg(F.count(F.lit(1)).cast("double").alias("part"))
+        pays = parts.groupBy("cell", "size").agg(F.sum(F.col("part") * F.col("part")).alias("pairs")).where(2 * F.col("pairs") <= F.col("size").cast("double") * F.col("size"))
+        pays = frames.materialise(pays.select("cell"), "graph-split")
+        done.append(large.join(pays, "cell", "left_anti").select("cell", "cid", "unit", "n", "primary"))
+        rows = dealt.join(pays, "cell").select("cell", "cid", "unit", "n", "primary", F.inline("to")).select(
+            F.concat_ws("/", "cell", "centre").alias("cell"), "cid", "unit", "n", (F.col("primary") & F.col("nearest")).alias("primary")
         )
     return _union([*done, frames.materialise(rows, "graph-cells")])
 
@@ -153,7 +165,10 @@ _FOUND_ARROW = pa.schema([("a", pa.string()), ("b", pa.string()), ("n_links", pa
 
 
 def _report(cids: list[str], n: np.ndarray, primary: np.ndarray, pairs: set[tuple[int, int]]) -> pa.Table:
-    """Counts for pairs at home in this cell, with a forest of them; and each pair that is at home in two cells."""
+    """Counts for the rows at home in this cell, and a forest of the pairs with such a row.
+
+    A row's links are all in its primary cell, so they are counted there and nowhere else.
+    """
     counts, parent, rows = np.zeros(len(cids), np.int64), list(range(len(cids))), []
 
     def root(x: int) -> int:
@@ -163,16 +178,16 @@ def _report(cids: list[str], n: np.ndarray, primary: np.ndarray, pairs: set[tupl
         return x
 
     for i, k in sorted(pairs):
-        if primary[i] and primary[k]:
+        if not (primary[i] or primary[k]):
+            continue
+        if primary[i]:
             counts[i] += n[k]
+        if primary[k]:
             counts[k] += n[i]
-            a, b = root(i), root(k)
-            if a != b:
-                parent[a] = b
-                rows.append((cids[i], cids[k], 0, "edge"))
-        elif primary[i] or primary[k]:
-            a, b = (i, k) if cids[i] < cids[k] else (k, i)
-            rows.append((cids[a], cids[b], 0, "border"))
+        a, b = root(i), root(k)
+        if a != b:
+            parent[a] = b
+            rows.append((cids[i], cids[k], 0, "edge"))
     rows += [(cids[i], None, int(c), "count") for i, c in enumerate(counts) if c]
     return pa.table([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [[]] * 4, _FOUND_ARROW.types, strict=True)], schema=_FOUND_ARROW)
 
@@ -234,9 +249,9 @@ def near_vectors(
     Reported links are exact; a link may be missed when the walk through the
     graph does not come by (see ``audit_recall``). Classes of copies are dealt into overlapping shards: cells that
     are too large are split around a few of their own members, and what lies
-    between two centres goes to both. Cells that do not fall apart are compared
-    block by block, exactly. Links between classes of one cell are counted there;
-    only links across cells travel as pairs.
+    between centres goes to all of them, so that every row meets all its links in
+    its primary cell, where they are counted. Cells that do not fall apart are
+    compared block by block, exactly.
     """
     source = vectors.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"), F.col(f"`{label_col}`").alias("label"))
     usable = F.coalesce(_usable(F.col("v")) & F.col("label").isNotNull(), F.lit(False))
@@ -253,10 +268,8 @@ def near_vectors(
     classes = frames.materialise(classes, "graph-classes")
 
     found = frames.step(_found(_cells(classes, graph), graph), "graph-links")
-    border = found.where("kind = 'border'").select("a", "b").distinct()
-    sides = border.union(border.select("b", "a")).toDF("a", "b").join(classes.select(F.col("cid").alias("b"), "n"), "b").select("a", F.col("n").alias("n_links"))
-    links = found.where("kind = 'count'").select("a", "n_links").unionByName(sides).groupBy("a").agg(F.sum("n_links").alias("other"))
-    labels = components(found.where("kind <> 'count'").select("a", "b"), "graph-components")
+    links = found.where("kind = 'count'").groupBy("a").agg(F.sum("n_links").alias("other"))
+    labels = components(found.where("kind = 'edge'").select("a", "b"), "graph-components")
 
     labelled = (
         rows.select("vec_id", "cid")

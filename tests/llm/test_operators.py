@@ -347,6 +347,31 @@ def test_vectors_match_brute_force(spark):
     assert hits >= 0.9 * total > 0
 
 
+def test_vector_links_across_shards(spark):
+    """Pairs just over the threshold, split over several levels: both are in the primary cell of either."""
+    rng = np.random.default_rng(6)
+    graph = vector_graph.Graph(cosine=0.995, shard=100, block=80)
+    one, turn = rng.normal(size=(2, 500, 4))
+    one /= np.linalg.norm(one, axis=1)[:, None]
+    turn -= (one * turn).sum(1)[:, None] * one
+    turn /= np.linalg.norm(turn, axis=1)[:, None]
+    angle = 0.97 * np.arccos(graph.cosine)
+    unit = np.vstack([one, one * np.cos(angle) + turn * np.sin(angle)])
+    near = unit @ unit.T >= graph.cosine
+    np.fill_diagonal(near, False)
+    classes = spark.createDataFrame([(str(i), v.tolist(), 1, 0) for i, v in enumerate(unit)], "cid string, unit array<double>, n int, label int")
+    cells = [(r.cell, int(r.cid), r.primary) for r in vector_graph._cells(classes, graph).select("cell", "cid", "primary").collect()]
+    assert max(c.count("/") for c, _, _ in cells) >= 2
+    members, home = defaultdict(set), {i: c for c, i, primary in cells if primary}
+    for c, i, _ in cells:
+        members[c].add(i)
+    assert len(home) == len(unit) == sum(primary for _, _, primary in cells)
+    assert all(set(np.flatnonzero(near[i])) <= members[c] for i, c in home.items())
+    vectors = classes.select(F.col("cid").cast("long").alias("vec_id"), F.col("unit").alias("embedding"), "label")
+    got = {r.vec_id: r.n_links for r in vector_graph.near_vectors(vectors, graph).collect()}
+    assert [got[i] for i in range(len(unit))] == near.sum(1).tolist()
+
+
 def test_empty_tables(spark, odd):
     empty = odd.limit(0)
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
