@@ -372,6 +372,25 @@ def test_vector_links_across_shards(spark):
     assert [got[i] for i in range(len(unit))] == near.sum(1).tolist()
 
 
+def test_vector_graph_leaves_dense_groups():
+    """Groups of more near-equal vectors than a row has candidates, beside each other; equal directions; an island."""
+    rng = np.random.default_rng(8)
+    axes = np.eye(32)
+    side = 0.99 * axes[0] + np.sqrt(1 - 0.99**2) * axes[1]
+    groups = [centre + rng.normal(size=(100, 32)) * 1e-4 for centre in (axes[0], side)]
+    unit = np.vstack([*groups, axes[2] + rng.normal(size=(250, 32)) * 1e-4, np.repeat(axes[3:4], 90, 0)])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    graph = vector_graph.Graph()
+    links = vector_graph.build(unit, graph)
+    assert not vector_graph.islands([set(x) for x in links]).any()
+    medoid = int(np.argmax(unit @ unit.mean(0)))
+    assert 200 <= medoid
+    near = unit @ unit.T >= graph.cosine
+    np.fill_diagonal(near, False)
+    assert near[:100, 100:200].all()
+    assert [x.tolist() for x in vector_graph.search(unit, links, medoid, graph)] == [np.flatnonzero(x).tolist() for x in near]
+
+
 def test_empty_tables(spark, odd):
     empty = odd.limit(0)
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
