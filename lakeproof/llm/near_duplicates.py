@@ -313,7 +313,7 @@ def _settle_nodes(large: DataFrame, classes: DataFrame, texts: DataFrame, labels
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, key, n_shingles, component_id, kept.
+    """One row for each row of ``docs``: doc_id, key, n_shingles, component_id, component, kept.
 
     Two documents are linked when the Jaccard similarity of their sets of word
     shingles reaches the threshold; A-Z count as a-z. A document with fewer words
@@ -321,8 +321,9 @@ def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id"
     empty or a null text has none, is linked with nothing and is its own
     component. component_id is the smallest doc_id reachable by links, itself
     included; kept says that it is the document's own. A null id stands behind
-    all others, so it is a component's id only if all are null. Equal rows get
-    equal answers. ``key`` tells apart rows of equal id. An empty table gives an
+    all others, so it is a component's id only if all are null. Ids may
+    repeat, so components may share one; ``component`` is the component's own
+    label, null without words. Equal rows get equal answers. ``key`` tells apart rows of equal id. An empty table gives an
     empty result. Other columns are not read.
 
     Every link that is reported is confirmed on full shingle sets (64-bit
@@ -356,7 +357,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id"
     least = labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("_least")).withColumnRenamed("label", "_of")
     joined = labelled.join(least, F.col("label") == F.col("_of"), "left")
     component = F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
+    return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("label").alias("component")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
@@ -369,8 +370,8 @@ def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """
     found = near_duplicates(docs, join).where("kept")
     alone = found.where("n_shingles = 0").select("doc_id", "key")
-    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min("key").alias("key"))
-    kept = alone.union(first.select(F.col("component_id").alias("doc_id"), "key")).distinct()
+    first = found.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("at"))
+    kept = alone.union(first.select("at.doc_id", "at.key")).distinct()
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("key").alias("_kept"))
     tagged = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),

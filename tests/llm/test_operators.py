@@ -216,6 +216,16 @@ def test_keep_one_leaves_one_of_each_group(spark, odd):
     assert len(rows) == len({(r.doc_id, r.text) for r in rows}) and len(rows) < odd.count()
 
 
+def test_keep_one_keeps_unrelated_texts_of_one_id(spark):
+    """Repeated and null ids: components are told apart by their texts."""
+    texts = [" ".join(f"t{i}w{k}" for k in range(40)) for i in range(9)]
+    near = texts[0] + " end"
+    rows = [(5, texts[0]), (5, texts[1]), (6, near), (None, near), *((None, t) for t in texts[2:6]), (7, texts[6]), (None, texts[6]), (None, texts[7]), (None, texts[7] + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.text.split(" end")[0]) for r in near_duplicates.keep_one(docs).collect())
+    assert got == Counter([(5, texts[0]), (5, texts[1]), *((None, t) for t in texts[2:6]), (7, texts[6]), (None, texts[7])])
+
+
 def brute_lines(rows):
     where = []
     lines = {}
