@@ -9,12 +9,14 @@ are compared exhaustively, on full shingle sets, where the signatures leave a
 link possible; a pair that meets in several trees is looked at in the first.
 Larger nodes are first compared with a few of their own members
 (pivots), and fall apart further only if they still hold more than one component.
+The deeper they had to fall, the more trees their classes are sorted into.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,9 @@ _U = np.uint64
 class Join:
     """Parameters of the similarity join.
 
-    Links are pairs with 100 * intersection >= percent * union. ``slack`` is how many standard errors an estimate may lie
-    below the threshold before the pair is given up.
+    Links are pairs with 100 * intersection >= percent * union. ``miss`` is the
+    probability with which a pair at the threshold may be missed; a tenth of it
+    is for the comparison of signatures.
     """
 
     words: int = 5
@@ -41,13 +44,47 @@ class Join:
     node_limit: int = 4000
     pivots: int = 2
     max_depth: int = 8
-    slack: float = 3.5
+    miss: float = 1e-4
+
+    @property
+    def equal(self) -> list[float]:
+        """How likely a pair at the threshold shares 0, 1, … signature values."""
+        p, n = self.percent / 100, self.signature
+        return [comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
 
     @property
     def least_equal(self) -> int:
         """Signature values two classes must share to be looked at."""
-        p = self.percent / 100
-        return int(self.signature * (p - self.slack * (p * (1 - p) / self.signature) ** 0.5))
+        return int(np.searchsorted(np.cumsum(self.equal), self.miss / 10, side="right"))
+
+    def missed(self, trees: int, depth: int) -> float:
+        """How likely no tree brings a pair at the threshold together, where nodes are split down to ``depth``.
+
+        The first trees hold all classes; the others only those of nodes that
+        were split on, so a pair must have met at depth two before.
+        """
+        out = 0.0
+        for k, weight in enumerate(self.equal):
+            two = (1 - _meets(k / self.signature, 2)) ** self.trees
+            deep = 1 - _meets(k / self.signature, depth)
+            out += weight * (two + (deep**self.trees - two) * deep ** (trees - self.trees))
+        return out
+
+    def trees_for(self, depth: int) -> int:
+        """Trees that keep what is missed under ``miss``, or as near to it as the first trees let it be."""
+        goal = max(self.miss * 0.9, self.missed(self.trees, 2) * 1.01)
+        trees = self.trees
+        while self.missed(trees, depth) > goal:
+            trees += 1
+        return trees
+
+
+def _meets(similarity: float, depth: int) -> float:
+    """How likely a pair that shares so much of its signature is together in a node of this depth of a tree."""
+    p = 1.0
+    for _ in range(depth):
+        p = 1 - (1 - similarity * p) * (1 - similarity * p / 4)
+    return p
 
 
 def _signature_rows(source: DataFrame, join: Join) -> DataFrame:
@@ -92,14 +129,14 @@ def _children(path: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(rows), np.concatenate(out)
 
 
-def _plant(classes: DataFrame, join: Join) -> DataFrame:
-    """(tree, path, cid): the nodes of depth two that each class reaches."""
+def _plant(classes: DataFrame, join: Join, trees: range) -> DataFrame:
+    """(tree, path, cid): the nodes of depth two that each class reaches in these trees."""
     arrow = pa.schema([("tree", pa.int32()), ("path", pa.int64()), ("cid", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig = _matrix(batch.column(1), join.signature)
-            for tree in range(join.trees):
+            for tree in trees:
                 row, path = np.arange(len(sig)), np.full(len(sig), arrays.mix(np.array([tree + 1], _U))[0])
                 for _ in range(2):
                     more, path = _children(path, sig[row])
@@ -296,20 +333,39 @@ def _grid(rows: DataFrame, join: Join) -> DataFrame:
     return sized.select("tree", "path", "cid", F.inline(cells))
 
 
-def _settle_nodes(large: DataFrame, classes: DataFrame, texts: DataFrame, labels: _Labels, join: Join) -> list[DataFrame]:
-    """Finds the links within large nodes, down to small ones, whose rows it returns."""
-    small = []
+def _settle_nodes(large: DataFrame, classes: DataFrame, texts: DataFrame, labels: _Labels, join: Join) -> tuple[list[DataFrame], DataFrame | None, int]:
+    """Finds the links within large nodes, down to small ones: the rows of those, the classes of nodes that were split, the depth reached."""
+    small, crowd = [], None
     for depth in range(join.max_depth):
+        if not large.isEmpty():
+            large = _settle_large(large, classes, texts, labels, join, depth)
         if large.isEmpty():
-            return small
-        large = _settle_large(large, classes, texts, labels, join, depth)
+            return small, crowd, 2 + depth
+        crowd = frames.step(large.select("cid").distinct(), "near-crowd") if crowd is None else crowd
         children = frames.step(_sized(_split(large, classes, join)), "near-children")
         small.append(children.where(F.col("size") <= join.node_limit).select("tree", "path", "cid"))
         large = labels.unsettled(children.where(F.col("size") > join.node_limit).select("tree", "path", "cid"))
         large = frames.step(large.select("tree", "path", "cid"), "near-large")
     if not large.isEmpty():
         labels.add(_compare(labels.attach(_grid(large, join)), texts, ["tree", "path", "x", "y"], join))
-    return small
+    return small, crowd, 2 + join.max_depth
+
+
+def _settle(small: DataFrame, large: DataFrame, classes: DataFrame, texts: DataFrame, labels: _Labels, join: Join) -> None:
+    """Finds the links within nodes; then in further trees over the classes of nodes that were split, as many as the depth reached asks for."""
+    rows, crowd, depth = _settle_nodes(large, classes, texts, labels, join)
+    planted = join.trees
+    while True:
+        for more in rows:
+            small = small.unionByName(more)
+        labels.add(_compare(labels.unsettled(small), texts, ["tree", "path"], join))
+        if crowd is None or join.trees_for(depth) <= planted:
+            return
+        trees = range(planted, join.trees_for(depth))
+        nodes = frames.step(_sized(_plant(classes.join(crowd, "cid"), join, trees)), "near-nodes")
+        small = nodes.where(F.col("size") <= join.node_limit).select("tree", "path", "cid")
+        rows, _, reached = _settle_nodes(nodes.where(F.col("size") > join.node_limit).select("tree", "path", "cid"), classes, texts, labels, join)
+        planted, depth = trees.stop, max(depth, reached)
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -327,8 +383,9 @@ def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id"
     empty result. Other columns are not read.
 
     Every link that is reported is confirmed on full shingle sets (64-bit
-    hashes). A pair is missed if no tree brings it together, with a probability
-    below 1e-4 at the threshold and less above it.
+    hashes). A pair is missed if no tree brings it together, or its signatures
+    differ too much, with a probability below 1e-4 at the threshold and less
+    above it, however deep its nodes are split (see ``Join.missed``).
 
     Classes of equal sets count as one, so thousands of copies weigh nothing.
     Members of a large node are compared with a few pivots, never with each
@@ -340,7 +397,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id"
     classes = rows.where("n > 0").groupBy("cid").agg(F.first("sig").alias("sig"), F.min(F.struct("doc_id", "key")).alias("at"))
     classes = frames.step(classes, "near-classes")
 
-    nodes = frames.step(_sized(_plant(classes, join)), "near-nodes")
+    nodes = frames.step(_sized(_plant(classes, join, range(join.trees))), "near-nodes")
     few = nodes.where(F.col("size") <= join.node_limit)
     large = nodes.where(F.col("size") > join.node_limit).select("tree", "path", "cid")
     small = frames.step(_possible(few, large, classes, join), "near-possible")
@@ -349,9 +406,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id"
     texts = frames.step(texts, "near-texts")
 
     labels = _Labels(classes)
-    for more in _settle_nodes(large, classes, texts, labels, join):
-        small = small.unionByName(more)
-    labels.add(_compare(labels.unsettled(small), texts, ["tree", "path"], join))
+    _settle(small, large, classes, texts, labels, join)
 
     labelled = labels.attach(rows.select("doc_id", "key", "n", "cid"))
     least = labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("_least")).withColumnRenamed("label", "_of")

@@ -26,6 +26,7 @@ from lakeproof.llm import (
     quality,
     queries,
     repeats,
+    shingles,
     suffixes,
     token_counts,
     training_order,
@@ -209,6 +210,33 @@ def test_near_duplicates_match_brute_force(spark, odd, settings):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_trees_reach_the_target():
+    """4,200 classes that share a passage, in pairs over the threshold: as many trees as their depth asks for miss none."""
+    join = near_duplicates.Join(words=1)
+    below = sum(join.equal[: join.least_equal])
+    assert all(join.missed(join.trees_for(d), d) + below <= join.miss for d in range(2, 3 + join.max_depth))
+    passage, texts = [f"p{k}" for k in range(30)], []
+    for g in range(2100):
+        own = [f"g{g}w{k}" for k in range(20)]
+        texts += [" ".join(passage + own), " ".join(passage + own[5:] + [f"g{g}x{k}" for k in range(5)])]
+    raw = [t.encode() for t in texts]
+    h, bounds = shingles.shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in raw])]), join.words)
+    sig = shingles.signatures(h, bounds, join.signature)
+    assert ((sig[::2] == sig[1::2]).sum(1) >= join.least_equal).all()
+    depth, met, missed = 6, np.zeros(2100, bool), {}
+    for tree in range(join.trees_for(depth)):
+        row, path = np.arange(4200), np.full(4200, arrays.mix(np.array([tree + 1], np.uint64))[0])
+        for _ in range(depth):
+            more, path = near_duplicates._children(path, sig[row])
+            row = row[more]
+        nodes = defaultdict(set)
+        for r, x in zip(row.tolist(), path.tolist(), strict=True):
+            nodes[r].add(x)
+        met |= [bool(nodes[2 * g] & nodes[2 * g + 1]) for g in range(2100)]
+        missed[tree + 1] = int((~met).sum())
+    assert missed[join.trees] > 0 == missed[join.trees_for(depth)]
+
+
 def test_keep_one_leaves_one_of_each_group(spark, odd):
     kept = near_duplicates.keep_one(odd)
     rows = kept.collect()
