@@ -150,9 +150,10 @@ def convert_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = [c.source_name for c in star.SPECS["dim_supplier"].columns]
     target = delimited.convert_delimited(spark, source, new_scratch(spark, "converted"), header)
     audit = delimited.ragged_rows(spark, target, header)
-    read_back = delimited.text_columns(spark, target, star.SPECS["dim_supplier"]).selectExpr(
-        "count_if(endswith(supplier_alternate_key, ', \"Co\"')) AS quoted",
-        "sum(CAST(supplier_key AS BIGINT)) AS key_total",
+    key, name_, *_ = header
+    read_back = delimited.parsed_rows(spark, target, header).selectExpr(
+        f"count_if(endswith({name(name_)}, ', \"Co\"')) AS quoted",
+        f"sum(CAST({name(key)} AS BIGINT)) AS key_total",
     )
     both = audit.unionByName(read_back, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in ("rows", "ragged", "quoted", "key_total")])

@@ -134,21 +134,21 @@ def convert_delimited(spark: SparkSession, source: str, target: str, header: lis
     return target
 
 
-def ragged_rows(spark: SparkSession, path: str, header: list[str], multi_line: bool = False) -> DataFrame:
-    """(rows, ragged): counted by parsing every field, never by counting lines.
+def parsed_rows(spark: SparkSession, path: str, header: list[str], multi_line: bool = False) -> DataFrame:
+    """Every row of a converted file, whatever its width: the header's fields, and in ``_ragged`` a row of another width.
 
     Column pruning is off for this scan: with it the parser would skip fields
-    and miss short and long rows.
+    and miss short and long rows. The parser refuses a query that reads
+    ``_ragged`` alone.
     """
     schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, _BAD]])
-    parsed = (
-        spark.read.options(
-            **_DIALECT, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, columnPruning=False
-        )
-        .schema(schema)
-        .csv(path)
-    )
-    # Rows are counted through the first column, because the parser refuses a
-    # query that reads the corrupt-record column alone.
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "columnPruning": False}
+    return spark.read.options(**_DIALECT, **options, multiLine=multi_line).schema(schema).csv(path)
+
+
+def ragged_rows(spark: SparkSession, path: str, header: list[str], multi_line: bool = False) -> DataFrame:
+    """(rows, ragged): counted by parsing every field, never by counting lines."""
+    parsed = parsed_rows(spark, path, header, multi_line)
+    # Rows are counted through the first column, because of the rule above.
     first = quoted(header[0])
     return parsed.selectExpr(f"count({first}) + count_if({first} IS NULL) AS rows", f"count_if({_BAD} IS NOT NULL) AS ragged")
