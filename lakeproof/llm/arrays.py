@@ -87,15 +87,47 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+class Packed:
+    """Slices of a byte array as 64-bit words, each slice from its own first byte, the last word filled with zeros.
+
+    Two slices are equal exactly if their lengths and their words are.
+    """
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        self.lengths = ends - starts
+        self.counts = (self.lengths + 7) >> 3
+        self.first = np.cumsum(self.counts) - self.counts
+        self.owner = np.repeat(np.arange(len(starts)), self.counts)
+        self.nth = np.arange(len(self.owner)) - self.first[self.owner]
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        at = starts[self.owner] + 8 * self.nth
+        words = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded, 0, (1,))[at]
+        self.words = words & _LAST[np.minimum(ends[self.owner] - at, 8)]
+
+    def hash(self, kind: int = 0) -> np.ndarray:
+        """64-bit hashes; those of two kinds are independent. Each word is mixed with its place before they are added."""
+        seed = _U(_SEEDS[kind])
+        with np.errstate(over="ignore"):
+            mixed = mix(mix(self.words + (self.nth.astype(_U) + _U(1)) * seed) ^ seed)
+            sums = np.concatenate([np.zeros(1, _U), np.cumsum(mixed)])
+            return mix(sums[self.first + self.counts] - sums[self.first] + self.lengths.astype(_U) * seed)
+
+
+_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_LAST = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
+
+
 def segment_hash(data: np.ndarray, starts: np.ndarray, kind: int = 0) -> np.ndarray:
     """A 64-bit hash of each of the segments into which ``starts`` cuts ``data``."""
-    if not len(starts):
-        return np.zeros(0, _U)
-    return window_hash(prefix_hash(data, kind), starts, np.append(starts[1:], len(data)), kind)
+    return Packed(data, starts, np.append(starts[1:], len(data))).hash(kind) if len(starts) else np.zeros(0, _U)
 
 
 def prefix_hash(data: np.ndarray, kind: int = 0) -> np.ndarray:
-    """Prefix sums from which ``window_hash`` takes the hash of any slice."""
+    """Prefix sums from which ``window_hash`` takes the hash of any slice.
+
+    A polynomial modulo 2^64, which texts of a thousand symbols can be built to
+    collide under; only for slices shorter than that.
+    """
     out = np.zeros(len(data) + 1, _U)
     with np.errstate(over="ignore"):
         np.cumsum(TABLES[kind][data] * POWERS[kind].up(len(data) + 1)[: len(data)], out=out[1:])
@@ -110,12 +142,13 @@ def window_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind:
 
 
 class Remembered:
-    """Values of segments by their hash; forgets everything when it grows too large.
+    """Values of segments, found by their hash; forgets everything when it grows too large.
 
     A pure cache: what it forgets is computed again, so its size changes no result.
-    An open hash table that is probed for all segments of a block at once.
-    ``compute`` gets the byte strings of unknown segments and returns a list of
-    integer sequences.
+    An open hash table that is probed for all segments of a block at once. The
+    segments themselves are kept and compared, so one that shares its hash with
+    another is computed on its own. ``compute`` gets the byte strings of unknown
+    segments and returns a list of integer sequences.
     """
 
     SLOTS = 1 << 21
@@ -130,6 +163,9 @@ class Remembered:
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int32)
         self.flat = np.zeros(0, self.kind)
+        self.lengths = np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.int64)
+        self.words = np.zeros(0, _U)
 
     def _probe(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The slot of each hash, or the free slot where its search ends; and whether it is there."""
@@ -161,11 +197,39 @@ class Remembered:
             rest[first] = False
             hashes, rows = hashes[rest], rows[rest]
 
+    def _append(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Compute the values of these segments; their rows."""
+        raw = data.tobytes()
+        values = self.compute([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        rows = np.arange(len(self.sizes), len(self.sizes) + len(values), dtype=np.int32)
+        sizes = np.fromiter(map(len, values), np.int32, len(values))
+        flat = np.fromiter(chain.from_iterable(values), self.kind, int(sizes.sum()))
+        packed = Packed(data, starts, ends)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes, dtype=np.int64) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, flat])
+        self.first = np.concatenate([self.first, len(self.words) + packed.first])
+        self.lengths = np.concatenate([self.lengths, packed.lengths])
+        self.words = np.concatenate([self.words, packed.words])
+        return rows
+
+    def _differ(self, packed: Packed, rows: np.ndarray) -> np.ndarray:
+        """Which segments are not the ones their rows were computed for."""
+        other = self.lengths[rows] != packed.lengths
+        safe = np.where(other, 0, packed.counts)  # only words of equally long segments can be laid side by side
+        inside = np.repeat(~other, packed.counts)
+        at = np.repeat(self.first[rows], safe) + packed.nth[inside]
+        unequal = self.words[at] != packed.words[inside]
+        other[packed.owner[inside][unequal]] = True
+        return np.flatnonzero(other)
+
     def lookup(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The row of ``starts``/``sizes`` that holds the value of each segment."""
         if not len(starts):
             return np.zeros(0, np.int64)
-        hashes = np.maximum(segment_hash(data, starts), _U(1))
+        ends = np.append(starts[1:], len(data))
+        packed = Packed(data, starts, ends)
+        hashes = np.maximum(packed.hash(), _U(1))
         if len(self.sizes) > self.limit:
             self._clear()
         slot, known = self._probe(hashes)
@@ -173,17 +237,14 @@ class Remembered:
         if len(missing):
             new, first = np.unique(hashes[missing], return_index=True)
             first = missing[first]
-            ends = np.append(starts, len(data))
-            raw, spans = data.tobytes(), zip(starts[first].tolist(), ends[first + 1].tolist(), strict=True)
-            values = self.compute([raw[a:b] for a, b in spans])
-            sizes = np.fromiter(map(len, values), np.int32, len(values))
-            flat = np.fromiter(chain.from_iterable(values), self.kind, int(sizes.sum()))
-            self._insert(new, np.arange(len(self.sizes), len(self.sizes) + len(new), dtype=np.int32))
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes, dtype=np.int64) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.flat = np.concatenate([self.flat, flat])
+            self._insert(new, self._append(data, starts[first], ends[first]))
             slot, _ = self._probe(hashes)
-        return self.rows[slot]
+        rows = self.rows[slot]
+        odd = self._differ(packed, rows)
+        if len(odd):
+            rows = rows.copy()
+            rows[odd] = self._append(data, starts[odd], ends[odd])
+        return rows
 
     def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All values of the rows one after another, and how many each has."""
