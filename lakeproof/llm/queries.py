@@ -10,8 +10,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeproof.llm import (
+    best_fit,
+    hard_negatives,
     language_model,
     line_windows,
+    merkle,
     mixing,
     near_duplicates,
     packing,
@@ -167,3 +170,84 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixture(read(spark, sf_dir, "documents"), tree(), WEIGHTS, MIX_FRACTION)
     return mixed.select("doc_id", "domain", "language", "origin", "n_tokens", "quota", "n_copies")
+
+
+@query
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(read(spark, sf_dir, "documents"), best_fit.default_path())
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    tampers = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    tampered = {"n_chars": F.try_add("n_chars", F.lit(1))}
+    return merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], tampered, tampers)
+
+
+def _spelled(*values: str) -> str:
+    return " || ".join(f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values)
+
+
+ORACLES["op12_merkle"] = f"""
+WITH RECURSIVE leaf AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, sha256({_spelled("doc_id", "source", "lang", "n_chars", "text")}) AS h,
+         sha256({_spelled("doc_id", "source", "lang", "n_chars + 1", "text")}) AS changed,
+         list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT) AS digits
+  FROM documents),
+sum AS (
+  SELECT r, xor(list_reduce(list_prepend(4294967295::BIGINT, digits), lambda crc, d:
+    list_reduce(list_prepend(xor(crc, d), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+    4294967295) AS crc FROM leaf),
+placed AS (
+  SELECT leaf.*, CASE WHEN crc % 7 = 0 THEN changed ELSE h END AS other, count(*) OVER (PARTITION BY lang) AS n,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM leaf JOIN sum USING (r)),
+node AS (
+  SELECT lang, 0 AS level, pos, n, h FROM placed UNION ALL
+  SELECT lang, level + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY lang, level, pos // 2),
+sub AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+crown AS (
+  SELECT 0 AS level, pos, n, h FROM sub UNION ALL
+  SELECT level + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY pos)) FROM crown WHERE n > 1 GROUP BY level, pos // 2),
+climb AS (
+  SELECT r, lang, 0 AS level, pos, n, other AS v, '' AS proof FROM placed UNION ALL
+  SELECT c.r, c.lang, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+         sha256(CASE WHEN c.pos % 2 = 0 THEN c.v || coalesce(s.h, '') ELSE s.h || c.v END), c.proof || coalesce(s.h, '')
+  FROM climb c LEFT JOIN node s ON s.lang IS NOT DISTINCT FROM c.lang AND s.level = c.level AND s.pos = xor(c.pos, 1) WHERE c.n > 1),
+rise AS (
+  SELECT c.r, 0 AS level, sub.pos, sub.n, c.v, c.proof FROM climb c JOIN sub ON sub.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1 UNION ALL
+  SELECT c.r, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+         sha256(CASE WHEN c.pos % 2 = 0 THEN c.v || coalesce(s.h, '') ELSE s.h || c.v END), c.proof || coalesce(s.h, '')
+  FROM rise c LEFT JOIN crown s ON s.level = c.level AND s.pos = xor(c.pos, 1) WHERE c.n > 1)
+SELECT placed.doc_id, placed.h AS leaf, sub.h AS subroot, crown.h AS root, sha256(rise.proof) AS proof_sha256,
+       rise.v AS folded_root, rise.v = crown.h AS verified
+FROM placed JOIN sub ON sub.lang IS NOT DISTINCT FROM placed.lang JOIN rise ON rise.r = placed.r AND rise.n = 1 JOIN crown ON crown.n = 1
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id, CAST(list_inner_product(a.e, v.e) AS BIGINT) AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id AND len(a.e) = len(v.e) WHERE a.vec_id % 50 = 0),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negative AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 3
+"""
