@@ -27,6 +27,7 @@ from lakeproof.session import local_frame
 
 _GAP, _DOCUMENT = 0, 1
 _PLACED, _LEFT, _UNUSED, _RENEWED = range(4)
+_SUMMARY = 4  # added to a tag: one row for each task, with the number, the tokens and the least size of its rows
 
 
 @dataclass(frozen=True)
@@ -36,12 +37,14 @@ class Fit:
     Documents that fit ``classes`` times or fewer into a sequence are placed
     class by class, before the smaller ones, as a descending best fit would. A
     class that places less than a ``stalled``-th of its documents in a round gets new sequences.
+    A sweep has as many ranges as hold ``range_rows`` rows each.
     """
 
     capacity: int = 1024
     separator: int = 2
     classes: int = 3
     stalled: int = 64
+    range_rows: int = 1 << 16
 
     def phases(self) -> list[tuple[int, int, int | None]]:
         """Shortest and longest document of each phase, and how many of them a sequence holds."""
@@ -156,7 +159,7 @@ def _gap(schema: StructType, size: Column, key: Column) -> list[Column]:
     return [F.lit(_GAP).alias("kind"), size.cast("int").alias("size"), key.alias("key"), *nothing]
 
 
-def _swept(events: DataFrame) -> DataFrame:
+def _swept(events: DataFrame, ranges: int) -> DataFrame:
     """The events after the sweeps: tag, kind, size, key, fields of the document, sequence_id, offset, task, rank."""
     schema = frames.plus(events.schema, "tag int, sequence_id long, offset long, task int, rank long")
     arrow, names = frames.arrow_schema(schema), events.columns
@@ -184,14 +187,22 @@ def _swept(events: DataFrame) -> DataFrame:
         sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
         sequence[mine], offset[mine] = key[gap], -size[gap]
         rank = np.concatenate([np.arange(n) for n in parts])
-        more = [tag, sequence, offset, np.full(len(rows), TaskContext.get().partitionId()), rank]
+        task = TaskContext.get().partitionId()
+        more = [tag, sequence, offset, np.full(len(rows), task), rank]
         columns = [*out.columns, *more]
         columns[1] = sizes
-        arrays = [(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else pa.array(c)).cast(f.type) for c, f in zip(columns, arrow, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        columns = [(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else pa.array(c)).cast(f.type) for c, f in zip(columns, arrow, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        told = [
+            {"kind": _GAP, "key": 0, "offset": 0, "tag": _SUMMARY + t, "task": task, "rank": n, "size": sizes[tag == t].min(), "sequence_id": sizes[tag == t].sum()}
+            for t, n in enumerate(parts)
+            if n
+        ]
+        yield pa.RecordBatch.from_pylist(told, schema=arrow)
 
     order = [F.col("size").desc(), F.col("kind"), F.xxhash64("key")]
-    return events.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+    dealt = events.repartitionByRange(ranges, *order) if ranges > 1 else events.coalesce(1)
+    return dealt.sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
 class _Rounds:
@@ -210,20 +221,21 @@ class _Rounds:
 
     def run(self, documents: DataFrame, per_sequence: int | None) -> None:
         """Sweeps until every one of these documents is placed."""
-        low = documents.agg(F.min("size")).first()[0]
+        low, rows = documents.agg(F.min("size"), F.count(F.lit(1))).first()
         if low is None:
             return
+        rows += self.gaps.count()
         aside = []  # gaps for smaller documents
         while True:
             aside.append(self.gaps.where(F.col("size") < low))
             events = documents.unionByName(self.gaps.where(F.col("size") >= low))
-            swept = frames.materialise(_swept(events), "fit-sweep")
-            found = swept.groupBy("task", "tag").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("size").alias("low")).collect()
-            by = lambda tag: {r["task"]: r for r in found if r["tag"] == tag}
-            count = lambda tag: sum(r["n"] for r in by(tag).values())
-            total = lambda tag: sum(r["total"] for r in by(tag).values())
-            left = {t: r["n"] for t, r in by(_LEFT).items()}
-            unused = {t: r["n"] for t, r in by(_UNUSED).items()}
+            swept = frames.materialise(_swept(events, -(-rows // self.fit.range_rows)), "fit-sweep")
+            found = swept.where(F.col("tag") >= _SUMMARY).select("tag", "task", "rank", "size", "sequence_id").collect()
+            by = lambda tag: {r["task"]: r for r in found if r["tag"] == _SUMMARY + tag}
+            count = lambda tag: sum(r["rank"] for r in by(tag).values())
+            total = lambda tag: sum(r["sequence_id"] for r in by(tag).values())
+            left = {t: r["rank"] for t, r in by(_LEFT).items()}
+            unused = {t: r["rank"] for t, r in by(_UNUSED).items()}
             _, matched = across(left, unused, 0)
             placed, remain = count(_PLACED) + matched, count(_LEFT) - matched
             stalled = placed * self.fit.stalled < placed + remain
@@ -244,7 +256,8 @@ class _Rounds:
             if remain <= opened:
                 break
             documents = swept.where(F.col("tag") == _LEFT).select("kind", "size", "key", *_FIELDS)
-            low = min(r["low"] for r in by(_LEFT).values())
+            low = min(r["size"] for r in by(_LEFT).values())
+            rows = remain + count(_UNUSED) + count(_RENEWED)
         if per_sequence is not None:
             for gaps in aside:
                 self.gaps = self.gaps.unionByName(gaps)
@@ -265,32 +278,35 @@ class _Rounds:
         staying = left.where(F.col("_task").isNull()).select(swept.columns)
         going = left.where(F.col("_task").isNotNull())
         opening = going.where(F.col("_gap_task").isNull())
-        meeting = going.where(F.col("_gap_task").isNotNull()).withColumn("_rank", F.col("_gap_rank") - (F.col("rank") - F.col("_low")))
-        unused = swept.where(F.col("tag") == _UNUSED)
-        taken = unused.select(F.col("task").alias("_t"), F.col("rank").alias("_r"), F.col("size").alias("_size"), F.col("key").alias("_key"))
-        both = unused.join(
-            meeting.select(F.col("_gap_task").alias("_t"), F.col("_rank").alias("_r"), F.col("size").alias("_filled")),
-            (F.col("task") == F.col("_t")) & (F.col("rank") == F.col("_r")),
-            "left",
-        )
-        gaps = both.withColumn("tag", F.when(F.col("_t").isNull(), F.lit(_UNUSED)).otherwise(F.lit(_RENEWED))).withColumn(
-            "size", F.col("size") - F.coalesce("_filled", F.lit(0))
-        )
-        met = meeting.join(taken, (F.col("_gap_task") == F.col("_t")) & (F.col("_rank") == F.col("_r")))
-        settled = [F.lit(_PLACED).alias("tag"), F.col("_key").alias("sequence_id"), (-F.col("_size")).cast("long").alias("offset")]
         own = [F.lit(_PLACED).alias("tag"), F.col("key").alias("sequence_id"), F.lit(0).cast("long").alias("offset")]
         room = self.fit.capacity - F.col("size")
         fresh = opening.where(room > 0).select(
             *_gap(self.schema, room, F.col("key")), F.lit(_RENEWED).alias("tag"), F.lit(0).cast("long").alias("sequence_id"),
             F.lit(0).cast("long").alias("offset"), "task", "rank",
         )
-        parts = [staying, met.select(*base, *settled), opening.select(*base, *own), fresh, gaps.where("size > 0").select(swept.columns)]
-        parts.append(swept.where(F.col("tag") == _RENEWED))
+        unused = swept.where(F.col("tag") == _UNUSED)
+        parts = [staying, opening.select(*base, *own), fresh, swept.where(F.col("tag") == _RENEWED)]
+        if all(s.gap_task is None for s in stretches):
+            parts.append(unused)
+        else:
+            parts += self._met(going.where(F.col("_gap_task").isNotNull()), unused, base)
         out = parts[0].select(swept.columns)
         for part in parts[1:]:
             out = out.unionByName(part.select(swept.columns))
         return out
 
+    def _met(self, meeting: DataFrame, unused: DataFrame, base: list[str]) -> list[DataFrame]:
+        """Documents in the gaps of other ranges, and the unused gaps with what these leave of them."""
+        meeting = meeting.withColumn("_rank", F.col("_gap_rank") - (F.col("rank") - F.col("_low")))
+        taken = unused.select(F.col("task").alias("_t"), F.col("rank").alias("_r"), F.col("size").alias("_size"), F.col("key").alias("_key"))
+        filled = meeting.select(F.col("_gap_task").alias("_t"), F.col("_rank").alias("_r"), F.col("size").alias("_filled"))
+        both = unused.join(filled, (F.col("task") == F.col("_t")) & (F.col("rank") == F.col("_r")), "left")
+        tag = F.when(F.col("_t").isNull(), F.lit(_UNUSED)).otherwise(F.lit(_RENEWED))
+        gaps = both.withColumn("tag", tag).withColumn("size", F.col("size") - F.coalesce("_filled", F.lit(0)))
+        met = meeting.join(taken, (F.col("_gap_task") == F.col("_t")) & (F.col("_rank") == F.col("_r")))
+        settled = [F.lit(_PLACED).alias("tag"), F.col("_key").alias("sequence_id"), (-F.col("_size")).cast("long").alias("offset")]
+        return [met.select(*base, *settled), gaps.where("size > 0")]
+
 
 def pack(docs: DataFrame, path: str, fit: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
@@ -305,8 +321,8 @@ def pack(docs: DataFrame, path: str, fit: Fit = Fit(), id_col: str = "doc_id", t
     A round moves the rows of the pieces that are not placed yet and of the gaps
     that can still hold one, never their ids: some 60 bytes for each. Ranges are
     cut by size and a hash, so a length that a third of all pieces share is
-    dealt to as many tasks as it needs. The driver sees two counts for each task
-    of a sweep. Every round is written to the shared folder.
+    dealt to as many tasks as it needs; there are as many as the rows ask for.
+    The driver sees a few counts for each task of a sweep. Every round is written to the shared folder.
 
     As many sequences are opened as there must be: in a class of documents that
     fit k times, one for every k left over; then as many as the tokens left

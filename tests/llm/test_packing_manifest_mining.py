@@ -94,19 +94,21 @@ def check_packing(rows, docs, fit, tokenizer):
     return len(sequences), best_fit_descending(lengths, fit.capacity)
 
 
-def test_best_fit_packs_odd_texts(spark, odd, ranges):
+@pytest.mark.parametrize("range_rows", [8, 1 << 16])
+def test_best_fit_packs_odd_texts(spark, odd, range_rows):
     tokenizer = Tokenizer.from_file(best_fit.default_path())
-    fit = best_fit.Fit(capacity=64)
+    fit = best_fit.Fit(capacity=64, range_rows=range_rows)
     got, best = check_packing(best_fit.pack(odd, best_fit.default_path(), fit).collect(), odd.collect(), fit, tokenizer)
     assert got <= best + 1
 
 
-def test_best_fit_with_a_hot_length(spark, ranges):
+@pytest.mark.parametrize("range_rows", [100, 1 << 16])
+def test_best_fit_with_a_hot_length(spark, range_rows):
     queries.importable(spark)
     draw = random.Random(5)
     texts = ["a" + " a" * 9] * 300 + [" a" * draw.randint(1, 70) for _ in range(600)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    fit = best_fit.Fit(capacity=64)
+    fit = best_fit.Fit(capacity=64, range_rows=range_rows)
     got, best = check_packing(best_fit.pack(docs, best_fit.default_path(), fit).collect(), docs.collect(), fit, Tokenizer.from_file(best_fit.default_path()))
     assert got <= 1.02 * best
 
