@@ -8,19 +8,6 @@ from lakeproof.operators import joins, keys
 from lakeproof.session import remove, write_scratch
 
 
-def parents_of(df: DataFrame, key: str, parent: str) -> DataFrame:
-    """(node, parent): one parent per node.
-
-    A natural key may repeat. The largest parent is taken, so that the answer
-    does not depend on row order; ``conflicting_parents`` lists such nodes.
-    """
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("node"))
-        .agg(F.max(parent).alias("parent"))
-    )
-
-
 def conflicting_parents(df: DataFrame, key: str, parent: str) -> DataFrame:
     """(node, parents): nodes whose rows name more than one parent."""
     return (
@@ -39,34 +26,43 @@ def dangling_parents(df: DataFrame, key: str, parent: str) -> DataFrame:
     )
 
 
-def cycle_starts(df: DataFrame, key: str, parent: str, hot_rows: int = joins.HOT_ROWS) -> DataFrame:
-    """(node): every node whose chain of parents never ends.
+def cycle_starts(df: DataFrame, key: str, parent: str, hot_share: int = joins.HOT_SHARE) -> DataFrame:
+    """(node): every node from which some chain of parents never ends; a node may have several.
 
-    Pointer doubling. After round k the state holds the nodes with at least
-    2^k parents above them, each with its 2^k-th ancestor; joining it with
-    itself doubles the step, and chains that have ended drop out of the inner
-    join. Along a chain that ends the number of ancestors falls by one per
-    step, so if a round drops nothing, no such chain is left in the state and
-    all remaining nodes lead into a cycle. The rounds needed grow with the
-    logarithm of the longest chain, not with the table.
+    Each round looks up, for every edge to a parent, what that parent has
+    above it. An edge to a node without parents ends there and goes; an edge to
+    a node with one parent moves on to that one, whose fate it shares; an edge
+    to a node with several stays. If a round drops no edge, every node left has
+    a parent that is left, so all of them lead into a cycle. Where nodes have
+    one parent each the steps double, so the rounds grow with the logarithm of
+    the longest chain; a run of nodes that keep several parents takes a round
+    for each of them.
 
-    Each round is written to the shared scratch folder, and the one before it
-    is deleted. Many nodes may share an ancestor; such hot ancestors are looked
-    up without a shuffle.
+    Edges that come to be the same are one, with the number of those they stand
+    for. Each round is written to the shared scratch folder, and the one before
+    it is deleted. Many nodes may share an ancestor; such hot ancestors are
+    looked up without a shuffle.
     """
     spark = df.sparkSession
-    first = parents_of(df, key, parent).where(F.col("parent").isNotNull()).withColumnRenamed("parent", "hop")
-    path = write_scratch(first, "hops")
-    state = spark.read.schema(first.schema).parquet(path)
-    alive = state.count()
+    named = F.col(key).isNotNull() & F.col(parent).isNotNull()
+    first = df.where(named).select(F.col(key).alias("node"), F.col(parent).alias("hop"))
+
+    def settled(edges: DataFrame) -> tuple[str, DataFrame, int, int]:
+        merged = edges.groupBy("node", "hop").agg(F.count(F.lit(1)).alias("merged"))
+        path = write_scratch(merged, "hops")
+        state = spark.read.schema(merged.schema).parquet(path)
+        distinct, every = state.agg(F.count(F.lit(1)), F.coalesce(F.sum("merged"), F.lit(0))).first()
+        return path, state, distinct, every
+
+    path, state, alive, _ = settled(first)
     while alive:
-        far = state.select(F.col("node").alias("hop"), F.col("hop").alias("next"))
-        doubled = joins.lookup(state, far, "hop", alive, hot_rows).select("node", F.col("next").alias("hop"))
-        longer = write_scratch(doubled, "hops")
+        above = state.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("hop").alias("only"))
+        above = above.select(F.col("node").alias("hop"), F.when(F.col("n") == 1, F.col("only")).otherwise(F.col("node")).alias("next"))
+        moved = joins.lookup(state, above, "hop", alive, hot_share).select("node", F.col("next").alias("hop"))
+        before = alive
+        longer, state, alive, kept = settled(moved)
         remove(spark, path)
-        path, before = longer, alive
-        state = spark.read.schema(first.schema).parquet(path)
-        alive = state.count()
-        if alive == before:
+        path = longer
+        if kept == before:
             break
-    return state.select("node")
+    return state.select("node").distinct()

@@ -12,11 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeproof.operators.keys import Edge
 
-# A key is hot when it holds more than one thousandth of the rows, and no fewer
-# than a million of them. There can be at most a thousand such keys.
+# A key is hot when it holds more than one thousandth of the rows; there can be at most a thousand such keys.
 HOT_SHARE = 1000
-HOT_ROWS = 1_000_000
-
 
 
 def follow(child: DataFrame, parent: DataFrame, edge: Edge, keep: Mapping[str, str], how: str = "inner") -> DataFrame:
@@ -51,19 +48,14 @@ def totals(joined: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str, rows: int, hot_share: int = HOT_SHARE) -> DataFrame:
     """Inner join of ``left`` with a side that has each key at most once.
 
     ``rows`` is the size of ``left``. The rows of hot keys never go through a
-    shuffle: their few partners are broadcast, and by the definition of hot they
-    are a thousand at most. All other keys join as usual.
+    shuffle: their few partners are broadcast, fewer than ``hot_share`` by the
+    definition of hot, whatever the size of the tables. All other keys join as usual.
     """
-    if rows <= hot_rows:
-        return left.join(right, key)
-    many = max(rows // HOT_SHARE, hot_rows)
-    hot = [r[0] for r in left.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > many).collect()]
-    if not hot:
-        return left.join(right, key)
-    is_hot = F.col(key).isin(hot)
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    is_hot = F.col(key).isin([r[0] for r in counts.where(F.col("n") * hot_share > rows).select(key).collect()])
     spread = left.where(is_hot).join(F.broadcast(right.where(is_hot)), key)
     return spread.unionByName(left.where(~is_hot).join(right.where(~is_hot), key))

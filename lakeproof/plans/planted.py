@@ -40,6 +40,8 @@ CYCLES = {
     "parent_customer_key": "CASE customer_key WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 1 WHEN 5 THEN 5 "
     "ELSE parent_customer_key END"
 }
+# Further parents of two customers: a cycle that the largest parent of each does not show.
+SECOND_PARENTS = ((41, 60), (4, 41))
 DANGLING = {
     "parent_customer_key": "CASE WHEN account_balance < 0 THEN -1 - nation_key ELSE parent_customer_key END"
 }

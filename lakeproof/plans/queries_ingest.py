@@ -56,6 +56,29 @@ def planted_extract(spark: SparkSession, sf_dir: str, table: str, defect: dict[s
     return delimited.write_extract(df, new_scratch(spark, f"planted-{table}"), star.SPECS[table])
 
 
+@query(
+    "scan_multi_line",
+    over(
+        "fact_conversation",
+        body="SELECT count(*) AS rows, CAST(sum(length(m)) AS BIGINT) AS chars, count(*) FILTER (contains(m, chr(10))) AS broken, "
+        f"{MD5_SQL.format('m')} AS digest FROM (SELECT coalesce(role_name || ' \"said\"' || chr(10) || chr(13) || chr(10) || ',' || message_text, '') AS m FROM fact_conversation)",
+    ),
+)
+def scan_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with quotes, commas and line breaks inside, from an extract that any number of tasks may split."""
+    table = "fact_conversation"
+    broken = "concat(role_name, ' \"said\"', char(10), char(13), char(10), ',', message_text)"
+    df = star.frame(spark, sf_dir, table).withColumn("message_text", F.expr(broken))
+    path = delimited.write_extract(df, new_scratch(spark, "multi-line"), star.SPECS[table])
+    scan = delimited.text_columns(spark, path, star.SPECS[table])
+    return scan.selectExpr(
+        "count(1) AS rows",
+        "sum(char_length(message_text)) AS chars",
+        "count_if(contains(message_text, char(10))) AS broken",
+        f"{portable_digest('message_text', scan.schema['message_text'].dataType)} AS digest",
+    )
+
+
 _CUSTOMER_COLUMNS = [c.name for c in star.SPECS["dim_customer"].kept]
 
 

@@ -9,7 +9,8 @@ from lakeproof.operators.keys import Edge, spell_edge
 from lakeproof.operators.profile import union_all
 from lakeproof.operators.reconcile import first_per_group
 from lakeproof.plans import planted, star
-from lakeproof.plans.registry import over, query, rows_sql
+from lakeproof.plans.registry import over, query, rows_sql, values_sql
+from lakeproof.session import local_frame
 
 ALL_EDGES = star.DECLARED + star.UNDECLARED + star.CURATED
 
@@ -218,18 +219,17 @@ _E = {f"{e[0]}.{e[1][0]}": e for e in ALL_EDGES}
 def role_playing_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nation dimension in two roles: the customer's and the supplier's.
 
-    Keys travel through the large joins; names are joined to the few totals.
+    The fact is shuffled once, by order, and only after orders know their
+    customer's nation; then there is one row for each supplier and nation.
+    Names are joined to the few totals.
     """
     d = star.frames(spark, sf_dir, ("fact_lineitem", "dim_order", "dim_customer", "dim_supplier", "dim_nation"))
-    lines = joins.follow(
-        d["fact_lineitem"], d["dim_supplier"], _E["fact_lineitem.supplier_key"], {"nation_key": "supplier_nation_key"}
-    )
-    # At most one row per order and nation goes on to the large join.
-    per_order = joins.subtotals(lines, ["order_key", "supplier_nation_key"], F.col("extended_price"))
     orders = joins.follow(
         d["dim_order"], d["dim_customer"], _E["dim_order.customer_key"], {"nation_key": "customer_nation_key"}
     )
-    joined = joins.follow(per_order, orders, _E["fact_lineitem.order_key"], {"customer_nation_key": "customer_nation_key"})
+    lines = joins.follow(d["fact_lineitem"], orders, _E["fact_lineitem.order_key"], {"customer_nation_key": "customer_nation_key"})
+    per_supplier = joins.subtotals(lines, ["supplier_key", "customer_nation_key"], F.col("extended_price"))
+    joined = joins.follow(per_supplier, d["dim_supplier"], _E["fact_lineitem.supplier_key"], {"nation_key": "supplier_nation_key"})
     named = joins.combined(joined, ["customer_nation_key", "supplier_nation_key"])
     for role in ("customer", "supplier"):
         edge = ("totals", (f"{role}_nation_key",), "dim_nation", ("nation_key",))
@@ -302,15 +302,18 @@ def conflicting_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     + star.STAR_SQL["dim_customer"]
     + "), p AS ("
     + planted.plant_sql("dim_customer", planted.CYCLES)
-    + "), walk AS (SELECT customer_key AS node, parent_customer_key AS up FROM p WHERE parent_customer_key IS NOT NULL "
-    "UNION SELECT w.node, p.parent_customer_key FROM walk w JOIN p ON w.up = p.customer_key) "
-    # A walk that ends passes a NULL parent; one that never does runs in a cycle.
-    "SELECT node FROM walk GROUP BY node HAVING count(*) FILTER (up IS NULL) = 0",
+    + "), edge AS (SELECT customer_key AS node, parent_customer_key AS hop FROM p WHERE parent_customer_key IS NOT NULL UNION SELECT * FROM "
+    + values_sql("node, hop", list(planted.SECOND_PARENTS))
+    + "), reach AS (SELECT node, hop FROM edge UNION SELECT r.node, edge.hop FROM reach r JOIN edge ON r.hop = edge.node) "
+    # Whoever reaches a node that reaches itself.
+    "SELECT DISTINCT node FROM reach WHERE hop IN (SELECT node FROM reach WHERE node = hop)",
 )
 def hierarchy_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer whose parents lead into the planted cycles."""
+    """Every customer whose parents lead into the planted cycles, some through the smaller of two parents."""
     customers = planted.plant(star.frame(spark, sf_dir, "dim_customer"), planted.CYCLES)
-    return hierarchy.cycle_starts(customers, "customer_key", "parent_customer_key")
+    second = local_frame(spark, list(planted.SECOND_PARENTS), "customer_key bigint, parent_customer_key bigint")
+    edges = customers.select("customer_key", "parent_customer_key").unionAll(second)
+    return hierarchy.cycle_starts(edges, "customer_key", "parent_customer_key")
 
 
 _CAPPED: tuple[Edge, ...] = (

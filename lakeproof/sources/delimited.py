@@ -6,15 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from lakeproof.functions import text
 from lakeproof.functions.sqltext import name as quoted
-from lakeproof.sources import specs
+from lakeproof.sources import multiline, specs
 from lakeproof.sources.specs import TableSpec
 from lakeproof.session import local_frame
 
 _BAD = "_ragged"
 
-# A file whose text may hold line breaks is read by one task, so it is kept short.
-MULTI_LINE_ROWS = 100_000
-
 # Doubled quotes inside quotes; blanks are data; empty fields come back as NULL.
 _DIALECT = {
     "header": "true",
@@ -47,13 +44,28 @@ def fields(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     further file whose header differs from the first one's.
     """
     schema = by_name(spec, header(spark, path, spec)).add(_BAD, "string")
-    options = {"columnNameOfCorruptRecord": _BAD, "columnPruning": "false", "enforceSchema": "false"}
-    raw = spark.read.options(**_DIALECT, **options, multiLine=spec.multi_line).schema(schema).csv(path)
     first = quoted(schema.fields[0].name)
     whole = f"if({_BAD} IS NULL, true, raise_error(concat('{spec.table}: not as many fields as the header: ', {_BAD}, coalesce(left({first}, 0), ''))))"
+    raw = _broken_lines(spark, path, schema) if spec.multi_line else _single_lines(spark, path, schema)
     return raw.where(whole).selectExpr(*specs.projection({c.name: quoted(c.source_name) for c in spec.kept}))
 
 
+def _single_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    options = {"columnNameOfCorruptRecord": _BAD, "columnPruning": "false", "enforceSchema": "false"}
+    return spark.read.options(**_DIALECT, **options).schema(schema).csv(path)
+
+
+def _broken_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The same where text may hold line breaks: records are put together by all tasks, then parsed one by one."""
+    options = {**_DIALECT, "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    named = [f.name for f in schema.fields if f.name != _BAD]
+    parsed = multiline.records(spark, path).select(F.from_csv("record", schema.simpleString(), options).alias("f"), "first")
+    listed = F.array(*[F.col("f").getField(n) for n in named])
+    same = listed.eqNullSafe(F.array(*[F.lit(n) for n in named])) & F.col("f").getField(_BAD).isNull()
+    refused = F.raise_error(F.concat(F.lit("a file's header differs from "), F.lit(",".join(named))))
+    return parsed.where(F.when(~F.col("first"), F.lit(True)).when(same, F.lit(False)).otherwise(refused.cast("boolean"))).select("f.*")
+
+
 def text_columns(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """The same as written: nothing is NULL, an empty field is ''."""
     return fields(spark, path, spec).na.fill("")
@@ -98,10 +110,7 @@ def write_extract(df: DataFrame, path: str, spec: TableSpec) -> str:
     NULL and '' both become an empty field; blanks and NUL bytes are kept.
     """
     cells = {c.source_name: as_text(c) if c in spec.kept else "CAST(NULL AS STRING)" for c in spec.columns}
-    writer = df.selectExpr(*specs.projection(cells)).write.options(**_DIALECT, emptyValue="")
-    if spec.multi_line:
-        writer = writer.option("maxRecordsPerFile", MULTI_LINE_ROWS)
-    writer.csv(path)
+    df.selectExpr(*specs.projection(cells)).write.options(**_DIALECT, emptyValue="").csv(path)
     return path
 
 
@@ -142,8 +151,10 @@ def parsed_rows(spark: SparkSession, path: str, header: list[str], multi_line: b
     ``_ragged`` alone.
     """
     schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, _BAD]])
+    if multi_line:
+        return _broken_lines(spark, path, schema)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "columnPruning": False}
-    return spark.read.options(**_DIALECT, **options, multiLine=multi_line).schema(schema).csv(path)
+    return spark.read.options(**_DIALECT, **options).schema(schema).csv(path)
 
 
 def ragged_rows(spark: SparkSession, path: str, header: list[str], multi_line: bool = False) -> DataFrame:

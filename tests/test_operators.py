@@ -91,9 +91,20 @@ def test_cycles_in_random_graphs(spark, seed):
     n = 60
     parent = {i: rng.choice([None, -1, *range(n)]) if rng.random() < 0.4 else (i // 2 if i else None) for i in range(n)}
     df = local_frame(spark, list(parent.items()), "k int, p int")
-    # hot_rows = 3: the most popular ancestors take the broadcast path.
-    got = {r.node for r in hierarchy.cycle_starts(df, "k", "p", hot_rows=3).collect()}
-    assert got == brute_cycles(parent)
+    # With a share of 5 only the most popular ancestors are hot, with 1000 all are.
+    for share in (5, 1000):
+        assert {r.node for r in hierarchy.cycle_starts(df, "k", "p", share).collect()} == brute_cycles(parent)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cycles_with_several_parents(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(70), rng.choice([None, *range(90)])) for _ in range(60)] + [(i, i + 1) for i in range(100, 160)] + [(i, i + 2) for i in range(130, 140)]
+    left = {e for e in edges if e[1] is not None}
+    while (kept := {e for e in left if e[1] in {n for n, _ in left}}) != left:
+        left = kept
+    got = {r.node for r in hierarchy.cycle_starts(local_frame(spark, edges, "k int, p int"), "k", "p", 10).collect()}
+    assert got == {n for n, _ in left}
 
 
 def test_cycles_long_chain_self_parent_and_lead_in(spark):
@@ -113,7 +124,6 @@ def test_repeated_natural_keys(spark):
     df = local_frame(spark, [("a", "b"), ("a", "c"), ("b", None), ("b", "c"), ("c", None), ("c", None)], "k string, p string")
     got = {r.node: (r.low, r.high) for r in hierarchy.conflicting_parents(df, "k", "p").collect()}
     assert got == {"a": ("b", "c"), "b": ("c", "c")}
-    assert {(r.node, r.parent) for r in hierarchy.parents_of(df, "k", "p").collect()} == {("a", "c"), ("b", "c"), ("c", None)}
 
 
 def test_lookup_is_a_join_whatever_is_hot(spark):
@@ -122,8 +132,8 @@ def test_lookup_is_a_join_whatever_is_hot(spark):
     right = [(k, k * 10) for k in range(0, 20, 2)] + [(1, 10)]
     a, b = local_frame(spark, left, "n int, k int"), local_frame(spark, right, "k int, v int")
     want = Counter((k, n, dict(right)[k]) for n, k in left if k in dict(right))
-    for hot in (5, 10_000):
-        got = Counter((r.k, r.n, r.v) for r in joins.lookup(a, b, "k", 500, hot_rows=hot).collect())
+    for share in (1, 10, 10_000):
+        got = Counter((r.k, r.n, r.v) for r in joins.lookup(a, b, "k", 500, share).collect())
         assert got == want
 
 

@@ -228,17 +228,6 @@ def test_jdbc_writer_options():
     assert options == {"batchsize": "50000", "numPartitions": "4", "user": "x"}
 
 
-def test_multi_line_extracts_are_written_in_short_files(spark, monkeypatch):
-    monkeypatch.setattr(delimited, "MULTI_LINE_ROWS", 10)
-    df = spark.range(25).selectExpr(
-        "CAST(id AS INT) AS item_key", "concat('a', char(10), id) AS item_name", "CAST(id AS DECIMAL(19,4)) AS list_price",
-        "CAST(NULL AS BINARY) AS photo", "true AS sold_flag", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS sold_on",
-    ).coalesce(1)
-    path = delimited.write_extract(df, new_scratch(spark, "short"), ITEMS)
-    assert len(spark.read.text(path).inputFiles()) == 3
-    assert delimited.pinned_scan(spark, path, ITEMS).where("item_name LIKE 'a\n%'").count() == 25
-
-
 @pytest.mark.parametrize("lines, error", [(["2,x"], "fields"), (["2,x,y,z"], "fields"), ([], None)])
 def test_scan_matches_by_name_and_refuses_ragged_rows(spark, tmp_path, lines, error):
     spec = TableSpec("T", "t", tuple(PinnedColumn(n, n.lower(), "nvarchar") for n in "ABC"))
