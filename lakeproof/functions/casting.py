@@ -33,13 +33,18 @@ def _exact(text: str, to: T.DecimalType) -> str:
     return f"({short}) OR {same}"
 
 
-def strict_cast(text: str, to: T.DataType, label: str) -> str:
-    """Cast text to ``to``; NULL stays NULL, anything unparsable raises.
+def _in_micros(text: str) -> str:
+    """Whether a time has no digit but zero beyond the sixth of its fraction."""
+    return f"NOT rlike({text}, '[.][0-9]{{6}}[0-9]*[1-9]')"
+
+
+def parsed(text: str, to: T.DataType) -> str:
+    """Cast text to ``to``; NULL where it is NULL or does not parse.
 
-    Holds with ANSI mode on or off. Decimals must fit their scale exactly, dates
-    must be written in full, timestamps need a date and a time of day,
-    bits are 0, 1, true or false, floating numbers are written in digits. ``text``
-    should be a column: it is repeated, the cast is not.
+    Holds with ANSI mode on or off. Decimals must fit their scale and times
+    their microseconds exactly, dates must be written in full, timestamps need
+    a date and a time of day, bits are 0, 1, true or false, floating numbers
+    are written in digits. ``text`` should be a column: it is repeated.
     """
     if isinstance(to, T.StringType):
         return text
@@ -50,13 +55,23 @@ def strict_cast(text: str, to: T.DataType, label: str) -> str:
     elif isinstance(to, T.DateType):
         typed = f"if(length(trim({text})) = 10, {typed}, NULL)"
     elif isinstance(to, (T.TimestampType, T.TimestampNTZType)):
-        typed = f"if(length({text}) >= 16, {typed}, NULL)"
+        typed = f"if(length({text}) >= 16 AND {_in_micros(text)}, {typed}, NULL)"
+    elif isinstance(to, T.TimeType):
+        typed = f"if({_in_micros(text)}, {typed}, NULL)"
     elif isinstance(to, T.BooleanType):
         typed = f"if(lower({text}) IN ('0', '1', 'true', 'false'), {typed}, NULL)"
     elif isinstance(to, (T.FloatType, T.DoubleType)):
         typed = f"if(rlike({text}, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'), {typed}, NULL)"
+    return typed
+
+
+def strict_cast(text: str, to: T.DataType, label: str) -> str:
+    """``parsed``, but what does not parse raises; NULL stays NULL."""
+    if isinstance(to, T.StringType):
+        return text
+    of = to.simpleString()
     refused = f"CAST(raise_error(concat({literal(f'{label}: not a {of}: ')}, {text})) AS {of})"
-    return f"coalesce({typed}, if({text} IS NULL, NULL, {refused}))"
+    return f"coalesce({parsed(text, to)}, if({text} IS NULL, NULL, {refused}))"
 
 
 def not_null(value: str, of: T.DataType, label: str) -> str:

@@ -21,6 +21,7 @@ from lakeproof.sources.specs import TableSpec
 
 COLUMNS_PER_PASS = 100
 ROWS = "rows"
+REFUSED = "refused"
 VALUE = T.DecimalType(38, 4)
 
 
@@ -192,11 +193,11 @@ def source_profile(fields: DataFrame, spec: TableSpec, side: str = "source") ->
 
     Counts come from the fields' text, where NULL is an empty field and nothing
     else. Sums and digests come from the same row's values under the pinned
-    types.
+    types; a field that is refused there is counted, and the rest go on.
     """
     written = {c.name: f"_text_{c.name}" for c in spec.kept}
     both = fields.selectExpr(
-        *specs.projection({c.name: specs.typed(spec, c, name(c.name)) for c in spec.kept}),
+        *specs.projection({c.name: specs.tried(c, name(c.name)) for c in spec.kept}),
         *specs.projection({written[c.name]: name(c.name) for c in spec.kept}),
     )
     hashes = {_hash_name(c.name): value_hash(name(c.name), c.stored) for c in spec.kept}
@@ -209,10 +210,12 @@ def source_profile(fields: DataFrame, spec: TableSpec, side: str = "source") ->
             # In any other column a NUL byte is no value and fails the cast.
             metrics.append(_count(c.name, "nul_only", f"{as_written} = char(0)"))
             metrics += [_count(c.name, f"token:{t}", f"{as_written} = {literal(t)}") for t in text.WATCHED_TOKENS]
+        else:
+            metrics.append(_count(c.name, REFUSED, f"{as_written} IS NOT NULL AND {name(c.name)} IS NULL"))
         if isinstance(c.stored, T.DecimalType):
             # The written number itself, wider than its stored form.
             scale = min(38 - (c.stored.precision - c.stored.scale), c.stored.scale + 4)
-            metrics += _sums(c.name, f"CAST({as_written} AS DECIMAL(38,{scale}))", c.stored.scale)
+            metrics += _sums(c.name, f"try_cast({as_written} AS DECIMAL(38,{scale}))", c.stored.scale)
     return long_profile(hashed, side, spec.table, metrics + digest_metrics(c.name for c in spec.kept))
 
 

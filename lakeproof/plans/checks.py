@@ -7,6 +7,7 @@ per side and table; keys, edges and hierarchies read the stored tables.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,7 +18,9 @@ from lakeproof.operators import hierarchy, keys, profile
 from lakeproof.operators.assertions import ASSERTION_SCHEMA, all_of, assertions, plain, stated
 from lakeproof.operators.keys import Edge
 from lakeproof.operators.reconcile import reconcile
-from lakeproof.session import local_frame
+from lakeproof.session import local_frame, settle
+from lakeproof.sources import specs
+from lakeproof.sources.specs import PinnedColumn, TableSpec
 
 # Registry order of the report.
 NAMES = (
@@ -137,23 +140,41 @@ def runs_clean(df: DataFrame) -> str | None:
     return None
 
 
-def nullability_enforced(spark: SparkSession, clean: DataFrame, dirty: DataFrame, column: str) -> DataFrame:
+def nullability_enforced(spark: SparkSession, clean: DataFrame, dirty: Mapping[str, DataFrame], label: str = "") -> DataFrame:
     """Clean data passes and becomes non-nullable; a NULL is rejected, and by the guard.
 
-    Both frames end in the guard. Any other error than the guard's own is a
+    ``clean`` has every guarded column, ``dirty`` for each of them a frame with
+    a NULL. All end in the guard. Any other error than the guard's own is a
     failure: a broken guard also raises something.
     """
-    field = clean.schema[column]
-    accepted, rejected = runs_clean(clean), runs_clean(dirty)
-    return stated(
-        spark,
-        "nullability_enforced",
-        [
-            ("clean data", "accepted", accepted or "accepted", accepted is None),
-            ("clean schema", "required", "optional" if field.nullable else "required", not field.nullable),
-            ("a NULL", "USER_RAISED_EXCEPTION", rejected or "accepted", rejected == "USER_RAISED_EXCEPTION"),
-        ],
-    )
+    accepted = runs_clean(clean)
+    rows = [(f"{label}clean data", "accepted", accepted or "accepted", accepted is None)]
+    with ThreadPoolExecutor(8) as pool:
+        outcomes = dict(zip(dirty, pool.map(runs_clean, dirty.values()), strict=True))
+    for column, rejected in outcomes.items():
+        required = not clean.schema[column].nullable
+        rows.append((f"{label}{column} clean schema", "required", "required" if required else "optional", required))
+        rows.append((f"{label}{column} a NULL", "USER_RAISED_EXCEPTION", rejected or "accepted", rejected == "USER_RAISED_EXCEPTION"))
+    return stated(spark, "nullability_enforced", rows)
+
+
+def guard_enforced(
+    spark: SparkSession, frames: Mapping[str, DataFrame], of: Mapping[str, TableSpec], guard: Callable[[TableSpec, PinnedColumn, str], str] = specs.guarded
+) -> DataFrame:
+    """The guard on every NOT NULL column of every table: one job a table as it is, and one row of NULL for each column."""
+    out = []
+    for table, df in frames.items():
+        spec = of[table]
+        required = [c for c in spec.kept if not c.nullable]
+        if not required:
+            continue
+        clean = df.selectExpr(*specs.projection({c.name: guard(spec, c, specs.quoted(c.name)) for c in required}))
+        dirty = {
+            c.name: spark.range(0, 1, 1, 1).selectExpr(f"{guard(spec, c, f'CAST(NULL AS {c.stored.simpleString()})')} AS {specs.quoted(c.name)}")
+            for c in required
+        }
+        out.append(nullability_enforced(spark, clean, dirty, f"{table}: "))
+    return all_of(out) if out else local_frame(spark, [], ASSERTION_SCHEMA)
 
 
 def null_reconciliation(source: DataFrame, lake: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -190,21 +211,46 @@ def source_values(source: DataFrame, lake: DataFrame) -> DataFrame:
 
 
 def value_digests(source: DataFrame, lake: DataFrame) -> DataFrame:
-    return _same_metric("value_digests", source, lake, "digest")
+    """Digests of every column, and no field of an extract that its type refuses."""
+    return _same_metric("value_digests", source, lake, "digest").unionAll(_refused("value_digests", source))
 
 
 def decimal_exactness(source: DataFrame, lake: DataFrame) -> DataFrame:
     """Sums of the money text against sums of what is stored, no tolerance."""
-    return _same_metric("decimal_exactness", source, lake, "sum", "sum_below")
+    summed = source.where("metric = 'sum'").select("table_name", "column_name")
+    refused = _refused("decimal_exactness", source.join(summed, ["table_name", "column_name"], "left_semi"))
+    return _same_metric("decimal_exactness", source, lake, "sum", "sum_below").unionAll(refused)
+
+
+def _refused(check: str, source: DataFrame) -> DataFrame:
+    """One failed assertion for each column with fields that do not parse."""
+    bad = source.where((F.col("metric") == profile.REFUSED) & (F.col("value") > 0))
+    return assertions(bad, check, F.concat(_column(), F.lit(" refused fields")), F.lit("0"), plain(F.col("value")))
 
 
 def primary_keys(frames: Mapping[str, DataFrame], of: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    tested = keys.key_audit(frames, of)
+    """Unique and never NULL; a key that repeats is shown with its first three values."""
+    spark = next(iter(frames.values())).sparkSession
+    tested = settle(keys.key_audit(frames, of))
+    bad = {(r.table_name, r.key_name) for r in tested.where("surplus > 0").collect()}
+    shown = [
+        (table, "+".join(columns), _spelled(keys.duplicate_examples(frames[table], columns).select(*columns).collect()))
+        for table, columns in of
+        if (table, "+".join(columns)) in bad
+    ]
+    examples = local_frame(spark, shown, "table_name string, key_name string, shown string")
+    tested = tested.join(examples, ["table_name", "key_name"], "left")
     subject = F.concat_ws(".", "table_name", "key_name")
-    found = F.concat(F.col("surplus").cast("string"), F.lit(" surplus, "), F.col("null_rows").cast("string"), F.lit(" NULL"))
+    counts = F.concat(F.col("surplus").cast("string"), F.lit(" surplus, "), F.col("null_rows").cast("string"), F.lit(" NULL"))
+    found = F.concat(counts, F.coalesce(F.concat(F.lit(", such as "), "shown"), F.lit("")))
     return assertions(tested, "primary_keys", subject, F.lit("0 surplus, 0 NULL"), found)
 
 
+def _spelled(rows: Sequence[tuple]) -> str:
+    """Example keys: their parts joined by '/', one after another."""
+    return ", ".join("/".join("NULL" if v is None else str(v) for v in r) for r in rows)
+
+
 def foreign_key_oracle(
     catalog: DataFrame,
     classified: DataFrame,
@@ -214,8 +260,9 @@ def foreign_key_oracle(
 ) -> DataFrame:
     """Declared edges exist and number what they should; curated ones are needed.
 
-    Without a declared set only the curated edges can be tested against the
-    derived ones.
+    Without a declared set, whether the derived edges are right cannot be told:
+    a curated edge that is derived as well still fails, and otherwise there is
+    no assertion, which the report shows as skipped.
     """
     derived, hierarchies = rel.derived_edges(classified), rel.hierarchy_edges(classified)
     others = [derived, hierarchies] + ([declared] if declared is not None else [])
@@ -230,7 +277,7 @@ def foreign_key_oracle(
         F.coalesce("reason", F.lit("curated, not known otherwise")),
     )
     if declared is None:
-        return out
+        return out.where("NOT ok")
     totals = rel.edge_totals(declared)
     for name in ("constraints", "composites"):
         out = out.unionAll(
@@ -253,12 +300,25 @@ def foreign_key_oracle(
     )
 
 
-def referential_integrity(audit: DataFrame, classified: DataFrame) -> DataFrame:
-    """No orphans, unique targets, and no key column that nobody can place."""
+def referential_integrity(
+    audit: DataFrame, classified: DataFrame, frames: Mapping[str, DataFrame] | None = None, edges: Sequence[Edge] = ()
+) -> DataFrame:
+    """No orphans, unique targets, and no key column that nobody can place.
+
+    With the tables at hand, an edge with orphans shows the first three of them.
+    """
     zero = F.lit("0 orphans, 0 surplus")
-    found = F.concat(
+    bad = {r.edge for r in audit.where("orphan_keys > 0").collect()} if frames else set()
+    shown = [
+        (keys.spell_edge(e), _spelled([r[:-1] for r in keys.orphan_examples(frames, e).collect()]))
+        for e in edges
+        if keys.spell_edge(e) in bad
+    ]
+    audit = audit.join(local_frame(audit.sparkSession, shown, "edge string, shown string"), "edge", "left")
+    counts = F.concat(
         F.col("orphan_keys").cast("string"), F.lit(" orphans, "), F.col("target_surplus").cast("string"), F.lit(" surplus")
     )
+    found = F.concat(counts, F.coalesce(F.concat(F.lit(", such as "), "shown"), F.lit("")))
     edges = assertions(audit, "referential_integrity", F.col("edge"), zero, found)
     strays = classified.where(F.col("kind") == "unclassified")
     return edges.unionAll(

@@ -242,21 +242,16 @@ def check_nullability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts("nullability_flags", side({}), side({"dim_order": path}))
 
 
-@query("check_not_null_enforced", verdict_sql("nullability_enforced", "3", {"clean": "0", "planted": "2"}))
-def check_not_null_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The guard over every line item; then the same with the guard taken away."""
-    spec = star.SPECS["fact_lineitem"]
-    price = next(c for c in spec.kept if c.name == "extended_price")
-    lines = star.frame(spark, sf_dir, "fact_lineitem")
-    lossy = "CASE WHEN return_flag <> 'R' THEN extended_price END"
+_GUARDED = sum(any(not c.nullable for c in s.kept) for s in star.SPECS.values()) + 2 * _REQUIRED
 
-    def side(guard) -> DataFrame:
-        clean, dirty = (lines.selectExpr(f"{guard(v)} AS extended_price") for v in ("extended_price", lossy))
-        return checks.nullability_enforced(spark, clean, dirty, "extended_price")
 
-    return verdicts(
-        "nullability_enforced", side(lambda v: specs.guarded(spec, price, v)), side(lambda v: v)
-    )
+@query("check_not_null_enforced", verdict_sql("nullability_enforced", str(_GUARDED), {"clean": "0", "planted": str(2 * _REQUIRED)}))
+def check_not_null_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The guard on every NOT NULL column of every table; then the same with the guard taken away."""
+    stored = staging.stored_all(spark, sf_dir)
+    frames = {t: spark.read.schema(star.SPECS[t].stored_schema).parquet(stored[t]) for t in _ALL}
+    clean = checks.guard_enforced(spark, frames, star.SPECS)
+    return verdicts("nullability_enforced", clean, checks.guard_enforced(spark, frames, star.SPECS, lambda spec, column, value: value))
 
 
 def _relaxed(table: str) -> specs.TableSpec:
@@ -405,6 +400,34 @@ def check_primary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts("primary_keys", checks.primary_keys(frames, _OWN_KEYS), checks.primary_keys(twice, _OWN_KEYS))
 
 
+@query(
+    "key_findings",
+    over(
+        "dim_customer", "dim_order",
+        also={
+            "stray": planted.plant_sql("dim_order", planted.STRAY_CUSTOMERS),
+            "twice": "SELECT customer_key AS k FROM dim_customer WHERE nation_key < 5",
+            "orphan": "SELECT customer_key AS k FROM stray WHERE customer_key NOT IN (SELECT customer_key FROM dim_customer) GROUP BY customer_key",
+        },
+        body="SELECT 'primary_keys' AS check_name, 'dim_customer.customer_key' AS subject, '0 surplus, 0 NULL' AS expected, "
+        "(SELECT count(*) FROM twice) || ' surplus, 0 NULL, such as ' || (SELECT string_agg(k, ', ' ORDER BY k) FROM (SELECT k FROM twice ORDER BY k LIMIT 3)) AS actual "
+        "UNION ALL SELECT 'referential_integrity', 'dim_order.customer_key -> dim_customer.customer_key', '0 orphans, 0 surplus', "
+        "(SELECT count(*) FROM orphan) || ' orphans, 0 surplus, such as ' || (SELECT string_agg(k, ', ' ORDER BY k) FROM (SELECT k FROM orphan ORDER BY k LIMIT 3))",
+    ),
+)
+def key_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checks say of customers loaded twice and of orders without a customer, with the first three keys."""
+    frames = star.frames(spark, sf_dir, ["dim_customer", "dim_order"])
+    customers = frames["dim_customer"]
+    twice = frames | {"dim_customer": customers.unionAll(customers.where("nation_key < 5"))}
+    own = checks.primary_keys(twice, [("dim_customer", ("customer_key",)), ("dim_order", ("order_key",))])
+    stray = frames | {"dim_order": planted.plant(frames["dim_order"], planted.STRAY_CUSTOMERS)}
+    edges = [("dim_order", ("customer_key",), "dim_customer", ("customer_key",))]
+    audit = keys.edge_audit(stray, edges)
+    found = own.unionAll(checks.referential_integrity(audit, rel.classify_keys(catalog(spark)), stray, edges))
+    return assertions.findings(found).select("check_name", "subject", "expected", "actual")
+
+
 _REVERSED: Edge = ("dim_customer", ("customer_key",), "dim_order", ("customer_key",))
 
 
@@ -419,7 +442,9 @@ _REVERSED: Edge = ("dim_customer", ("customer_key",), "dim_order", ("customer_ke
         # curated edges, all redundant; both totals off; fifteen declared edges,
         # three of them not in the catalog.
         "(VALUES ('clean', 'PASS', CAST(14 AS BIGINT), CAST(0 AS BIGINT)), "
-        "('planted', 'FAIL', CAST(20 AS BIGINT), CAST(8 AS BIGINT))) AS s(side, status, checked, failed), "
+        "('planted', 'FAIL', CAST(20 AS BIGINT), CAST(8 AS BIGINT)), "
+        # Nothing declared, and no curated edge that is derived as well.
+        "('undeclared', 'SKIP', CAST(0 AS BIGINT), CAST(0 AS BIGINT))) AS s(side, status, checked, failed), "
         "(SELECT CAST(sum(compared) AS BIGINT) AS compared FROM audit) AS c",
     ),
 )
@@ -437,9 +462,12 @@ def check_edge_oracle(spark: SparkSession, sf_dir: str) -> DataFrame:
     faulty = checks.foreign_key_oracle(
         columns, classified, rel.edge_frame(spark, wrong), rel.edge_frame(spark, _LISTED), known
     )
+    undeclared = checks.foreign_key_oracle(columns, classified, None, rel.edge_frame(spark, star.CURATED), known)
+    skipped = assertions.summarise(undeclared, ["foreign_key_oracle"]).withColumn("side", F.lit("undeclared"))
     compared = evidence(spark, sf_dir, star.DECLARED + star.CURATED).agg(F.sum("compared").alias("compared"))
     of_check = compared.select(F.lit("foreign_key_oracle").alias("check_name"), "compared")
-    return verdicts("foreign_key_oracle", clean, faulty).join(of_check, "check_name").select(
+    sides = verdicts("foreign_key_oracle", clean, faulty)
+    return sides.unionByName(skipped.select(sides.columns)).join(of_check, "check_name").select(
         "side", "check_name", "status", "checked", "failed", "compared"
     )
 
@@ -612,7 +640,7 @@ def _report_sql() -> str:
         "types": _COLUMNS,
         "type_mapping": len(typing.GOLDEN_TYPES) + len({c.sql_type for s in star.SPECS.values() for c in s.kept}),
         "nullability_flags": _COLUMNS + _REQUIRED,
-        "nullability_enforced": 3,
+        "nullability_enforced": _GUARDED,
         "null_reconciliation": texts,
         "value_digests": _COLUMNS,
         "primary_keys": len(_OWN_KEYS),

@@ -11,14 +11,16 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
+from threading import Lock
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeproof.operators import assertions, keys, profile
 from lakeproof.operators import edges as rel
 from lakeproof.operators.keys import Edge
 from lakeproof.plans import checks
-from lakeproof.session import local_frame, settle, settle_all
+from lakeproof.session import local_frame, settle, settle_each
 from lakeproof.sources import delimited, lake, specs
 from lakeproof.sources.specs import TableSpec
 
@@ -42,62 +44,107 @@ class Verification:
 
     def __init__(self, spark: SparkSession, of: Dataset):
         self.spark, self.of = spark, of
-        self.frames = {t: self._read(t, of.stored[t]) for t in of.specs}
+        self._made: dict[str, Any] = {}
+        self._once = {name: Lock() for name in ("profiles", "audit", "classified")}
+        # Tables that were never loaded have no frame; the checks that need one say so.
+        self.frames = {t: self._read(t, of.stored[t]) for t in of.specs if t in of.stored}
         self.catalog = specs.kept_columns(specs.column_catalog(spark, list(of.specs.values())))
 
     def _read(self, table: str, path: str) -> DataFrame:
         """A stored table as it lies there, without the guard."""
         return self.spark.read.schema(self.of.specs[table].stored_schema).parquet(path)
 
-    @cached_property
-    def classified(self) -> DataFrame:
+    def _made_once(self, name: str, make: Callable[[], Any]) -> Any:
+        """A measurement that several checks ask for at the same time: made by the first, read by the others."""
+        with self._once[name]:
+            if name not in self._made:
+                self._made[name] = make()
+            return self._made[name]
+
+    def classify(self) -> DataFrame:
         """One row per key column: metadata, kept as a local relation."""
-        return settle(rel.classify_keys(self.catalog))
+        return self._made_once("classified", lambda: settle(rel.classify_keys(self.catalog)))
 
-    @cached_property
-    def profiles(self) -> DataFrame:
-        """One parse of every extract and one scan of every stored table."""
-        source = [
-            lambda t=t, s=s: profile.source_profile(delimited.fields(self.spark, self.of.extracts[t], s), s)
-            for t, s in self.of.specs.items()
-        ]
-        stored = [lambda t=t, df=df: profile.lake_profile(df, t) for t, df in self.frames.items()]
-        return settle_all(source + stored)
+    def measured(self) -> tuple[DataFrame, dict[tuple[str, str], str]]:
+        """One parse of every extract and one scan of every stored table; what failed, by table and side, with the reason.
+
+        A table that fails on one side is left out on the other as well: it
+        has one finding, and the other tables are compared as ever.
+        """
+
+        def scan(table: str) -> DataFrame:
+            if table not in self.frames:
+                raise LookupError("has not been loaded")
+            return profile.lake_profile(self.frames[table], table)
+
+        def make() -> tuple[DataFrame, dict[tuple[str, str], str]]:
+            source = {
+                (t, "source"): lambda t=t, s=s: profile.source_profile(delimited.fields(self.spark, self.of.extracts[t], s), s)
+                for t, s in self.of.specs.items()
+            }
+            stored = {(t, "lake"): lambda t=t: scan(t) for t in self.of.specs}
+            rows, failed = settle_each(source | stored)
+            if rows is None:
+                rows = local_frame(self.spark, [], "side string, table_name string, column_name string, metric string, value decimal(38,4)")
+            return rows.where(~F.col("table_name").isin(sorted({t for t, _ in failed}))), failed
+
+        return self._made_once("profiles", make)
 
     @property
     def source(self) -> DataFrame:
-        return self.profiles.where("side = 'source'")
+        return self.measured()[0].where("side = 'source'")
 
     @property
     def lake(self) -> DataFrame:
-        return self.profiles.where("side = 'lake'")
+        return self.measured()[0].where("side = 'lake'")
+
+    def _unmeasured(self, check: str, found: DataFrame) -> DataFrame:
+        """The check's assertions, and a failed one for each table and side without a profile."""
+        failed = self.measured()[1]
+        rows = [(f"{t} {side}", "measured", why, False) for (t, side), why in sorted(failed.items())]
+        return found.unionAll(assertions.stated(self.spark, check, rows)) if rows else found
+
+    def _unloaded(self, check: str, found: DataFrame | None, absent: dict[str, set[str]]) -> DataFrame:
+        """The check's assertions, and a failed one for each subject whose tables were never loaded."""
+        rows = [(subject, "loaded", f"not loaded: {', '.join(sorted(tables))}", False) for subject, tables in sorted(absent.items())]
+        stated = assertions.stated(self.spark, check, rows)
+        return stated if found is None else found.unionAll(stated) if rows else found
 
     @cached_property
     def stored(self) -> DataFrame:
         return specs.stored_catalog(
-            self.spark, {t: lake.stored_schema(self.spark, p) for t, p in self.of.stored.items()}
+            self.spark, {t: lake.stored_schema(self.spark, p) for t, p in self.of.stored.items() if t in self.of.specs}
         )
 
     def edges(self) -> list[Edge]:
-        sets = [rel.derived_edges(self.classified), rel.edge_frame(self.spark, self.of.curated)]
+        sets = [rel.derived_edges(self.classify()), rel.edge_frame(self.spark, self.of.curated)]
         if self.of.declared is not None:
             sets.append(rel.edge_frame(self.spark, self.of.declared))
         return rel.edge_list(rel.edge_union(*sets))
 
-    @cached_property
     def audit(self) -> DataFrame:
-        return settle(keys.edge_audit(self.frames, self.edges()))
-
-    def _enforced(self) -> DataFrame:
-        """The guard on a whole NOT NULL column, as it is and with every value missing."""
-        spec, column = next((s, c) for s in self.of.specs.values() for c in s.kept if not c.nullable)
-        df = self.frames[spec.table]
-        value = specs.quoted(column.name)
-        nothing = f"CAST(NULL AS {column.stored.simpleString()})"
-        clean, dirty = (
-            df.selectExpr(f"{specs.guarded(spec, column, v)} AS {value}") for v in (value, nothing)
-        )
-        return checks.nullability_enforced(self.spark, clean, dirty, column.name)
+        """One row per edge between loaded tables."""
+        return self._made_once("audit", lambda: settle(keys.edge_audit(self.frames, self._split(self.edges())[0])))
+
+    def _split(self, edges: Sequence[Edge]) -> tuple[list[Edge], dict[str, set[str]]]:
+        """Edges between loaded tables; of the others, the tables that are missing."""
+        missing = {keys.spell_edge(e): {e[0], e[2]} - set(self.frames) for e in edges}
+        return [e for e in edges if not missing[keys.spell_edge(e)]], {e: m for e, m in missing.items() if m}
+
+    def _primary_keys(self) -> DataFrame:
+        named = [(r.table_name, (r.column_name,)) for r in rel.primary_keys(self.catalog).collect()]
+        here = [n for n in named if n[0] in self.frames]
+        absent = {f"{t}.{'+'.join(c)}": {t} for t, c in named if t not in self.frames}
+        return self._unloaded("primary_keys", checks.primary_keys(self.frames, here) if here else None, absent)
+
+    def _referential(self) -> DataFrame:
+        here, absent = self._split(self.edges())
+        found = checks.referential_integrity(self.audit(), self.classify(), self.frames, here)
+        return self._unloaded("referential_integrity", found, absent)
+
+    def _hierarchies(self) -> DataFrame:
+        here, absent = self._split(rel.edge_list(rel.hierarchy_edges(self.classify())))
+        return self._unloaded("hierarchies", checks.hierarchies(self.frames, here) if here or not absent else None, absent)
 
     def _copies(self) -> DataFrame:
         def reader(tables: Mapping[str, str | Callable[[], DataFrame]]):
@@ -115,20 +162,16 @@ class Verification:
             "types": lambda: checks.types(self.catalog, self.stored),
             "type_mapping": lambda: checks.type_mapping(self.spark, self.catalog),
             "nullability_flags": lambda: checks.nullability_flags(self.catalog, self.stored, self.lake),
-            "nullability_enforced": self._enforced,
+            "nullability_enforced": lambda: checks.guard_enforced(self.spark, self.frames, self.of.specs),
             "null_reconciliation": lambda: checks.null_reconciliation(self.source, self.lake, self.catalog),
             "source_values": lambda: checks.source_values(self.source, self.lake),
             "value_digests": lambda: checks.value_digests(self.source, self.lake),
-            "primary_keys": lambda: checks.primary_keys(
-                self.frames, [(r.table_name, (r.column_name,)) for r in rel.primary_keys(self.catalog).collect()]
-            ),
+            "primary_keys": self._primary_keys,
             "foreign_key_oracle": lambda: checks.foreign_key_oracle(
-                self.catalog, self.classified, declared, curated, self.of.known
-            ),
-            "referential_integrity": lambda: checks.referential_integrity(self.audit, self.classified),
-            "hierarchies": lambda: checks.hierarchies(
-                self.frames, rel.edge_list(rel.hierarchy_edges(self.classified))
+                self.catalog, self.classify(), declared, curated, self.of.known
             ),
+            "referential_integrity": self._referential,
+            "hierarchies": self._hierarchies,
             "decimal_exactness": lambda: checks.decimal_exactness(self.source, self.lake),
             "copies_agree": self._copies,
         }
@@ -145,18 +188,19 @@ class Verification:
 
         def run(name: str) -> DataFrame:
             try:
-                return settle(builders[name]())
+                found = builders[name]()
+                return settle(self._unmeasured(name, found) if name in _PROFILED else found)
             except Exception as exc:
                 reason = f"{type(exc).__name__}: {str(exc).splitlines()[0]}"
                 return assertions.stated(self.spark, name, [("the check itself", "runs", reason, False)])
 
         # Shared measurements first, side by side; the checks then only read them.
-        _ = self.classified
+        self.classify()
         with ThreadPoolExecutor(parallel) as pool:
             if set(names) & _PROFILED:
-                pool.submit(lambda: self.profiles)
+                pool.submit(self.measured)
             if "referential_integrity" in names:
-                pool.submit(lambda: self.audit)
+                pool.submit(self.audit)
             own = {n: pool.submit(run, n) for n in names if n not in _PROFILED and n != "referential_integrity"}
             own = {n: f.result() for n, f in own.items()}
         with ThreadPoolExecutor(parallel) as pool:

@@ -103,7 +103,7 @@ class Warehouse:
         return verify.Dataset(
             specs=self.specs,
             extracts={t: self.extract_of(t) for t in self.specs},
-            stored={t: self._path(t) for t in self.specs},
+            stored={t: p for t in self.specs if (p := lake.location(self.spark, self.database, t)) is not None},
             known=known,
             curated=self.curated,
             declared=declared,

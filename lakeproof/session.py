@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Hashable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+Key = TypeVar("Key", bound=Hashable)
+
 # One place for the settings the jobs rely on. Skewed join sides are split by
 # AQE; broadcasts stay under the size Catalyst can prove from statistics.
 SETTINGS = {
@@ -18,6 +21,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Columns pinned as time; off by default.
+    "spark.sql.timeType.enabled": "true",
 }
 
 
@@ -127,6 +132,23 @@ def settle_all(builders: Sequence[Callable[[], DataFrame]], parallel: int = 8) -
     return _local(first.sparkSession, [rows for _, rows in done], first.schema)
 
 
+def settle_each(builders: Mapping[Key, Callable[[], DataFrame]], parallel: int = 8) -> tuple[DataFrame | None, dict[Key, str]]:
+    """``settle_all``, each job on its own: the rows of those that ran, and why the others did not."""
+
+    def run(build: Callable[[], DataFrame]) -> tuple[DataFrame, pa.Table] | str:
+        try:
+            df = build()
+            return df, df.toArrow()
+        except Exception as exc:  # told with the report, by whoever asked
+            return f"{type(exc).__name__}: {str(exc).splitlines()[0]}"
+
+    with ThreadPoolExecutor(parallel) as pool:
+        done = dict(zip(builders, pool.map(run, builders.values()), strict=True))
+    ran = [r for r in done.values() if not isinstance(r, str)]
+    rows = _local(ran[0][0].sparkSession, [t for _, t in ran], ran[0][0].schema) if ran else None
+    return rows, {k: r for k, r in done.items() if isinstance(r, str)}
+
+
 def local_frame(spark: SparkSession, rows: list[tuple], ddl: str | T.StructType) -> DataFrame:
     """Metadata rows as a local relation, whose small size the planner can see."""
     schema = T.StructType.fromDDL(ddl) if isinstance(ddl, str) else ddl

@@ -69,6 +69,13 @@ def typed(spec: TableSpec, column: PinnedColumn, field: str) -> str:
     return casting.strict_cast(field, column.stored, label(spec, column))
 
 
+def tried(column: PinnedColumn, field: str) -> str:
+    """``typed``, but a field that does not parse is NULL."""
+    if isinstance(column.stored, T.StringType):
+        return text.strip_nul(field)
+    return casting.parsed(field, column.stored)
+
+
 def guarded(spec: TableSpec, column: PinnedColumn, value: str) -> str:
     """Raise on NULL where the pinned schema says NOT NULL."""
     return value if column.nullable else casting.not_null(value, column.stored, label(spec, column))
