@@ -162,18 +162,20 @@ def guard_enforced(
     spark: SparkSession, frames: Mapping[str, DataFrame], of: Mapping[str, TableSpec], guard: Callable[[TableSpec, PinnedColumn, str], str] = specs.guarded
 ) -> DataFrame:
     """The guard on every NOT NULL column of every table: one job a table as it is, and one row of NULL for each column."""
-    out = []
-    for table, df in frames.items():
-        spec = of[table]
+
+    def one(table: str) -> DataFrame:
+        df, spec = frames[table], of[table]
         required = [c for c in spec.kept if not c.nullable]
-        if not required:
-            continue
         clean = df.selectExpr(*specs.projection({c.name: guard(spec, c, specs.quoted(c.name)) for c in required}))
         dirty = {
             c.name: spark.range(0, 1, 1, 1).selectExpr(f"{guard(spec, c, f'CAST(NULL AS {c.stored.simpleString()})')} AS {specs.quoted(c.name)}")
             for c in required
         }
-        out.append(nullability_enforced(spark, clean, dirty, f"{table}: "))
+        return nullability_enforced(spark, clean, dirty, f"{table}: ")
+
+    guarded = [t for t in frames if any(not c.nullable for c in of[t].kept)]
+    with ThreadPoolExecutor(4) as pool:
+        out = list(pool.map(one, guarded))
     return all_of(out) if out else local_frame(spark, [], ASSERTION_SCHEMA)
 
 

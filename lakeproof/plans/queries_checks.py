@@ -19,7 +19,7 @@ from lakeproof.plans.queries_keys import ALL_EDGES, _tables, edge_sql, stray_fra
 from lakeproof.plans.queries_profile import kept_frames
 from lakeproof.plans.registry import over, query, rows_sql
 from lakeproof.session import materialise, new_scratch, settle_all
-from lakeproof.sources import delimited, lake, specs
+from lakeproof.sources import delimited, footers, lake, specs
 
 
 def verdicts(check: str, clean: DataFrame, planted_: DataFrame) -> DataFrame:
@@ -120,24 +120,27 @@ def check_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts("row_counts", side(False), side(True))
 
 
-def _rewritten(spark: SparkSession, df: DataFrame, label: str) -> str:
-    path = new_scratch(spark, label)
-    df.write.parquet(path)
-    return path
-
-
 def _footers(spark: SparkSession, sf_dir: str, replaced: dict[str, str]) -> DataFrame:
     """Stored types and flags of all tables, some of them read elsewhere."""
     paths = staging.stored_all(spark, sf_dir) | replaced
-    return specs.stored_catalog(spark, {t: lake.stored_schema(spark, p) for t, p in paths.items()})
+    return footers.stored_catalog(spark, paths)
+
+
+def _second_file(spark: SparkSession, sf_dir: str, table: str, change) -> str:
+    """The stored table in a folder of its own, to which a file of changed rows is added."""
+    path = new_scratch(spark, f"two-{table}")
+    staging.scan(spark, sf_dir, table).write.parquet(path)
+    change(_stored(spark, sf_dir, table)).coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
 @query("check_types", verdict_sql("types", str(_COLUMNS), {"clean": "0", "planted": "2"}))
 def check_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Types as stored in the files; then with a price as double and a line number as bigint."""
-    orders = _stored(spark, sf_dir, "dim_order").withColumn("total_price", F.col("total_price").cast("double"))
-    lines = _stored(spark, sf_dir, "fact_lineitem").withColumn("line_number", F.col("line_number").cast("bigint"))
-    wrong = {"dim_order": _rewritten(spark, orders, "wide"), "fact_lineitem": _rewritten(spark, lines, "wide")}
+    """Types as stored in every file; then with a price as double and a line number as bigint in one more file."""
+    wrong = {
+        t: _second_file(spark, sf_dir, t, lambda df, c=c, of=of: df.withColumn(c, F.col(c).cast(of)))
+        for t, c, of in (("dim_order", "total_price", "double"), ("fact_lineitem", "line_number", "bigint"))
+    }
     columns = catalog(spark)
     return verdicts(
         "types", checks.types(columns, _footers(spark, sf_dir, {})), checks.types(columns, _footers(spark, sf_dir, wrong))
@@ -227,9 +230,8 @@ def check_type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def check_nullability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flags in the files and NULLs in the columns; then an unguarded load with NULLs."""
-    loose = planted.plant(_stored(spark, sf_dir, "dim_order"), planted.STRAY_CUSTOMERS)
-    path = _rewritten(spark, loose, "loose")
+    """Flags in every file and NULLs in the columns; then one more file from an unguarded load with NULLs."""
+    path = _second_file(spark, sf_dir, "dim_order", lambda df: planted.plant(df, planted.STRAY_CUSTOMERS))
 
     def side(replaced: dict[str, str]) -> DataFrame:
         parts = []

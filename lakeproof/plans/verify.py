@@ -21,7 +21,7 @@ from lakeproof.operators import edges as rel
 from lakeproof.operators.keys import Edge
 from lakeproof.plans import checks
 from lakeproof.session import local_frame, settle, settle_each
-from lakeproof.sources import delimited, lake, specs
+from lakeproof.sources import delimited, footers, specs
 from lakeproof.sources.specs import TableSpec
 
 
@@ -112,9 +112,7 @@ class Verification:
 
     @cached_property
     def stored(self) -> DataFrame:
-        return specs.stored_catalog(
-            self.spark, {t: lake.stored_schema(self.spark, p) for t, p in self.of.stored.items() if t in self.of.specs}
-        )
+        return settle(footers.stored_catalog(self.spark, {t: p for t, p in self.of.stored.items() if t in self.of.specs}))
 
     def edges(self) -> list[Edge]:
         sets = [rel.derived_edges(self.classify()), rel.edge_frame(self.spark, self.of.curated)]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -199,27 +198,3 @@ def run_summary(log: DataFrame, run: str = "run_id") -> DataFrame:
         F.coalesce(per_run("wall"), F.lit(0)).cast(T.DecimalType(18, 4)).alias("avg_wall"),
         F.coalesce(per_run("table_seconds"), F.lit(0)).cast(T.DecimalType(18, 4)).alias("avg_table_seconds"),
     )
-
-
-def stored_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Types and NOT NULL flags as the writer stored them.
-
-    Reading a file table makes every field nullable, so the flags are taken
-    from the footer of one of its files.
-    """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(conf).listFiles(folder, False)
-    while files.hasNext():
-        file = files.next().getPath()
-        if not file.getName().endswith(".parquet"):
-            continue
-        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
-            jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(file, conf)
-        )
-        try:
-            kept = reader.getFooter().getFileMetaData().getKeyValueMetaData()
-            return T.StructType.fromJson(json.loads(kept.get("org.apache.spark.sql.parquet.row.metadata")))
-        finally:
-            reader.close()
-    raise FileNotFoundError(f"no parquet file in {path}")

@@ -169,16 +169,6 @@ def kept_columns(catalog: DataFrame) -> DataFrame:
     return catalog.where(~F.col("sql_type").isin(*typing.EXCLUDED_TYPES))
 
 
-def stored_catalog(spark: SparkSession, schemas: dict[str, T.StructType]) -> DataFrame:
-    """What the lake reports: (table_name, column_name, stored_type, required)."""
-    rows = [
-        (table, f.name, f.dataType.simpleString(), not f.nullable)
-        for table, schema in schemas.items()
-        for f in schema.fields
-    ]
-    return local_frame(spark, rows, "table_name string, column_name string, stored_type string, required boolean")
-
-
 def select_tables(available: DataFrame, wanted: list[str], excluded: tuple[str, ...] = ()) -> DataFrame:
     """The wanted tables (all when empty) with the ones nobody has marked missing.
 

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakeproof.session import local_frame, new_scratch, scratch_root
-from lakeproof.sources import constraints, delimited, lake, specs
+from lakeproof.sources import constraints, delimited, footers, lake, specs
 from lakeproof.sources.specs import PinnedColumn, TableSpec
 
 ITEMS = TableSpec(
@@ -162,7 +162,10 @@ def test_failed_refresh_leaves_the_table(spark):
 def test_stored_schema_keeps_not_null(spark):
     path = new_scratch(spark, "flags")
     spark.range(2).selectExpr("id AS k", "CAST(NULL AS STRING) AS s").write.parquet(path)
-    assert [f.nullable for f in lake.stored_schema(spark, path).fields] == [False, True]
+    found = lambda: {r.column_name: (r.stored_type, r.required) for r in footers.stored_catalog(spark, {"t": path}).collect()}
+    assert found() == {"k": ("bigint", True), "s": ("string", False)}
+    spark.range(2).selectExpr("CAST(NULL AS INT) AS k").write.mode("append").parquet(path)
+    assert found() == {"k": ("bigint or int", False), "s": ("string or absent", False)}
 
 
 def test_scan_raises_on_a_null_in_a_required_column(spark):
