@@ -100,8 +100,10 @@ def test_strict_cast_refuses(spark, value, to, ansi):
 
 
 def test_timestamps_keep_microseconds(spark):
-    got = cast_one(spark, "2024-01-01 10:00:00.123456789", T.TimestampNTZType())
+    got = cast_one(spark, "2024-01-01 10:00:00.123456000", T.TimestampNTZType())
     assert got.microsecond == 123456
+    with pytest.raises(PySparkException, match="not a timestamp_ntz"):
+        cast_one(spark, "2024-01-01 10:00:00.123456789", T.TimestampNTZType())
 
 
 GUARDED = [

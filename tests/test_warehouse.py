@@ -87,8 +87,12 @@ def test_a_bad_extract_fails_its_table_only(spark, tmp_path):
     log = {r.table_name: r.error for r in w.load().collect()}
     assert "dim_date.full_date_alternate_key: not a date: yesterday" in log.pop("dim_date")
     assert set(log.values()) == {None}
-    with pytest.raises(LookupError):
-        w.dataset(KNOWN)
+    # The verification goes on without the table and names it in the checks that need it.
+    _, found = w.verify(KNOWN, ["row_counts", "value_digests", "primary_keys"])
+    bad = {(r.check_name, r.subject) for r in found.where("NOT ok").collect()}
+    assert bad == {
+        ("row_counts", "dim_date lake"), ("value_digests", "dim_date lake"), ("primary_keys", "dim_date.date_key"),
+    }
 
 
 def test_defects_are_found(spark, tmp_path):
