@@ -1,8 +1,8 @@
 """One-pass column profiles in long form: (side, table_name, column_name, metric, value).
 
 Everything asked of a table is computed in one aggregation over one scan; the
-only shuffle carries one row per task. Very wide tables are cut into column
-groups, which on a columnar source still reads each column once.
+only shuffle carries one row per task. Where a table is too wide for that, cells
+are stacked and added up by column, still in one scan.
 """
 
 from __future__ import annotations
@@ -19,18 +19,36 @@ from lakeproof.session import local_frame
 from lakeproof.sources import specs
 from lakeproof.sources.specs import TableSpec
 
-COLUMNS_PER_PASS = 100
+COLUMNS_AT_ONCE = 100
 ROWS = "rows"
 REFUSED = "refused"
 VALUE = T.DecimalType(38, 4)
 
 
 class Metric(NamedTuple):
-    """A measurement of one column: one SQL aggregate, or the three of a digest."""
+    """A measurement of one column, by its kind.
+
+    ``count`` of rows where ``value`` holds, exact ``sum`` of a number, what a
+    sum has ``below`` its four decimals, or ``digest`` of a column of hashes.
+    ``of`` is the number's decimal type and ``scale`` that of its column.
+    """
 
     column: str
     name: str
-    parts: tuple[str, ...]
+    kind: str
+    value: str
+    of: T.DecimalType | None = None
+    scale: int = 0
+
+    @property
+    def parts(self) -> tuple[str, ...]:
+        """SQL aggregates that measure it: one, or the three of a digest."""
+        if self.kind == "count":
+            return (f"count_if({self.value})",)
+        if self.kind == "digest":
+            return digest_parts(self.value)
+        total = f"sum({self.value})"
+        return (exact(total) if self.kind == "sum" else below(total, self.scale),)
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -67,30 +85,78 @@ def _one_pass(df: DataFrame, side: str, table: str, metrics: list[Metric]) -> Da
     )
 
 
+def _stacked(df: DataFrame, side: str, table: str, metrics: list[Metric]) -> DataFrame:
+    """One scan for any width: what a row adds to each measurement is a row of its own, added up by number.
+
+    Only additions leave a row, about one a cell, and every task adds them up
+    before the exchange, which carries one row per measurement and task.
+    """
+    kinds = list(dict.fromkeys((m.of.simpleString(), m.scale) for m in metrics if m.of))
+
+    def addition(i: int, m: Metric) -> str:
+        hashed = m.value if m.kind == "digest" else "CAST(NULL AS BIGINT)"
+        numbers = ", ".join(
+            f"'d{j}', CAST({m.value if m.of and (m.of.simpleString(), m.scale) == (of, scale) else 'NULL'} AS {of})"
+            for j, (of, scale) in enumerate(kinds)
+        )
+        there = m.value if m.kind == "count" else f"({m.value}) IS NOT NULL"
+        return f"if({there}, named_struct('i', {i}, 'h', {hashed}{', ' if kinds else ''}{numbers}), NULL)"
+
+    added = f"inline(filter(array({', '.join(addition(i, m) for i, m in enumerate(metrics))}), x -> x IS NOT NULL))"
+    low, middle, high = digest_parts("h")
+    sums = [F.expr(f"sum(d{j})").alias(f"s{j}") for j in range(len(kinds))]
+    summed = df.selectExpr(added).groupBy("i").agg(
+        F.count(F.lit(1)).alias("n"), F.expr(low).alias("low"), F.expr(middle).alias("middle"), F.expr(high).alias("high"), *sums
+    )
+    names = local_frame(
+        df.sparkSession, [(i, m.column, m.name, m.kind) for i, m in enumerate(metrics)], "i int, column_name string, metric string, kind string"
+    )
+    total = ", ".join([f"CAST(s{j} AS {_VALUE})" for j in range(len(kinds))] + [f"CAST(0 AS {_VALUE})"])
+    rest = ", ".join(
+        [f"if(s{j} IS NULL, NULL, CAST({below(f's{j}', scale)} AS {_VALUE}))" for j, (_, scale) in enumerate(kinds) if scale > VALUE.scale]
+        + [f"CAST(0 AS {_VALUE})"]
+    )
+    return names.join(summed, "i", "left").selectExpr(
+        f"{literal(side)} AS side",
+        f"{literal(table)} AS table_name",
+        "column_name",
+        "metric",
+        f"CASE kind WHEN 'count' THEN CAST(coalesce(n, 0) AS {_VALUE}) WHEN 'digest' THEN CAST({digest('low', 'middle', 'high')} AS {_VALUE}) "
+        f"WHEN 'sum' THEN coalesce({total}) ELSE coalesce({rest}) END AS value",
+    )
+
+
 def long_profile(df: DataFrame, side: str, table: str, metrics: list[Metric]) -> DataFrame:
-    """Evaluate the metrics; the row count is always part of the answer."""
-    names = list(dict.fromkeys(m.column for m in metrics))
-    groups = [names[i : i + COLUMNS_PER_PASS] for i in range(0, len(names), COLUMNS_PER_PASS)] or [[]]
-    passes = []
-    for n, group in enumerate(groups):
-        wanted = [m for m in metrics if m.column in set(group)]
-        if n == 0:
-            wanted.insert(0, Metric("*", ROWS, ("count(1)",)))
-        passes.append(_one_pass(df, side, table, wanted))
-    return union_all(passes)
+    """Evaluate the metrics in one scan; the row count is always part of the answer.
+
+    One aggregation holds the sums of up to ``COLUMNS_AT_ONCE`` columns side by
+    side; beyond that, generated code grows too large and they are stacked.
+    """
+    wanted = [Metric("*", ROWS, "count", "true"), *metrics]
+    at_once = len({m.column for m in metrics}) <= COLUMNS_AT_ONCE
+    return (_one_pass if at_once else _stacked)(df, side, table, wanted)
 
 
 def is_text(of: T.DataType) -> bool:
     return isinstance(of, T.StringType)
 
 
-def exact_sum(value: str) -> str:
-    """Aggregate: exact sum, 0 when there is nothing to add."""
-    return f"CAST(coalesce(sum({value}), 0) AS {_VALUE})"
+def exact(total: str) -> str:
+    """An exact sum, 0 when there is nothing to add."""
+    return f"CAST(coalesce({total}, 0) AS {_VALUE})"
+
+
+def below(total: str, scale: int) -> str:
+    """What a sum has below its four decimals, in units of the column's last digit.
+
+    Units end at the eighteenth digit, where a product still fits a decimal.
+    """
+    k = min(scale, 18)
+    return f"CAST(coalesce({total}, 0) % 0.0001BD AS DECIMAL({k + 1},{k})) * {10**k}BD"
 
 
 def _count(column: str, metric: str, condition: str) -> Metric:
-    return Metric(column, metric, (f"count_if({condition})",))
+    return Metric(column, metric, "count", condition)
 
 
 def null_metrics(fields: Iterable[T.StructField]) -> list[Metric]:
@@ -120,21 +186,14 @@ def token_metrics(fields: Iterable[T.StructField]) -> list[Metric]:
     ]
 
 
-def _sums(column: str, value: str, scale: int) -> list[Metric]:
-    """The sum, and below its four decimals what is left of it, in units of the column's last digit.
-
-    Units end at the eighteenth digit, where a product still fits a decimal.
-    """
-    out = [Metric(column, "sum", (exact_sum(value),))]
-    if scale > VALUE.scale:
-        k = min(scale, 18)
-        rest = f"CAST(coalesce(sum({value}), 0) % 0.0001BD AS DECIMAL({k + 1},{k}))"
-        out.append(Metric(column, "sum_below", (f"{rest} * {10**k}BD",)))
-    return out
+def _sums(column: str, value: str, of: T.DecimalType, scale: int) -> list[Metric]:
+    """The sum, and what is left below its four decimals where the column has more."""
+    kinds = [("sum", "sum")] + ([("sum_below", "below")] if scale > VALUE.scale else [])
+    return [Metric(column, metric, kind, value, of, scale) for metric, kind in kinds]
 
 
 def sum_metrics(fields: Iterable[T.StructField]) -> list[Metric]:
-    return [m for f in fields if isinstance(f.dataType, T.DecimalType) for m in _sums(f.name, name(f.name), f.dataType.scale)]
+    return [m for f in fields if isinstance(f.dataType, T.DecimalType) for m in _sums(f.name, name(f.name), f.dataType, f.dataType.scale)]
 
 
 def _hash_name(column: str) -> str:
@@ -149,7 +208,7 @@ def with_hashes(df: DataFrame, portable: bool = False) -> DataFrame:
 
 def digest_metrics(columns: Iterable[str]) -> list[Metric]:
     """Digests over the columns ``with_hashes`` adds."""
-    return [Metric(c, "digest", digest_parts(name(_hash_name(c)))) for c in columns]
+    return [Metric(c, "digest", "digest", name(_hash_name(c))) for c in columns]
 
 
 def column_profile(df: DataFrame, side: str, table: str) -> DataFrame:
@@ -215,7 +274,7 @@ def source_profile(fields: DataFrame, spec: TableSpec, side: str = "source") ->
         if isinstance(c.stored, T.DecimalType):
             # The written number itself, wider than its stored form.
             scale = min(38 - (c.stored.precision - c.stored.scale), c.stored.scale + 4)
-            metrics += _sums(c.name, f"try_cast({as_written} AS DECIMAL(38,{scale}))", c.stored.scale)
+            metrics += _sums(c.name, f"try_cast({as_written} AS DECIMAL(38,{scale}))", T.DecimalType(38, scale), c.stored.scale)
     return long_profile(hashed, side, spec.table, metrics + digest_metrics(c.name for c in spec.kept))
 
 
@@ -233,4 +292,4 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 def grouped_totals(df: DataFrame, key: str, amount: str, n: str = "n", total: str = "total") -> DataFrame:
     """Count and exact sum per group, in group order."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(n), F.expr(exact_sum(amount)).alias(total)).orderBy(key)
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(n), F.expr(exact(f"sum({amount})")).alias(total)).orderBy(key)

@@ -35,6 +35,27 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column
     return ranked.where(F.col("_n") <= n).drop("_n")
 
 
+def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], as_: str) -> DataFrame:
+    """Rows numbered from 1 within their group; a group of any size is dealt over many tasks.
+
+    Rows are sorted into ranges of group and order, and the ranges written, so
+    that a row keeps its range. Each range is numbered on its own, and the rows
+    of the group in the ranges before it are added: one small row per group and
+    range. ``order`` must tell the rows of a group apart.
+    """
+    ranged = df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id())
+    ranged = materialise(ranged, "ranges")
+    sizes = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    # Only groups that reach into several ranges have anything to add.
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("_before", F.sum("_size").over(earlier)).where("_before > 0")
+    before = before.select(*[F.col(name(c)).alias(f"_of_{c}") for c in group], F.col("_range").alias("_of_range"), "_before")
+    same = reduce(and_, (F.col(name(c)).eqNullSafe(F.col(name(f"_of_{c}"))) for c in group))
+    local = F.row_number().over(Window.partitionBy(*group, "_range").orderBy(*order))
+    with_local = ranged.withColumn("_local", local).join(before, same & (F.col("_range") == F.col("_of_range")), "left")
+    return with_local.select(*df.columns, (F.col("_local") + F.coalesce("_before", F.lit(0))).alias(as_))
+
+
 def row_differences(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """(key columns, l, r): the cells of rows the two sides do not share.
 
@@ -42,7 +63,8 @@ def row_differences(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Da
     a key that repeats does not multiply and no row is shuffled whole. What is
     left is written to the scratch folder, fetches its cells, and is paired per
     key in the order of the cells: the first with the first, and so on. A side
-    with fewer rows for the key has NULL there.
+    with fewer rows for the key has NULL there. A key with most of the differing
+    rows is numbered by many tasks.
     """
     cells = [c for c in left.columns if c not in key]
     # Hashes skip NULLs, so each is told; nested values, whose own NULLs cannot be told, are compared as they are.
@@ -58,9 +80,8 @@ def row_differences(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Da
     left_over = rows.join(surplus, same).where("signum(_side) = signum(_surplus)")
     found = left_over.groupBy(*by).agg(F.first("_cells").alias("_cells"), F.first("_surplus").alias("_surplus"))
     each = found.select(*key, "_cells", (F.col("_surplus") > 0).alias("_left"), F.explode(F.sequence(F.lit(1), F.abs("_surplus"))).alias("_copy"))
-    nth = F.row_number().over(Window.partitionBy(*key, "_left").orderBy("_cells", "_copy"))
     return (
-        each.withColumn("_nth", nth)
+        numbered(each, [*key, "_left"], ["_cells", "_copy"], "_nth")
         .groupBy(*key, "_nth")
         .agg(F.min(F.when(F.col("_left"), F.col("_cells"))).alias("l"), F.min(F.when(~F.col("_left"), F.col("_cells"))).alias("r"))
         .drop("_nth")

@@ -13,11 +13,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeproof.functions import text, typing
+from lakeproof.functions.sqltext import name
 from lakeproof.operators import edges as rel
 from lakeproof.operators import hierarchy, keys, profile
-from lakeproof.operators.assertions import ASSERTION_SCHEMA, all_of, assertions, plain, stated
+from lakeproof.operators.assertions import ASSERTION, ASSERTION_SCHEMA, all_of, assertions, plain, stated
 from lakeproof.operators.keys import Edge
-from lakeproof.operators.reconcile import reconcile
+from lakeproof.operators.reconcile import first_per_group, reconcile
 from lakeproof.session import local_frame, settle
 from lakeproof.sources import specs
 from lakeproof.sources.specs import PinnedColumn, TableSpec
@@ -212,9 +213,55 @@ def source_values(source: DataFrame, lake: DataFrame) -> DataFrame:
     )
 
 
-def value_digests(source: DataFrame, lake: DataFrame) -> DataFrame:
-    """Digests of every column, and no field of an extract that its type refuses."""
-    return _same_metric("value_digests", source, lake, "digest").unionAll(_refused("value_digests", source))
+def value_digests(
+    source: DataFrame, lake: DataFrame, tables: Callable[[str], tuple[DataFrame, DataFrame]] | None = None
+) -> DataFrame:
+    """Digests of every column, and no field of an extract that its type refuses.
+
+    With ``tables``, which opens a table as extracted and as stored, a column
+    whose digests differ shows the first two values each side has too many of.
+    Only those columns of those tables are read again.
+    """
+    found = _same_metric("value_digests", source, lake, "digest")
+    if tables is not None:
+        bad: dict[str, list[str]] = {}
+        for (table, _, column) in (r.subject.partition(".") for r in found.where("NOT ok").orderBy("subject").collect()):
+            bad.setdefault(table, []).append(column)
+        shown = [(f"{t}.{c}", s) for t, columns in bad.items() for c, s in value_examples(*tables(t), columns).items()]
+        examples = local_frame(source.sparkSession, shown, "subject string, shown string")
+        found = found.join(examples, "subject", "left").withColumn("actual", F.concat("actual", F.coalesce("shown", F.lit(""))))
+    return found.select(*ASSERTION).unionAll(_refused("value_digests", source))
+
+
+SHOWN_CHARS = 40
+
+
+def value_examples(extracted: DataFrame, stored: DataFrame, columns: Sequence[str], n: int = 2) -> dict[str, str]:
+    """Per column, the first values of which the extract and the lake hold too many.
+
+    Values are counted, the lake's negatively, so equal ones cancel before and
+    after the shuffle however often they come; n of each side and column are kept.
+    """
+
+    def cells(df: DataFrame, side: int) -> DataFrame:
+        each = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(name(c)).cast("string").alias("value")) for c in columns])
+        return df.select(F.inline(each)).withColumn("side", F.lit(side))
+
+    columns = [c for c in columns if c in extracted.columns and c in stored.columns]
+    if not columns:
+        return {}
+    both = cells(extracted, 1).unionAll(cells(stored, -1)).where("value IS NOT NULL")
+    surplus = both.groupBy("column_name", "value").agg(F.sum("side").alias("surplus")).where("surplus <> 0")
+    sided = surplus.select("column_name", "value", (F.col("surplus") > 0).alias("extracted"))
+    shown: dict[tuple[str, bool], list[str]] = {}
+    for r in first_per_group(sided, ["column_name", "extracted"], ["value"], n).orderBy("value").collect():
+        shown.setdefault((r.column_name, r.extracted), []).append(r.value[:SHOWN_CHARS])
+    out: dict[str, str] = {}
+    for side, label in ((True, "only in the extract"), (False, "only in the lake")):
+        for c in columns:
+            if (c, side) in shown:
+                out[c] = f"{out.get(c, '')}; {label}: {', '.join(shown[c, side])}"
+    return out
 
 
 def decimal_exactness(source: DataFrame, lake: DataFrame) -> DataFrame:
@@ -328,11 +375,42 @@ def referential_integrity(
     )
 
 
+def edge_notes(classified: DataFrame, declared: DataFrame) -> DataFrame:
+    """(subject, note): how many edges are declared and derived, declared and a hierarchy, only declared, only derived."""
+    verdicts = rel.edge_diff(declared, rel.derived_edges(classified), rel.hierarchy_edges(classified))
+    counted = verdicts.groupBy(F.col("verdict").alias("subject")).agg(F.count(F.lit(1)).alias("n"))
+    each = local_frame(declared.sparkSession, [(v,) for v in ("agreed", "routed", "missed", "invented")], "subject string")
+    return each.join(counted, "subject", "left").select("subject", F.concat(F.coalesce("n", F.lit(0)).cast("string"), F.lit(" edges")).alias("note"))
+
+
+def audit_notes(audit: DataFrame) -> DataFrame:
+    """(subject, note): what stood behind the edges that hold, and the edges that prove nothing."""
+    total = audit.agg(F.coalesce(F.sum("compared"), F.lit(0)).alias("compared"), F.count(F.lit(1)).alias("n")).select(
+        F.lit("coverage").alias("subject"),
+        F.concat(F.col("compared").cast("bigint").cast("string"), F.lit(" values compared over "), F.col("n").cast("string"), F.lit(" edges")).alias("note"),
+    )
+    return total.unionAll(vacuous_edges(audit).select(F.col("edge").alias("subject"), F.lit("nothing to compare").alias("note")))
+
+
+def type_notes(spark: SparkSession, catalog: DataFrame) -> DataFrame:
+    """(subject, note): pinned types that no column uses."""
+    found = rel.type_coverage(golden_frame(spark), catalog).where("finding = 'unexercised'")
+    return found.select(F.col("sql_type").alias("subject"), F.lit("no column of this type").alias("note"))
+
+
 def vacuous_edges(audit: DataFrame) -> DataFrame:
     """Edges without a single value to compare; they are no evidence."""
     return audit.where(F.col("compared") == 0).select("edge")
 
 
+def _none_of(found: DataFrame, subject: str, n: int = 3) -> DataFrame:
+    """An assertion that there are no such rows; if there are, their number and the first keys."""
+    count = found.count()
+    first = found.select(found.columns[0]).orderBy(found.columns[0]).limit(n).collect() if count else []
+    told = f"{count}, such as {_spelled(first)}" if count else "0"
+    return stated(found.sparkSession, "hierarchies", [(subject, "0", told, count == 0)])
+
+
 def hierarchies(frames: Mapping[str, DataFrame], edges: Sequence[Edge]) -> DataFrame:
     out = []
     for table, (parent,), _, (key,) in edges:
@@ -342,8 +420,7 @@ def hierarchies(frames: Mapping[str, DataFrame], edges: Sequence[Edge]) -> DataF
             ("conflicting", hierarchy.conflicting_parents(df, key, parent)),
             ("cyclic", hierarchy.cycle_starts(df, key, parent)),
         ):
-            n = found.agg(F.count(F.lit(1)).alias("n"))
-            out.append(assertions(n, "hierarchies", F.lit(f"{table}.{parent} {what}"), F.lit("0"), F.col("n")))
+            out.append(_none_of(found, f"{table}.{parent} {what}"))
     if not out:  # nothing to check is no failure: no rows, which the report shows as skipped
         none = next(iter(frames.values())).limit(0).select(F.lit(0).alias("n"))
         return assertions(none, "hierarchies", F.lit(""), F.lit("0"), F.col("n"))

@@ -86,7 +86,7 @@ def derive_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     classified = rel.classify_keys(columns)
     measured = profile.union_all(
         profile.long_profile(
-            df, "lake", t, [profile.Metric(c, "filled", (f"count({c})",)) for c in df.columns if c.endswith(rel.KEY)]
+            df, "lake", t, [profile.Metric(c, "filled", "count", f"{c} IS NOT NULL") for c in df.columns if c.endswith(rel.KEY)]
         )
         for t, df in frames.items()
         if any(c.endswith(rel.KEY) for c in df.columns)

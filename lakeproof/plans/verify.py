@@ -7,6 +7,7 @@ kept as local relations. Keys, edges and hierarchies read only the key columns.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -16,6 +17,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakeproof.functions.sqltext import name
 from lakeproof.operators import assertions, keys, profile
 from lakeproof.operators import edges as rel
 from lakeproof.operators.keys import Edge
@@ -45,6 +47,7 @@ class Verification:
     def __init__(self, spark: SparkSession, of: Dataset):
         self.spark, self.of = spark, of
         self._made: dict[str, Any] = {}
+        self.seconds: dict[str, float] = {}
         self._once = {name: Lock() for name in ("profiles", "audit", "classified")}
         # Tables that were never loaded have no frame; the checks that need one say so.
         self.frames = {t: self._read(t, of.stored[t]) for t in of.specs if t in of.stored}
@@ -98,6 +101,28 @@ class Verification:
     def lake(self) -> DataFrame:
         return self.measured()[0].where("side = 'lake'")
 
+    def _both(self, table: str) -> tuple[DataFrame, DataFrame]:
+        """A table as extracted, refused fields as NULL, and as stored."""
+        spec = self.of.specs[table]
+        fields = delimited.fields(self.spark, self.of.extracts[table], spec)
+        extracted = fields.selectExpr(*specs.projection({c.name: specs.tried(c, name(c.name)) for c in spec.kept}))
+        return extracted, self.frames[table]
+
+    def notes(self, names: Sequence[str] = checks.NAMES) -> DataFrame:
+        """(check_name, subject, note): what passing checks do not say, from measurements already made."""
+        told: dict[str, Callable[[], DataFrame]] = {
+            "type_mapping": lambda: checks.type_notes(self.spark, self.catalog),
+            "referential_integrity": lambda: checks.audit_notes(self.audit()),
+        }
+        if self.of.declared is not None:
+            told["foreign_key_oracle"] = lambda: checks.edge_notes(self.classify(), rel.edge_frame(self.spark, self.of.declared))
+        rows = [(n, r.subject, r.note) for n in names if n in told for r in told[n]().orderBy("subject").collect()]
+        return local_frame(self.spark, rows, "check_name string, subject string, note string")
+
+    def timings(self) -> DataFrame:
+        """(check_name, seconds) of the checks that have run; shared measurements count for the first that waits for them."""
+        return local_frame(self.spark, sorted(self.seconds.items()), "check_name string, seconds double")
+
     def _unmeasured(self, check: str, found: DataFrame) -> DataFrame:
         """The check's assertions, and a failed one for each table and side without a profile."""
         failed = self.measured()[1]
@@ -163,7 +188,7 @@ class Verification:
             "nullability_enforced": lambda: checks.guard_enforced(self.spark, self.frames, self.of.specs),
             "null_reconciliation": lambda: checks.null_reconciliation(self.source, self.lake, self.catalog),
             "source_values": lambda: checks.source_values(self.source, self.lake),
-            "value_digests": lambda: checks.value_digests(self.source, self.lake),
+            "value_digests": lambda: checks.value_digests(self.source, self.lake, self._both),
             "primary_keys": self._primary_keys,
             "foreign_key_oracle": lambda: checks.foreign_key_oracle(
                 self.catalog, self.classify(), declared, curated, self.of.known
@@ -184,13 +209,16 @@ class Verification:
             raise ValueError(f"unknown check(s): {', '.join(unknown)}")
         builders = self._builders()
 
-        def run(name: str) -> DataFrame:
+        def run(check: str) -> DataFrame:
+            start = time.perf_counter()
             try:
-                found = builders[name]()
-                return settle(self._unmeasured(name, found) if name in _PROFILED else found)
+                found = builders[check]()
+                return settle(self._unmeasured(check, found) if check in _PROFILED else found)
             except Exception as exc:
                 reason = f"{type(exc).__name__}: {str(exc).splitlines()[0]}"
-                return assertions.stated(self.spark, name, [("the check itself", "runs", reason, False)])
+                return assertions.stated(self.spark, check, [("the check itself", "runs", reason, False)])
+            finally:
+                self.seconds[check] = time.perf_counter() - start
 
         # Shared measurements first, side by side; the checks then only read them.
         self.classify()

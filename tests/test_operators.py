@@ -206,11 +206,56 @@ def test_profile_counts(spark):
     assert [tuple(r)[2:] for r in profile.token_census(df, "x", "t").collect()] == [("s", "NA", 1)]
 
 
-def test_wide_tables_are_profiled_in_groups(spark, monkeypatch):
-    monkeypatch.setattr(profile, "COLUMNS_PER_PASS", 3)
-    df = spark.range(4).selectExpr("id AS c0", *[f"if(id < {i}, NULL, id) AS c{i}" for i in range(1, 8)])
-    got = {r.column_name: int(r.value) for r in profile.column_profile(df, "x", "t").collect()}
-    assert got == {"*": 4, "c0": 0} | {f"c{i}": min(i, 4) for i in range(1, 8)}
+def wide(spark, n):
+    """n columns of six types, with gaps, empties, tokens and NUL bytes."""
+    makers = ["id * {i}", "CAST(id * 0.37 AS DECIMAL(12,2))", "CAST(id / 7 AS DECIMAL(20,9))", "id / {i}e0",
+              "CASE id % 5 WHEN 0 THEN '' WHEN 1 THEN 'NA' WHEN 2 THEN char(0) WHEN 3 THEN concat('x', char(0)) ELSE 'y' END", "DATE'2024-01-01' + CAST(id AS INT)"]
+    gaps = [f"if(id % 11 = {i % 11}, NULL, {makers[i % 6].format(i=i + 1)}) AS c{i}" for i in range(n)]
+    return spark.range(0, 200, 1, 4).selectExpr(*gaps)
+
+
+def test_a_wide_table_is_profiled_in_one_scan(spark, monkeypatch, tmp_path):
+    wide(spark, 300).write.parquet(str(tmp_path / "wide"))
+    stored = spark.read.parquet(str(tmp_path / "wide"))
+    stacked = profile.lake_profile(stored, "t")
+    plan = stacked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    got = {(r.column_name, r.metric): r.value for r in stacked.collect()}
+    monkeypatch.setattr(profile, "COLUMNS_AT_ONCE", 1000)
+    side_by_side = {}
+    for start in range(0, 300, 60):
+        part = stored.select(*stored.columns[start : start + 60])
+        side_by_side |= {(r.column_name, r.metric): r.value for r in profile.lake_profile(part, "t").collect()}
+    assert got == side_by_side and len(got) > 1000
+    assert sum(v != 0 for (_, m), v in got.items() if m == "sum_below") > 0
+
+
+def test_a_wide_empty_table_has_zeros(spark, monkeypatch):
+    monkeypatch.setattr(profile, "COLUMNS_AT_ONCE", 3)
+    got = {r.value for r in profile.lake_profile(wide(spark, 8).where("false"), "t").collect()}
+    assert got == {0}
+
+
+@pytest.fixture
+def ranges_kept(spark):
+    """Small ranges are not put together."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_hot_key_is_numbered_by_many_tasks(spark, ranges_kept):
+    df = spark.range(0, 30_000, 1, 8).selectExpr("if(id % 10 < 9, 1L, id) AS k", "id % 2 = 0 AS side", "named_struct('a', -id, 'b', NULL) AS cells")
+    got = reconcile.numbered(df, ["k", "side"], ["cells"], "n")
+    rows = {(r.k, r.side, -r.cells.a): r.n for r in got.collect()}
+    want, seen = {}, {}
+    for i in range(29_999, -1, -1):
+        group = (1 if i % 10 < 9 else i, i % 2 == 0)
+        seen[group] = seen.get(group, 0) + 1
+        want[(*group, i)] = seen[group]
+    assert rows == want
+    ranged = df.repartitionByRange("k", "side", "cells").withColumn("p", F.spark_partition_id())
+    assert ranged.where("k = 1").select("p").distinct().count() > 2
 
 
 def test_sums_are_exact_and_zero_for_nothing(spark):
