@@ -13,11 +13,11 @@ from lakeproof.operators import edges as rel
 from lakeproof.operators.keys import Edge
 from lakeproof.operators.profile import union_all
 from lakeproof.plans import checks, planted, staging, star, verify
-from lakeproof.plans.queries_edges import _BROKEN, _LISTED, catalog, evidence
+from lakeproof.plans.queries_edges import _BROKEN, _LISTED, _VERDICTS, catalog, evidence
 from lakeproof.plans.queries_ingest import fresh_database, planted_extract
 from lakeproof.plans.queries_keys import ALL_EDGES, _tables, edge_sql, stray_frames
 from lakeproof.plans.queries_profile import kept_frames
-from lakeproof.plans.registry import over, query, rows_sql
+from lakeproof.plans.registry import over, query, rows_sql, values_sql
 from lakeproof.session import materialise, new_scratch, settle_all
 from lakeproof.sources import delimited, footers, lake, specs
 
@@ -380,6 +380,38 @@ def check_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_WRONG = tuple(planted.WRONG_ORDERS)
+
+
+@query(
+    "value_findings",
+    over(
+        "dim_order",
+        also={
+            "p": planted.plant_sql("dim_order", planted.WRONG_ORDERS),
+            "cells": rows_sql(
+                [f"SELECT '{c}' AS c, CAST({c} AS VARCHAR) AS v, {n} AS n FROM {t}" for c in _WRONG for t, n in (("dim_order", 1), ("p", -1))]
+            ),
+            "surplus": "SELECT c, v, sum(n) AS n FROM cells GROUP BY c, v HAVING sum(n) <> 0",
+            "ranked": "SELECT c, v, n > 0 AS extracted, row_number() OVER (PARTITION BY c, n > 0 ORDER BY v) AS i FROM surplus",
+            "shown": "SELECT c, string_agg(v, ', ' ORDER BY v) FILTER (extracted) AS l, "
+            "string_agg(v, ', ' ORDER BY v) FILTER (NOT extracted) AS r FROM ranked WHERE i <= 2 GROUP BY c",
+        },
+        body="SELECT 'dim_order.' || c AS subject, coalesce('only in the extract: ' || l, '') || "
+        "CASE WHEN l IS NOT NULL AND r IS NOT NULL THEN '; ' ELSE '' END || coalesce('only in the lake: ' || r, '') AS shown FROM shown",
+    ),
+)
+def value_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the digest check shows of the orders whose prices, dates and priorities are wrong."""
+    spec = _relaxed("dim_order")
+    raw = delimited.fields(spark, staging.extract(spark, sf_dir, "dim_order"), spec)
+    loaded = materialise(delimited.pin(raw, spec), "loaded-dim_order")
+    bad = planted.plant(loaded, planted.WRONG_ORDERS)
+    sides = settle_all([lambda: profile.source_profile(raw, spec, "source"), lambda: profile.lake_profile(bad, "dim_order", "lake")])
+    found = checks.value_digests(sides.where("side = 'source'"), sides.where("side = 'lake'"), lambda _: (loaded, bad))
+    return found.where("NOT ok").selectExpr("subject", "substring(actual, instr(actual, ';') + 2) AS shown")
+
+
 _OWN_KEYS = [(t, k) for t, k in star.CANDIDATE_KEYS.items() if t.startswith("dim_")]
 
 
@@ -536,7 +568,27 @@ def check_hierarchies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts("hierarchies", clean, faulty)
 
 
-_COPIED = ("dim_customer", "dim_supplier", "dim_order")
+@query(
+    "hierarchy_findings",
+    over(
+        "dim_customer",
+        also={
+            "d": planted.plant_sql("dim_customer", planted.DANGLING),
+            "gone": "SELECT DISTINCT parent_customer_key AS k FROM d WHERE parent_customer_key NOT IN (SELECT customer_key FROM d)",
+        },
+        body="SELECT 'tree.parent_customer_key ' || what AS subject, CASE WHEN what <> 'dangling' OR n = 0 THEN '0' ELSE n || ', such as ' || shown END AS actual "
+        "FROM (VALUES ('dangling'), ('conflicting'), ('cyclic')) AS w(what), (SELECT count(*) AS n FROM gone), "
+        "(SELECT string_agg(k, ', ' ORDER BY k) AS shown FROM (SELECT k FROM gone ORDER BY k LIMIT 3))",
+    ),
+)
+def hierarchy_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the check says of customers whose parents do not exist, with the first three."""
+    tree = planted.plant(star.frame(spark, sf_dir, "dim_customer"), planted.DANGLING)
+    edge = star.HIERARCHIES[0]
+    return checks.hierarchies({"tree": tree}, [("tree", edge[1], "tree", edge[3])]).select("subject", "actual")
+
+
+_COPIED = _ALL
 
 
 @query(
@@ -691,3 +743,24 @@ def verification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extract, load and verify all tables: one row per check."""
     found = verify.Verification(spark, dataset(spark, sf_dir)).assertions()
     return verify.report(found).orderBy("position")
+
+
+_UNUSED_TYPES = sorted({g[0] for g in typing.GOLDEN_TYPES} - {c.sql_type for s in star.SPECS.values() for c in s.kept})
+
+
+@query(
+    "verification_notes",
+    over(
+        *_tables(ALL_EDGES),
+        also={"audit": rows_sql([edge_sql(e) for e in ALL_EDGES])},
+        body="SELECT 'type_mapping' AS check_name, sql_type AS subject, 'no column of this type' AS note FROM "
+        + values_sql("sql_type", [(t,) for t in _UNUSED_TYPES])
+        + " UNION ALL SELECT 'referential_integrity', 'coverage', CAST(sum(compared) AS BIGINT) || ' values compared over ' || count(*) || ' edges' FROM audit "
+        "UNION ALL SELECT 'referential_integrity', edge, 'nothing to compare' FROM audit WHERE compared = 0 "
+        "UNION ALL SELECT 'foreign_key_oracle', verdict, n || ' edges' FROM "
+        + values_sql("verdict, n", [(v, sum(v == w for _, w in _VERDICTS)) for v in ("agreed", "routed", "missed", "invented")]),
+    ),
+)
+def verification_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands behind the checks that pass: unused types, values compared, declared against derived edges."""
+    return verify.Verification(spark, dataset(spark, sf_dir)).notes()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeproof.functions import text
 from lakeproof.functions.digest import digest, digest_parts, value_hash
@@ -282,7 +282,7 @@ def copy_type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.copy_types(spark, kept).join(profile.row_counts(frames), "table_name")
 
 
-_LOADED = ("dim_nation", "dim_customer", "dim_supplier", "dim_order")
+_LOADED = star.TABLES
 
 
 @query(
@@ -363,14 +363,14 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_VIEWED = ("dim_nation", "dim_customer", "dim_supplier", "dim_order")
+_VIEWED = star.TABLES
 
 
-def published(spark: SparkSession, sf_dir: str, label: str) -> str:
+def published(spark: SparkSession, sf_dir: str, label: str, tables: tuple[str, ...] = _VIEWED) -> str:
     """The stored tables registered in a database of their own."""
     database, _ = fresh_database(spark, label)
     spark.sql(f"CREATE DATABASE {lake.quoted(database)}")
-    for t in _VIEWED:
+    for t in tables:
         path = staging.stored(spark, sf_dir, t)
         columns = ", ".join(f"{name(f.name)} {f.dataType.simpleString()}" for f in star.SPECS[t].stored_schema.fields)
         spark.sql(f"CREATE TABLE {lake.quoted(database, t)} ({columns}) USING parquet LOCATION '{path}'")
@@ -401,14 +401,43 @@ def passthrough_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     "list_tables",
     over(
         *_VIEWED,
-        body=rows_sql([f"SELECT 'raw' AS schema_name, '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _VIEWED]),
+        body=rows_sql([f"SELECT 'listed' AS schema_name, '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _VIEWED]),
     ),
 )
 def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = published(spark, sf_dir, "listed")
     listed = lake.list_tables(spark, database)
     counted = profile.row_counts({t: spark.table(lake.quoted(database, t)) for t in _VIEWED})
-    return listed.join(counted, "table_name").select(F.lit("raw").alias("schema_name"), "table_name", "rows")
+    return listed.join(counted, "table_name").select(_label("schema_name").alias("schema_name"), "table_name", "rows")
+
+
+def _label(column: str) -> Column:
+    """The name of a database without what makes it nobody else's."""
+    return F.regexp_replace(column, "_[0-9a-f]{32}$", "")
+
+
+@query(
+    "list_schemas",
+    over(
+        "dim_nation", "dim_order",
+        body="SELECT schema_name, tables, rows FROM (VALUES ('first', 1), ('second', 2)) AS s(schema_name, tables), "
+        "(SELECT count(*) AS n FROM dim_nation), (SELECT count(*) AS o FROM dim_order), "
+        "LATERAL (SELECT CAST(CASE schema_name WHEN 'first' THEN n ELSE n + o END AS BIGINT) AS rows)",
+    ),
+)
+def list_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two databases found in the listing, with their tables and rows; a third is dropped and not listed."""
+    made = {
+        published(spark, sf_dir, label, tables): tables
+        for label, tables in (("first", ("dim_nation",)), ("second", ("dim_nation", "dim_order")), ("third", ("dim_nation",)))
+    }
+    spark.sql(f"DROP DATABASE {lake.quoted(list(made)[2])} CASCADE")
+    here = lake.list_schemas(spark).where(F.col("schema_name").isin(*made))
+    found = [(s, r.table_name) for s in (r.schema_name for r in here.collect()) for r in lake.list_tables(spark, s).collect()]
+    counted = profile.row_counts({f"{s}.{t}": spark.table(lake.quoted(s, t)) for s, t in found})
+    schema = F.substring_index("table_name", ".", 1)
+    per_schema = counted.groupBy(schema.alias("schema_name")).agg(F.count(F.lit(1)).cast("int").alias("tables"), F.sum("rows").alias("rows"))
+    return here.join(per_schema, "schema_name").select(_label("schema_name").alias("schema_name"), "tables", "rows")
 
 
 _PARAM_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag"

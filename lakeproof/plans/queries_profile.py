@@ -296,6 +296,37 @@ def diff_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.diff_sample(orders, planted.plant(orders, planted.WRONG_ORDERS), ["order_key"])
 
 
+# A hundred and sixty columns of the line items' numbers, each with gaps of its own.
+_WIDE = {
+    f"{c}_{i}": f"CASE WHEN line_number <> {i % 7 + 1} THEN CAST({c} AS DECIMAL(19,4)) + {i} END"
+    for c in ("extended_price", "quantity", "discount_pct", "order_key")
+    for i in range(40)
+}
+
+
+@query(
+    "wide_profile",
+    over(
+        "fact_lineitem",
+        also={"w": "SELECT " + ", ".join(f"{e} AS {c}" for c, e in _WIDE.items()) + " FROM fact_lineitem"},
+        body="SELECT unnest([" + ", ".join(f"'{c}'" for c in _WIDE) + "]) AS column_name, "
+        "unnest([" + ", ".join(f"count(*) FILTER ({c} IS NULL)" for c in _WIDE) + "]) AS nulls, "
+        "unnest([" + ", ".join(f"CAST(coalesce(sum({c}), 0) AS DECIMAL(38,4))" for c in _WIDE) + "]) AS total FROM w",
+    ),
+)
+def wide_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps and sums of a table too wide for one aggregation of all its columns, in one scan."""
+    wide = star.frame(spark, sf_dir, "fact_lineitem").selectExpr(*specs.projection(_WIDE))
+    fields = wide.schema.fields
+    found = profile.long_profile(wide, "lake", "wide", profile.null_metrics(fields) + profile.sum_metrics(fields))
+    value = lambda metric: F.max(F.when(F.col("metric") == metric, F.col("value")))
+    return (
+        found.where("column_name <> '*'")
+        .groupBy("column_name")
+        .agg(value("nulls").cast("bigint").alias("nulls"), value("sum").alias("total"))
+    )
+
+
 @query(
     "exclude_columns",
     over(
