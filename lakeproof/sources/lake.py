@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from typing import Protocol
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -117,14 +119,140 @@ def jdbc_options(properties: dict[str, str] | None = None, connections: int = 16
     return {"batchsize": str(COPY_BATCH_ROWS), "numPartitions": str(connections), **(properties or {})}
 
 
-def copy_jdbc(
-    df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, connections: int = 16
-) -> None:
-    """Full-refresh copy into a relational store, written from the executors.
+@dataclass(frozen=True)
+class RelationalCopy:
+    """How a table is copied into a relational store: statements and writer options, all text.
 
-    The dialect's default column types are those of ``copy_type``.
+    Rows go to a staging table of stated types. Each carries a number that is
+    its primary key there, so that a task which is run again after its rows
+    were committed fails on them and does not double them. When all rows are
+    in, the staging table takes the target's place in one transaction; until
+    then readers see the old target.
     """
-    df.write.mode("overwrite").jdbc(url, table, properties=jdbc_options(properties, connections))
+
+    table: str
+    staging: str
+    prepare: tuple[str, ...]
+    options: dict[str, str]
+    count: str
+    publish: tuple[str, ...]
+    abandon: tuple[str, ...]
+
+
+COPY_ROW = "_copy_row"
+
+
+def relational_copy(schema: T.StructType, table: str, properties: dict[str, str] | None = None, connections: int = 16) -> RelationalCopy:
+    """The statements that copy a table with this schema, types and NOT NULL as pinned."""
+
+    def ident(of: str) -> str:
+        return '"' + of.replace('"', '""') + '"'
+
+    if COPY_ROW in schema.names:
+        raise ValueError(f"{table}: a column may not be called {COPY_ROW}")
+    *database, last = table.split(".")
+    prefix = "".join(f"{ident(d)}." for d in database)
+    staging = f"{prefix}{ident(f'{last}__staging')}"
+    target = f"{prefix}{ident(last)}"
+    columns = [f"{ident(f.name)} {typing.copy_type(f.dataType)}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields]
+    return RelationalCopy(
+        table=target,
+        staging=staging,
+        prepare=(
+            f"DROP TABLE IF EXISTS {staging}",
+            f"CREATE TABLE {staging} ({', '.join([*columns, f'{ident(COPY_ROW)} bigint PRIMARY KEY'])})",
+        ),
+        options=jdbc_options(properties, connections),
+        count=f"SELECT count(*) FROM {staging}",
+        publish=(
+            f"ALTER TABLE {staging} DROP COLUMN {ident(COPY_ROW)}",
+            f"DROP TABLE IF EXISTS {target}",
+            f"ALTER TABLE {staging} RENAME TO {ident(last)}",
+        ),
+        abandon=(f"DROP TABLE IF EXISTS {staging}",),
+    )
+
+
+class Store(Protocol):
+    """A relational store: what a copy asks of it."""
+
+    def execute(self, statements: Sequence[str]) -> None:
+        """Run the statements in one transaction; none of them holds if one fails."""
+
+    def append(self, df: DataFrame, table: str, options: dict[str, str]) -> None:
+        """Add rows to a table, written by the tasks."""
+
+    def number(self, sql: str) -> int:
+        """The one number a query returns."""
+
+
+class JdbcStore:
+    """A store behind a JDBC driver: statements run on the driver, rows are written by the executors."""
+
+    def __init__(self, spark: SparkSession, url: str, properties: dict[str, str] | None = None):
+        self.spark, self.url, self.properties = spark, url, properties or {}
+
+    def _connection(self):
+        settings = self.spark._jvm.java.util.Properties()
+        for k, v in self.properties.items():
+            settings.setProperty(k, v)
+        return self.spark._jvm.java.sql.DriverManager.getConnection(self.url, settings)
+
+    def execute(self, statements: Sequence[str]) -> None:
+        connection = self._connection()
+        try:
+            connection.setAutoCommit(False)
+            for sql in statements:
+                connection.createStatement().executeUpdate(sql)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        finally:
+            connection.close()
+
+    def append(self, df: DataFrame, table: str, options: dict[str, str]) -> None:
+        df.write.mode("append").jdbc(self.url, table, properties=self.properties | options)
+
+    def number(self, sql: str) -> int:
+        connection = self._connection()
+        try:
+            found = connection.createStatement().executeQuery(sql)
+            found.next()
+            return found.getLong(1)
+        finally:
+            connection.close()
+
+
+def copy_relational(df: DataFrame, store: Store, table: str, connections: int = 16) -> int:
+    """Full-refresh copy into a relational store; the number of rows copied.
+
+    A copy that fails at any step leaves the target as it was and no staging
+    table, and can be run again.
+    """
+    steps = relational_copy(df.schema, table, connections=connections)
+    store.execute(steps.prepare)
+    try:
+        store.append(df.withColumn(COPY_ROW, F.monotonically_increasing_id()), steps.staging, steps.options)
+        copied, rows = store.number(steps.count), df.count()
+        if copied != rows:
+            raise RuntimeError(f"{table}: {copied} rows copied of {rows}")
+        store.execute(steps.publish)
+    except Exception:
+        store.execute(steps.abandon)
+        raise
+    return copied
+
+
+def copy_all(frames: dict[str, DataFrame], store: Store, parallel: int = 4) -> DataFrame:
+    """Copy tables into a relational store, each on its own: the run log."""
+    spark = next(iter(frames.values())).sparkSession
+
+    def one(table: str) -> DataFrame:
+        copy_relational(frames[table], store, table)
+        return frames[table]
+
+    return load_tables(spark, "relational", {t: lambda t=t: one(t) for t in frames}, parallel)
 
 
 def publish_views(spark: SparkSession, source_db: str, view_db: str) -> DataFrame:
