@@ -9,12 +9,13 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lakeproof.llm import bytebpe, frames
 
 TIERS = (128, 256, 512, 1024)
 STEP_TOKENS = 1 << 16
+PART_BITS = 36
 
 
 class Piece:
@@ -41,10 +42,10 @@ class TieredPacker:
     sequence needs padding.
     """
 
-    def __init__(self, tiers: Sequence[int] = TIERS, step_tokens: int = STEP_TOKENS, first_id: int = 0):
+    def __init__(self, tiers: Sequence[int] = TIERS, first_id: int = 0):
         if list(tiers) != sorted(tiers) or any(t & (t - 1) for t in tiers):
             raise ValueError("tiers must be ascending powers of two")
-        self.tiers, self.step_tokens, self.first_id = list(tiers), step_tokens, first_id
+        self.tiers, self.first_id = list(tiers), first_id
         self.pools: list[list[Piece]] = [[] for _ in tiers]
         self.used = 0
         self.per_length: dict[int, int] = {}
@@ -63,15 +64,14 @@ class TieredPacker:
         self.pools[next(k for k, t in enumerate(self.tiers) if len(piece.ids) <= t)].append(piece)
 
     def _emit(self, window: list[Piece]) -> None:
-        """Write one full sequence. Step groups take equally many tokens of one length."""
+        """Write one full sequence, numbered among those of its length."""
         length = sum(len(p.ids) for p in window)
         nth = self.per_length.get(length, 0)
         self.per_length[length] = nth + 1
-        group = self.first_id + nth // max(1, self.step_tokens // length)
         at = 0
         for p in window:
             crc = zlib.crc32(p.ids.astype("<u4").tobytes())
-            self.rows.append((p.doc, p.start, len(p.ids), crc, p.total, self.first_id + self.used, at, length, group))
+            self.rows.append((p.doc, p.start, len(p.ids), crc, p.total, self.first_id + self.used, at, length, nth))
             at += len(p.ids)
         self.used += 1
 
@@ -147,14 +147,19 @@ def pack(
     so equal rows give equal pieces at different places. An empty table gives no
     rows. Other columns are not read.
 
-    Every task packs the documents it reads, so nothing is shuffled and a task's
+    Every task packs the documents it reads, so no text is shuffled and a task's
     loss repeats that task alone. A task leaves no padding, hence their number
     costs nothing but up to a few short sequences each.
+
+    A step group holds sequences of one length with ``step_tokens`` tokens in
+    all; only the last group of a length has fewer. Sequences of a length are
+    numbered through over all tasks, for which the pieces are written to the
+    shared folder and read again.
     """
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     schema = frames.plus(
         source.select("doc_id").schema,
-        "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long",
+        "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, nth long",
     )
     arrow = frames.arrow_schema(schema)
 
@@ -163,7 +168,7 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = TieredPacker(tiers, step_tokens, TaskContext.get().partitionId() << 36)
+        packer = TieredPacker(tiers, TaskContext.get().partitionId() << PART_BITS)
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
             for i, j, ids, counts in bytebpe.encoded(path, batch, "text"):
@@ -174,7 +179,16 @@ def pack(
                 yield table(packer.flush(last=False))
         yield table(packer.flush(last=True))
 
-    return source.mapInArrow(run, schema)
+    pieces = frames.materialise(source.mapInArrow(run, schema), "packed-pieces")
+    part = F.shiftright("sequence_id", PART_BITS)
+    # One row for each task and length, and a dozen lengths at most.
+    sizes = pieces.where("offset = 0").groupBy(part.alias("_part"), F.col("tier").alias("_tier")).agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy("_tier").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select("_part", "_tier", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
+    joined = pieces.join(frames.materialise(base, "packed-parts"), (part == F.col("_part")) & (F.col("tier") == F.col("_tier")))
+    per_group = F.greatest(F.lit(1), F.floor(F.lit(step_tokens) / F.col("tier")))
+    group = F.col("tier") * (1 << PART_BITS) + F.floor((F.col("_base") + F.col("nth")) / per_group)
+    return joined.select(*[c for c in pieces.columns if c != "nth"], group.cast("long").alias("step_group"))
 
 
 def default_path() -> str:

@@ -116,7 +116,7 @@ def training_shards(
     are read, so ids may be null or repeat. An empty table gives no shards.
     Other columns are not read. Sequences are written to the shared folder once,
     so their numbering rests on stored rows and survives lost tasks; they are
-    then moved once, in ranges of slots, a bounded number to each shard.
+    then moved once, to range partitions of whole shards, and sorted by slot.
     """
     stored = frames.materialise(sequences(docs, path, length, separator, pad, id_col, text_col), "training-sequences")
     sizes = stored.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
@@ -134,28 +134,52 @@ def training_shards(
     placed = stored.join(base, F.col("part") == F.col("_part")).select((F.col("base") + F.col("nth")).alias("index"), "ids")
     placed = placed.mapInArrow(place, "shard long, slot long, ids binary")
 
-    def pack(group: pa.Table) -> pa.Table:
-        group = group.sort_by("slot")
-        rows = [zlib.decompress(x) for x in group.column("ids").to_pylist()]
-        one = [group.column("shard")[0].as_py(), group.column("slot")[0].as_py(), len(rows), len(rows[0]), b"".join(rows)]
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Shards of a range, one after another; a task holds one of them."""
+        shard, slot, rows = None, None, []
+        for batch in batches:
+            for s, at, ids in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                if s != shard and rows:
+                    yield one(shard, slot, rows)
+                    rows = []
+                if not rows:
+                    shard, slot = s, at
+                rows.append(zlib.decompress(ids))
+        if rows:
+            yield one(shard, slot, rows)
+
+    def one(shard: int, slot: int, rows: list[bytes]) -> pa.RecordBatch:
+        values = [shard, slot, len(rows), len(rows[0]), b"".join(rows)]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         names = ["shard", "first_slot", "n_sequences", "stride", "payload"]
-        return pa.table([pa.array([v], t) for v, t in zip(one, kinds, strict=True)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names=names)
+
+    ranged = placed.repartitionByRange("shard").sortWithinPartitions("slot")
+    return ranged.mapInArrow(pack, "shard long, first_slot long, n_sequences long, stride long, payload binary")
 
-    return placed.groupBy("shard").applyInArrow(pack, "shard long, first_slot long, n_sequences long, stride long, payload binary")
 
+def write_shards(shards: DataFrame, path: str) -> None:
+    """Store shards as they come: every file holds a range of neighbouring shards in order, so reading them is sequential.
 
-def write_shards(shards: DataFrame, path: str, shards_per_file: int = 64) -> None:
-    """Store shards in ranges: files hold neighbouring shards in order, so reading them one by one is sequential."""
-    ranged = shards.withColumn("range", F.floor(F.col("shard") / shards_per_file))
-    ranged.repartition("range").sortWithinPartitions("shard").write.partitionBy("range").parquet(path)
+    A folder that exists is an error, so a stored order is never mixed with
+    another. An empty table is stored as one without shards.
+    """
+    shards.write.parquet(path)
 
 
 def read_from(stored: DataFrame, slot: int, per_shard: int) -> DataFrame:
-    """The shards from the one that holds ``slot`` on, each with the byte at which to go on."""
+    """The shards from the one that holds ``slot`` on, in order, each with the byte at which to go on (``from_byte``).
+
+    Files whose range ends before are not read, by the bounds in their footers.
+    A slot behind the last one, or an empty table, gives no rows; a negative
+    slot is an error.
+    """
+    if slot < 0:
+        raise ValueError("slots are counted from 0")
     first = slot // per_shard
     skip = F.when(F.col("shard") == first, F.lit(slot % per_shard) * F.col("stride")).otherwise(F.lit(0))
-    return stored.where(F.col("shard") >= first).withColumn("from_byte", skip).orderBy("shard")
+    rest = stored.where((F.col("shard") >= first) & (F.col("first_slot") + F.col("n_sequences") > slot))
+    return rest.withColumn("from_byte", skip).orderBy("shard")
 
 
 def default_path() -> str:

@@ -102,6 +102,20 @@ def test_packing_covers_every_id_once(spark, odd):
         assert at <= 64 and at & (at - 1) == 0
 
 
+def test_step_groups_are_full_and_of_one_length(spark, odd):
+    docs = odd.unionAll(odd).unionAll(odd).repartition(6)
+    rows = packing.pack(docs, packing.default_path(), tiers=(16, 32, 64), step_tokens=256).collect()
+    groups = defaultdict(set)
+    for r in rows:
+        groups[r.step_group].add((r.tier, r.sequence_id))
+    short = Counter()
+    for own in groups.values():
+        (tier,) = {t for t, _ in own}
+        assert len(own) <= 256 // tier
+        short[tier] += len(own) < 256 // tier
+    assert len(groups) > 5 and all(n <= 1 for n in short.values())
+
+
 def brute_repeats(texts, length):
     seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     for t in texts:
@@ -361,6 +375,56 @@ def test_training_order_is_a_permutation_and_a_round_trip(spark, odd):
     assert got - want == Counter({50256: got[50256] - want[50256]}) and not want - got
 
 
+def test_training_order_is_that_of_the_network(spark, odd):
+    path = training_order.default_path()
+    tokenizer = Tokenizer.from_file(path)
+    docs = odd.coalesce(1)
+    stream = []
+    for r in docs.collect():
+        stream += [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 50256]
+    cut = [stream[i : i + 16] for i in range(0, len(stream), 16)]
+    cut[-1] += [50256] * (16 - len(cut[-1]))
+    n = len(cut)
+    half = (max(n - 1, 1).bit_length() + 1) // 2
+
+    def slot(x):
+        while True:
+            left, right = x >> half, x & ((1 << half) - 1)
+            for k in training_order.Feistel(n, 11).keys:
+                mixed = int(training_order.arrays.mix(np.array([right], np.uint64) ^ k)[0])
+                left, right = right, left ^ (mixed & ((1 << half) - 1))
+            x = left << half | right
+            if x < n:
+                return x
+
+    want = [None] * n
+    for i, ids in enumerate(cut):
+        want[slot(i)] = ids
+    shards = sorted(training_order.training_shards(docs, path, length=16, per_shard=4).collect())
+    assert [r.shard for r in shards] == list(range(-(-n // 4)))
+    got = np.frombuffer(b"".join(r.payload for r in shards), "<u2").reshape(-1, 16).tolist()
+    assert got == want
+
+
+def test_a_stopped_reader_goes_on(spark, odd, tmp_path):
+    shards = training_order.training_shards(odd, training_order.default_path(), length=16, per_shard=4)
+    training_order.write_shards(shards, str(tmp_path / "order"))
+    stored = spark.read.parquet(str(tmp_path / "order"))
+    raw = b"".join(r.payload for r in sorted(stored.collect()))
+    n = len(raw) // 32
+    for at in (0, 1, 4, n // 2, n - 1):
+        rest = training_order.read_from(stored, at, 4).collect()
+        assert b"".join(r.payload[r.from_byte :] for r in rest) == raw[32 * at :]
+    assert training_order.read_from(stored, n, 4).collect() == []
+    with pytest.raises(ValueError):
+        training_order.read_from(stored, -1, 4)
+    ranges = stored.groupBy(F.input_file_name()).agg(F.min("shard").alias("a"), F.max("shard").alias("b")).orderBy("a").collect()
+    assert all(x.b < y.a for x, y in zip(ranges, ranges[1:], strict=False))
+    nothing = training_order.training_shards(odd.where("false"), training_order.default_path())
+    training_order.write_shards(nothing, str(tmp_path / "none"))
+    assert training_order.read_from(spark.read.schema(nothing.schema).parquet(str(tmp_path / "none")), 0, 4).collect() == []
+
+
 def test_vectors_match_brute_force(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 16))
