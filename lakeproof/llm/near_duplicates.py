@@ -26,6 +26,8 @@ from lakeproof.llm import arrays, frames, shingles
 from lakeproof.llm.components import components
 
 _U = np.uint64
+# Likely pairs for each text beyond which intersections are computed together.
+PAIRS_EACH = 32
 
 
 @dataclass(frozen=True)
@@ -209,11 +211,24 @@ def _possible(small: DataFrame, large: DataFrame, classes: DataFrame, join: Join
     return rows.groupBy("tree", "path").applyInArrow(near, "tree int, path long, cid binary")
 
 
+def _forest(linked: np.ndarray, part: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what is linked, none within a part: rows in the order of their links, a link to each new part."""
+    out = []
+    for i in np.argsort(-linked.sum(1), kind="stable").tolist():
+        near = np.flatnonzero(linked[i] & (part != part[i]))
+        if len(near):
+            parts, first = np.unique(part[near], return_index=True)
+            out += [(i, int(near[k])) for k in first]
+            part[np.isin(part, parts)] = part[i]
+    return out
+
+
 def _linked(texts: list[bytes], join: Join, labels: list[bytes]) -> list[tuple[int, int]]:
     """A spanning forest of the links between texts of different labels.
 
     Starting with the text that may have most links, each is compared with all
-    it may be linked with, but for those connected already.
+    it may be linked with, but for those connected already. Where many pairs may
+    be linked, the sizes of all intersections are computed at once.
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
@@ -222,6 +237,13 @@ def _linked(texts: list[bytes], join: Join, labels: list[bytes]) -> list[tuple[i
     equal = np.stack([(sig == row).sum(1).astype(np.int16) for row in sig])
     equal[equal < join.least_equal] = 0
     _, part = np.unique(np.array(labels, object), return_inverse=True)
+    if np.count_nonzero(equal) > PAIRS_EACH * len(texts):
+        size = np.diff(bounds)
+        both = shingles.intersections(h, bounds)
+        linked = equal > 0
+        for i in range(len(texts)):
+            linked[i] &= 100 * both[i] >= join.percent * (size + size[i] - both[i])
+        return _forest(linked, part)
     out = []
     for i in np.argsort(-(equal > 0).sum(1), kind="stable").tolist():
         maybe = np.flatnonzero((equal[i] > 0) & (part != part[i]))

@@ -69,3 +69,46 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
         a, b = b, a
     at = np.searchsorted(b, a)
     return int((b[np.minimum(at, len(b) - 1)] == a).sum()) if len(b) else 0
+
+
+def intersections(h: np.ndarray, bounds: np.ndarray, few: int = 48, width: int = 2048) -> np.ndarray:
+    """Sizes of the intersections of every two of the sets h[bounds[i]:bounds[i + 1]].
+
+    Shingles that the same sets hold are one, with a weight. Those of up to
+    ``few`` sets add to their pairs one by one; the others are columns of a
+    matrix, multiplied ``width`` at a time. All sums are exact.
+    """
+    n = len(bounds) - 1
+    both = np.zeros((n, n), np.int32)
+    order = np.argsort(h, kind="stable")
+    owner = np.repeat(np.arange(n), np.diff(bounds))[order]
+    starts = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])) if len(h) else np.zeros(0, np.int64)
+    held_by = np.diff(np.concatenate([starts, [len(h)]]))
+    exact = np.float32 if len(h) < 1 << 24 else np.float64
+    block, weights = np.zeros((n, width), exact), np.zeros(width, exact)
+    used = 0
+
+    def multiply() -> None:
+        both[...] += np.rint((block[:, :used] * weights[:used]) @ block[:, :used].T).astype(np.int32)
+
+    for d in np.unique(held_by[held_by > 1]).tolist():
+        sets = owner[starts[held_by == d][:, None] + np.arange(d)]
+        sets, weight = np.unique(sets, axis=0, return_counts=True)
+        if d <= few:
+            x, y = np.triu_indices(d, 1)
+            step = max(1, (1 << 21) // len(x))
+            for at in range(0, len(sets), step):
+                some = sets[at : at + step]
+                np.add.at(both, (some[:, x], some[:, y]), weight[at : at + step, None].astype(np.int32))
+                np.add.at(both, (some[:, y], some[:, x]), weight[at : at + step, None].astype(np.int32))
+            continue
+        for own, w in zip(sets, weight.tolist(), strict=True):
+            block[own, used], weights[used] = 1, w
+            used += 1
+            if used == width:
+                multiply()
+                block[...], used = 0, 0
+    if used:
+        multiply()
+    both[np.arange(n), np.arange(n)] = np.diff(bounds)
+    return both

@@ -425,6 +425,31 @@ def test_a_stopped_reader_goes_on(spark, odd, tmp_path):
     assert training_order.read_from(spark.read.schema(nothing.schema).parquet(str(tmp_path / "none")), 0, 4).collect() == []
 
 
+def test_intersections_match_sets():
+    rng = np.random.default_rng(2)
+    for n, few, width in ((1, 2, 4), (40, 3, 5), (90, 48, 2048), (60, 1, 7)):
+        template = rng.integers(0, 1 << 63, 30)
+        sets = [np.unique(np.concatenate([template, rng.integers(0, 200, rng.integers(0, 60))])) if i % 7 else np.zeros(0, np.int64) for i in range(n)]
+        sets += [sets[-1]]
+        bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        got = shingles.intersections(np.concatenate(sets).astype(np.uint64), bounds, few, width)
+        assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+
+
+def test_pairs_in_a_template_are_linked_alone(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    template = [word() for _ in range(150)]
+    rows = []
+    for i in range(700):
+        own = [word() for _ in range(100)]
+        rows.append((2 * i, " ".join(template + own)))
+        rows.append((2 * i + 1, " ".join(template + own[:-2] + [word()])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(1400)}
+
+
 def test_vectors_match_brute_force(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 16))
