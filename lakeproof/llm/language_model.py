@@ -1,69 +1,189 @@
-"""Language-model scoring by stupid backoff, with n-gram counts of the whole corpus."""
+"""Language-model scoring by stupid backoff, as joins of exploded n-grams with a table of counts."""
 
 from __future__ import annotations
 
 import math
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeproof.llm import arrays, frames, mixing
+from lakeproof.llm import arrays, frames
 
 _U = np.uint64
-_KEPT_BITS = 48  # of a hash, besides those that number its bucket
+_STRETCH = 1 << 19  # words whose n-grams are held at a time
+_COPIES = 1 << 12  # length of the arrays that repeat a row
 
 
 @dataclass(frozen=True)
 class Model:
-    """Order of the model, factor for each step back, and the count from which an n-gram of two words or more is in the table."""
+    """Order of the model, factor for each step back, and the count from which an n-gram of two words or more is in the table.
 
-    order: int = 2
+    N-grams that stand for more than one in ``frequent`` of all words are
+    looked up where they are read: at most ``frequent`` of each length.
+    """
+
+    order: int = 3
     backoff: float = 0.4
     min_count: int = 2
-    chunk_bytes: int = 8 << 20
+    frequent: int = 100_000
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
 
+def _stretches(column: pa.Array, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Row and place in the row of every word, and the hashes of it and of the words before it (0: none), last word first."""
+    data, offsets = arrays.text_buffer(column)
+    for i, j in arrays.blocks(offsets):
+        starts, ends, row = arrays.word_spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        words = np.maximum(arrays.span_hash(data[offsets[i] : offsets[j]], starts, ends), _U(1))
+        n = np.bincount(row, minlength=j - i) if len(row) else np.zeros(j - i, np.int64)
+        nth = np.arange(len(words)) - (np.cumsum(n) - n)[row]
+        for a in range(0, len(words), _STRETCH):
+            at = np.arange(a, min(a + _STRETCH, len(words)))
+            yield row[at] + i, nth[at], [np.where(nth[at] >= k, words[np.maximum(at - k, 0)], _U(0)) for k in range(order)]
 
-def _grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Row and place in the row of every word, and for each length the hash of the n-gram that ends there (0: none)."""
-    starts, ends, row = arrays.word_spans(data, offsets)
-    words = arrays.span_hash(data, starts, ends)
-    n = np.bincount(row, minlength=len(offsets) - 1) if len(row) else np.zeros(len(offsets) - 1, np.int64)
-    nth = np.arange(len(words)) - (np.cumsum(n) - n)[row]
-    out = []
+
+def _gram_hash(words: Sequence[np.ndarray]) -> np.ndarray:
+    """One hash of the words of n-grams of one length, last word first."""
+    h = np.full(len(words[0]), len(words), _U)
     with np.errstate(over="ignore"):
-        for size in range(1, order + 1):
-            h = np.zeros(len(words), _U)
-            for k in range(size):
-                back = np.arange(len(words)) - k
-                h = arrays.mix(h * _U(0xD6E8FEB86659FD93) + words[np.maximum(back, 0)] + _U(size * 16 + k))
-            out.append(np.where(nth >= size - 1, np.maximum(h, _U(1)), _U(0)))
-    return row, out, nth
+        for w in words:
+            h = arrays.mix(h * _U(0xD6E8FEB86659FD93) + w)
+    return h
+
+
+def _names(order: int) -> list[str]:
+    return [f"w{k}" for k in range(1, order + 1)]
+
+
+def gram_counts(source: DataFrame, model: Model) -> DataFrame:
+    """(w1 … w_order, c): every single word, and every longer n-gram that stands ``min_count`` times or more.
 
+    w1 is the hash of the last word, w2 of the one before; 0 where an n-gram is
+    shorter. Counts are added up inside each task before they are moved.
+    """
+    names, order = _names(model.order), model.order
+    schema = ", ".join(f"{n} long" for n in names) + ", n long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, nth, words in _stretches(batch.column(0), order):
+                for size in range(1, order + 1):
+                    there = nth >= size - 1
+                    own = [w[there] for w in words[:size]]
+                    _, first, n = np.unique(_gram_hash(own), return_index=True, return_counts=True)
+                    held = [_signed(w[first]) for w in own] + [_signed(np.zeros(len(first), _U))] * (order - size)
+                    yield pa.RecordBatch.from_arrays([*held, pa.array(n)], names=[*names, "n"])
+
+    grams = source.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("c"))
+    return grams.where((F.col("c") >= model.min_count) | (F.col(names[1]) == 0)) if order > 1 else grams
+
+
+def _find(rows: DataFrame, keys: Sequence[str], table: DataFrame, value: str, limit: float, name: str) -> DataFrame:
+    """``rows`` with ``name``, the ``value`` of the shorter n-gram that ``keys`` spell.
 
-def _distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    flat = np.concatenate(grams)
-    found, counts = np.unique(flat[flat > 0], return_counts=True)
-    return found, counts
+    Frequent n-grams are few (see ``Model.frequent``) and are broadcast, so that
+    the rows of one of them never meet in one task: they go on under a spread key.
+    """
+    own = _names(len(keys))
 
+    def renamed(part: Column, mark: str) -> DataFrame:
+        return table.where(part).select(*[F.col(o).alias(f"{mark}{o}") for o in own], F.col(value).alias(f"{mark}value"))
 
-def _narrow(hashes: np.ndarray, bits: int) -> bytes:
-    """The 48 bits below the bucket's, six bytes each."""
-    low = (hashes << _U(bits)) >> _U(64 - _KEPT_BITS)
-    return low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    def on(first: str, mark: str) -> Column:
+        out = F.col(first) == F.col(f"{mark}{own[0]}")
+        for k, o in list(zip(keys, own, strict=True))[1:]:
+            out = out & (F.col(k) == F.col(f"{mark}{o}"))
+        return out
 
+    met = rows.join(F.broadcast(renamed(F.col("c") > limit, "_f")), on(keys[0], "_f"), "left")
+    spread = F.xxhash64(*[c for c in rows.columns if c.startswith("w")])
+    met = met.withColumn("_key", F.when(F.col("_fvalue").isNull(), F.col(keys[0])).otherwise(spread))
+    met = met.join(renamed(F.col("c") <= limit, "_r"), on("_key", "_r"), "left")
+    return met.select(*rows.columns, F.coalesce("_fvalue", "_rvalue").alias(name))
 
-def _widen(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
 
+def gram_scores(counts: DataFrame, total: int, model: Model) -> DataFrame:
+    """(h, c, gain): what an n-gram of the table adds to the score of the word it ends with.
 
-_REQUEST = "bucket int, chunk int, hashes binary, counts binary"
-_REPLY = "chunk int, bucket int, counts binary"
+    A word's score with the n-gram g is s(g) = ln c(g) - ln c(g without its last
+    word), of a single word ln c - ln of all words. An n-gram in the table has
+    all its parts in the table, so the score of a word is the sum of its n-grams'
+    gains: s of the single word, s(g) - s(g without its first word) for a longer
+    one in the table, and ln backoff for one that is not.
+    """
+    names, limit = _names(model.order), total / model.frequent
+    levels, below = [], None
+    for size in range(1, model.order + 1):
+        mine = F.col(names[size - 1]) != 0
+        if size < model.order:
+            mine = mine & (F.col(names[size]) == 0)
+        rows = counts.where(mine).select(*names[:size], "c")
+        if below is None:
+            level = rows.withColumn("s", F.log("c") - F.lit(math.log(max(total, 1)))).withColumn("gain", F.col("s"))
+        else:
+            rows = _find(rows, names[1:size], below, "c", limit, "before").withColumn("s", F.log("c") - F.log("before")).drop("before")
+            level = _find(rows, names[: size - 1], below, "s", limit, "shorter")
+            level = level.withColumn("gain", F.col("s") - F.col("shorter") - F.lit(math.log(model.backoff))).drop("shorter")
+        below = frames.materialise(level, f"lm-level-{size}")
+        levels.append(_hashed(below, names[:size]))
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out
+
+
+def _hashed(level: DataFrame, names: Sequence[str]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [batch.column(k).to_numpy(zero_copy_only=False).view(_U) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([_signed(_gram_hash(words)), *batch.columns[len(names) :]], names=["h", "c", "gain"])
+
+    return level.select(*names, "c", "gain").mapInArrow(run, "h long, c long, gain double")
+
+
+def _exploded(source: DataFrame, frequent: pa.Table, model: Model) -> DataFrame:
+    """Rows of n-grams (doc_id, key, h, top), and one row for each document with ``doc`` set.
+
+    ``top`` says that no longer n-gram ends there. Frequent n-grams are not
+    listed; their gains are in the document's own row, as are the steps back that
+    all words would take if nothing else were in the table.
+    """
+    schema = frames.plus(source.select("doc_id", "key").schema, "h long, top boolean, doc struct<score:double,words:long,backed:long>")
+    arrow = frames.arrow_schema(schema)
+    held = frequent.sort_by("h")
+    shared = source.sparkSession.sparkContext.broadcast((held.column("h").to_numpy(), held.column("gain").to_numpy()))
+    order, step = model.order, math.log(model.backoff)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, gains = shared.value
+        kinds = [f.type for f in arrow]
+        for batch in batches:
+            rows = batch.num_rows
+            score, words_of, backed = np.zeros(rows), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+            for row, nth, words in _stretches(batch.column(2), order):
+                words_of += np.bincount(row, minlength=rows)
+                for size in range(1, order + 1):
+                    there = nth >= size - 1
+                    mine, h = row[there], _gram_hash([w[there] for w in words[:size]]).view(np.int64)
+                    top = (nth[there] == size - 1) | (size == order) if size > 1 else np.zeros(len(mine), bool)
+                    at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
+                    hit = known[at] == h if len(known) else np.zeros(len(h), bool)
+                    value = np.where(hit, gains[at], 0.0) if len(known) else np.zeros(len(h))
+                    score += np.bincount(mine, weights=value + (step if size > 1 else 0.0), minlength=rows)
+                    backed += np.bincount(mine[top & ~hit], minlength=rows)
+                    rest = pa.array(mine[~hit])
+                    ids = [batch.column(k).take(rest) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*ids, pa.array(h[~hit]), pa.array(top[~hit]), pa.nulls(len(rest), kinds[4])], schema=arrow)
+            doc = pa.StructArray.from_arrays([pa.array(score), pa.array(words_of), pa.array(backed)], fields=list(kinds[4]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(1), pa.array(np.zeros(rows, bool)), doc], schema=arrow)
+
+    return source.mapInArrow(run, schema)
 
 
 def lm_scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,83 +198,42 @@ def lm_scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", t
     n-gram that stands before them.
 
     A null or empty text, or one without words, has no score (null). Repeated
-    rows count as often as they stand. Ids may be null or repeat; an empty table
-    gives an empty result. Other columns are not read.
-
-    Documents are dealt into chunks by hash. A chunk's distinct n-grams with
-    their counts, already added up, go to the bucket their hash names; a bucket
-    is a part of the count table, it adds up the chunks' counts, joins the sums
-    back to the rows it got, and answers each chunk in the order asked. An n-gram that is everywhere
-    is one entry for each chunk. Chunks and buckets grow in number, not in size.
+    rows count as often as they stand, and each is answered. Ids may be null or
+    repeat; an empty table gives an empty result. Other columns are not read.
+    Words are known by 64-bit hashes, n-grams by hashes of these.
+
+    One aggregation makes the table of counts, joins with the next shorter
+    n-grams turn it into gains (``gram_scores``), exploded n-grams are joined to
+    it by hash, and the gains are summed per document, first inside each task.
+    A frequent n-gram never meets in one task: counts are added up before the
+    shuffle, and its rows take their gain where they are read. What is left of
+    any n-gram is at most one in ``frequent`` of all words.
     """
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    total = source.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum(mixing.words(F.col("text"))).alias("words")).collect()[0]
-    chunks = max(1, math.ceil((total["bytes"] or 0) / model.chunk_bytes))
-    bits = max(1, (chunks - 1).bit_length())
-    dealt = source.withColumn("chunk", F.pmod(frames.row_key(F.col("doc_id"), F.col("text")), F.lit(chunks)).cast("int"))
-    order = model.order
-
-    def ask(group: pa.Table) -> pa.Table:
-        chunk = group.column("chunk")[0].as_py()
-        found, counts = _asked(group.column("text"))
-        cut = np.searchsorted(found >> _U(64 - bits), np.arange((1 << bits) + 1, dtype=_U))
-        rows = [
-            (b, chunk, _narrow(found[x:y], bits), zlib.compress(counts[x:y].astype("<u4").tobytes(), 1))
-            for b, (x, y) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
-            if y > x
-        ]
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "chunk", "hashes", "counts"])
-
-    def _asked(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-        data, offsets = arrays.text_buffer(texts)
-        parts = [_distinct(_grams(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], order)[1]) for i, j in arrays.blocks(offsets)]
-        flat, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-        found, where = np.unique(flat, return_inverse=True)
-        return found, np.bincount(where, weights=counts, minlength=len(found)).astype(np.int64)
-
-    def answer(group: pa.Table) -> pa.Table:
-        hashes = [_widen(x) for x in group.column("hashes").to_pylist()]
-        counts = [np.frombuffer(zlib.decompress(x), "<u4") for x in group.column("counts").to_pylist()]
-        _, where = np.unique(np.concatenate(hashes), return_inverse=True)
-        sums = np.bincount(where, weights=np.concatenate(counts)).astype(np.int64)[where]
-        ends = np.cumsum([len(x) for x in hashes])
-        replies = [zlib.compress(s.astype("<u8").tobytes(), 1) for s in np.split(sums, ends[:-1])]
-        return pa.table([group.column("chunk"), group.column("bucket"), pa.array(replies, pa.binary())], names=["chunk", "bucket", "counts"])
-
-    requests = dealt.select("chunk", "text").groupBy("chunk").applyInArrow(ask, _REQUEST)
-    replies = frames.step(requests.groupBy("bucket").applyInArrow(answer, _REPLY), "lm-counts")
-
-    schema = frames.plus(source.select("doc_id").schema, "n_words long, n_backed_off long, mean_log_score double")
-    arrow = frames.arrow_schema(schema)
-    words = float(total["words"] or 0)
-
-    def score(group: pa.Table, counted: pa.Table) -> pa.Table:
-        found, _ = _asked(group.column("text"))
-        listed = sorted(zip(counted.column("bucket").to_pylist(), counted.column("counts").to_pylist(), strict=True))
-        sums = np.concatenate([np.frombuffer(zlib.decompress(c), "<u8") for _, c in listed]) if listed else np.zeros(0, np.uint64)
-        data, offsets = arrays.text_buffer(group.column("text"))
-        n_words, backed, means = [], [], []
-        for i, j in arrays.blocks(offsets):
-            row, grams, nth = _grams(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], order)
-            count = []
-            for h in grams:
-                at = np.minimum(np.searchsorted(found, h), max(0, len(found) - 1))
-                count.append(np.where(h > 0, sums[at], 0).astype(np.float64) if len(found) else np.zeros(0))
-            value = np.log(count[0] / words) if len(row) else np.zeros(0)
-            used = np.zeros(len(row), np.int64)
-            for size in range(2, order + 1):
-                seen = count[size - 1] >= model.min_count
-                context = np.concatenate([[1.0], count[size - 2][:-1]]) if len(row) else np.zeros(0)
-                step = np.where(nth >= size - 1, value + math.log(model.backoff), value)
-                value = np.where(seen, np.log(np.maximum(count[size - 1], 1.0) / np.maximum(context, 1.0)), step)
-                used = np.where(seen, 0, used + (nth >= size - 1))
-            n = np.bincount(row, minlength=j - i)
-            n_words += n.tolist()
-            backed += np.bincount(row, weights=used > 0, minlength=j - i).astype(np.int64).tolist()
-            sums_of = np.bincount(row, weights=value, minlength=j - i)
-            means += [round(s / k, 6) if k else None for s, k in zip(sums_of.tolist(), n.tolist(), strict=True)]
-        ids = group.column("doc_id").combine_chunks()
-        return pa.table([ids, pa.array(n_words, pa.int64()), pa.array(backed, pa.int64()), pa.array(means, pa.float64())], schema=arrow)
-
-    return dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(score, schema)
+    source = source.select("doc_id", frames.row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    counts = frames.step(gram_counts(source, model), "lm-counts")
+    single = counts.where(F.col("w2") == 0) if model.order > 1 else counts
+    total = single.agg(F.sum("c")).collect()[0][0] or 0
+    table = frames.step(gram_scores(counts, total, model), "lm-gains")
+
+    limit = total / model.frequent
+    frequent = table.where(F.col("c") > limit).select("h", "gain").toArrow()  # at most order * frequent rows
+    rest = table.where(F.col("c") <= limit).select(F.col("h").alias("_h"), "gain")
+    met = _exploded(source, frequent, model).join(rest.hint("shuffle_hash"), F.col("h") == F.col("_h"), "left")
+    per_row = met.groupBy("doc_id", "key").agg(
+        (F.coalesce(F.sum("doc.score"), F.lit(0.0)) + F.coalesce(F.sum("gain"), F.lit(0.0))).alias("score"),
+        F.sum("doc.words").alias("words"),
+        (F.sum("doc.backed") - F.count(F.when(F.col("top") & F.col("gain").isNotNull(), 1))).alias("backed"),
+        F.count("doc").alias("copies"),
+    )
+    per_row = frames.step(per_row, "lm-sums")
+    # Rows that are equal in id and text were summed together: each gets its part.
+    per_row = per_row.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / _COPIES))).alias("_lot"))
+    in_lot = F.least(F.lit(_COPIES), F.col("copies") - F.col("_lot") * _COPIES).cast("int")
+    per_row = per_row.select("*", F.explode(F.sequence(F.lit(1), in_lot)))
+    return per_row.select(
+        "doc_id",
+        F.expr("words div copies").alias("n_words"),
+        F.expr("backed div copies").alias("n_backed_off"),
+        F.when(F.col("words") > 0, F.round(F.col("score") / F.col("words"), 6)).alias("mean_log_score"),
+    )

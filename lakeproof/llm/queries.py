@@ -78,16 +78,21 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op2_lm_scores"] = r"""
 WITH listed AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 word AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM listed),
-pair AS (SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS p FROM word),
+place AS (
+  SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS p, lag(w, 2) OVER (PARTITION BY r ORDER BY i) AS q FROM word),
 one AS (SELECT w, count(*) AS c FROM word GROUP BY w),
-two AS (SELECT p, w, count(*) AS c FROM pair WHERE i > 1 GROUP BY p, w HAVING count(*) >= 2),
+two AS (SELECT p, w, count(*) AS c FROM place WHERE i > 1 GROUP BY p, w),
+three AS (SELECT q, p, w, count(*) AS c FROM place WHERE i > 2 GROUP BY q, p, w),
 total AS (SELECT count(*) AS n FROM word),
 scored AS (
-  SELECT pair.r, two.c IS NULL AND pair.i > 1 AS backed,
-         CASE WHEN two.c IS NOT NULL THEN ln(two.c::DOUBLE / before.c)
-              ELSE ln(one.c::DOUBLE / total.n) + CASE WHEN pair.i > 1 THEN ln(0.4::DOUBLE) ELSE 0 END END AS s
-  FROM pair JOIN one ON one.w = pair.w CROSS JOIN total
-  LEFT JOIN two ON two.p = pair.p AND two.w = pair.w LEFT JOIN one AS before ON before.w = pair.p)
+  SELECT place.r, i > 1 AND CASE WHEN i = 2 THEN two.c < 2 ELSE three.c < 2 END AS backed,
+         CASE WHEN three.c >= 2 THEN ln(three.c::DOUBLE / before_two.c)
+              WHEN two.c >= 2 THEN ln(two.c::DOUBLE / before_one.c) + CASE WHEN i > 2 THEN ln(0.4::DOUBLE) ELSE 0 END
+              ELSE ln(one.c::DOUBLE / total.n) + (least(i, 3) - 1) * ln(0.4::DOUBLE) END AS s
+  FROM place JOIN one ON one.w = place.w CROSS JOIN total
+  LEFT JOIN two ON two.p = place.p AND two.w = place.w LEFT JOIN one AS before_one ON before_one.w = place.p
+  LEFT JOIN three ON three.q = place.q AND three.p = place.p AND three.w = place.w
+  LEFT JOIN two AS before_two ON before_two.p = place.q AND before_two.w = place.p)
 SELECT listed.doc_id, count(scored.s) AS n_words, count(*) FILTER (backed) AS n_backed_off, round(avg(s), 6) AS mean_log_score
 FROM listed LEFT JOIN scored USING (r) GROUP BY listed.r, listed.doc_id
 """

@@ -159,8 +159,11 @@ def test_long_texts_are_searched_in_overlapping_stretches():
     assert found[256] == found[1 << 20] and len(found[256]) == 3000 - 39 + 1000 - 39
 
 
-def test_language_model_counts_and_backs_off(spark, odd):
-    rows = language_model.lm_scores(odd, language_model.Model(order=3, chunk_bytes=500)).collect()
+@pytest.mark.parametrize("frequent", [1, 30, 100_000])
+def test_language_model_counts_and_backs_off(spark, odd, frequent):
+    """Nothing, something and everything is frequent."""
+    odd = odd.unionByName(odd.where("doc_id in (3, 9, 14)").withColumn("doc_id", F.col("doc_id") + 100))
+    rows = language_model.lm_scores(odd, language_model.Model(frequent=frequent)).collect()
     texts = [words_of(r.text) for r in odd.collect()]
     counts = Counter(tuple(t[i : i + k]) for t in texts for k in (1, 2, 3) for i in range(len(t) - k + 1))
     total = sum(map(len, texts))
@@ -181,6 +184,27 @@ def test_language_model_counts_and_backs_off(spark, odd):
     assert got == want
 
 
+def test_repeated_rows_are_each_answered(spark, monkeypatch):
+    queries.importable(spark)
+    monkeypatch.setattr(language_model, "_COPIES", 4)
+    docs = spark.range(11).select(F.lit(7).alias("doc_id"), F.lit("one two one two").alias("text"))
+    rows = language_model.lm_scores(docs.unionByName(spark.createDataFrame([(7, "two")], "doc_id int, text string"))).collect()
+    assert Counter((r.n_words, r.n_backed_off) for r in rows) == {(4, 0): 11, (1, 0): 1}
+    assert len({r.mean_log_score for r in rows}) == 2
+
+
+@pytest.mark.parametrize("order", [1, 2])
+def test_lower_orders(spark, order):
+    queries.importable(spark)
+    docs = spark.createDataFrame([(1, "a b a b"), (2, "b c"), (3, None)], "doc_id int, text string")
+    got = {r.doc_id: r.mean_log_score for r in language_model.lm_scores(docs, language_model.Model(order=order)).collect()}
+    single = {w: np.log(n / 6) for w, n in (("a", 2), ("b", 3), ("c", 1))}
+    one = [single["a"], single["b"], single["a"], single["b"]]
+    two = [single["a"], np.log(2 / 2), np.log(0.4) + single["a"], np.log(2 / 2)]
+    last = single["c"] + (np.log(0.4) if order == 2 else 0)
+    assert got == {1: round(float(np.mean(two if order == 2 else one)), 6), 2: round(float(np.mean([single["b"], last])), 6), 3: None}
+
+
 def brute_near(rows, size):
     sets = []
     for _, text in rows:
