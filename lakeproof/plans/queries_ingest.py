@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeproof.functions import text
 from lakeproof.functions.digest import digest, digest_parts, value_hash
@@ -122,33 +122,43 @@ def empty_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drift_sql(table: str) -> str:
+    """Guessed types told from the stored values of a table: whole numbers by size, decimals as fractions, times by their clock."""
+    guesses = {
+        T.IntegerType: "'int'",
+        T.LongType: "CASE WHEN max(abs({c})) > 2147483647 THEN 'bigint' ELSE 'int' END",
+        T.DecimalType: "'double'",
+        T.DoubleType: "'double'",
+        T.DateType: "'date'",
+        T.TimestampNTZType: "'timestamp'",
+        T.BooleanType: "'int'",
+        T.StringType: "'string'",
+    }
+    parts = []
+    for c in star.SPECS[table].kept:
+        filled = f"count(*) FILTER (CAST({c.name} AS VARCHAR) <> '')"
+        guess = f"CASE WHEN {filled} = 0 THEN 'string' ELSE {guesses[type(c.stored)].format(c=c.name)} END"
+        parts.append(f"SELECT '{table}' AS table_name, '{c.name}' AS column_name, {guess} AS inferred, '{c.stored.simpleString()}' AS pinned, {filled} AS cells FROM {table}")
+    return rows_sql(parts)
+
+
+DRIFT_TABLES = ["dim_order", "dim_customer", "fact_lineitem"]
+
+
 @query(
     "schema_drift",
-    over(
-        "dim_order",
-        body="SELECT column_name, inferred, pinned, cells FROM "
-        + values_sql(
-            "column_name, inferred, pinned",
-            [
-                ("order_key", "int", "bigint"),
-                ("customer_key", "int", "bigint"),
-                ("total_price", "double", "decimal(19,4)"),
-                ("order_date", "timestamp", "timestamp_ntz"),
-            ],
-        )
-        + ", (SELECT count(*) AS cells FROM dim_order)",
-    ),
+    over(*DRIFT_TABLES, body=f"SELECT * FROM ({rows_sql([drift_sql(t) for t in DRIFT_TABLES])}) WHERE inferred <> pinned"),
 )
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns a guess would type differently, and how many values that touches."""
-    spec = star.SPECS["dim_order"]
-    path = staging.extract(spark, sf_dir, "dim_order")
-    raw = staging.raw(spark, sf_dir, "dim_order")
-    filled = raw.selectExpr(*[f"count_if({name(c)} <> '') AS {name(c)}" for c in raw.columns])
-    cells = filled.unpivot([], raw.columns, "column_name", "cells")
-    return delimited.schema_drift(spark, path, spec).join(cells, "column_name")
-
-
+    """Columns a guess would type differently, and how many values that touches; one scan a table."""
+    return union_all(
+        [
+            delimited.schema_drift(spark, staging.extract(spark, sf_dir, t), star.SPECS[t]).selectExpr(
+                f"'{t}' AS table_name", "column_name", "inferred", "pinned", "cells"
+            )
+            for t in DRIFT_TABLES
+        ]
+    )
 
 
 @query(

@@ -83,17 +83,62 @@ def pinned_scan(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return pin(fields(spark, path, spec), spec)
 
 
+# What a cell can be read as, and the types that hold all cells of such kinds; the first that does is the column's.
+# A kind is one bit, so the kinds of a column are the bits of its cells put together, in any order and in parts.
+_WHOLE = "rlike({x}, '^[+-]?[0-9]+$')"
+_DAY = "[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}"
+_KINDS = [
+    ("int", f"{_WHOLE} AND try_cast({{x}} AS INT) IS NOT NULL"),
+    ("bigint", f"{_WHOLE} AND try_cast({{x}} AS BIGINT) IS NOT NULL"),
+    ("decimal(38,0)", f"{_WHOLE} AND try_cast({{x}} AS DECIMAL(38,0)) IS NOT NULL"),
+    ("double", "try_cast({x} AS DOUBLE) IS NOT NULL"),
+    ("date", f"rlike({{x}}, '^{_DAY}$') AND try_cast({{x}} AS DATE) IS NOT NULL"),
+    ("timestamp", f"rlike({{x}}, '^{_DAY}[T ][0-9:.]+(Z|[+-][0-9:]+)?$') AND try_cast({{x}} AS TIMESTAMP) IS NOT NULL"),
+    ("boolean", "lower({x}) IN ('true', 'false')"),
+]
+_CHAINS = [["int", "bigint", "decimal(38,0)", "double"], ["date", "timestamp"], ["boolean"]]
+
+
+def _kind(cell: str) -> str:
+    listed = " ".join(f"WHEN {test.format(x=cell)} THEN {1 << k}" for k, (_, test) in enumerate(_KINDS))
+    return f"CASE WHEN {cell} <> '' THEN CASE {listed} ELSE {1 << len(_KINDS)} END END"
+
+
+def _joined(kinds: str) -> str:
+    """The least type of a chain that holds every kind met; text where the chains mix or nothing was met."""
+    bit = {kind: 1 << k for k, (kind, _) in enumerate(_KINDS)}
+    listed = []
+    for chain in _CHAINS:
+        for k, kind in enumerate(chain):
+            listed.append(f"WHEN {kinds} & ~{sum(bit[x] for x in chain[: k + 1])} = 0 THEN '{kind}'")
+    return f"CASE WHEN {kinds} IS NULL THEN 'string' {' '.join(listed)} ELSE 'string' END"
+
+
+def inferred_types(raw: DataFrame) -> DataFrame:
+    """(column_name, inferred, cells) for every column of a frame of text: the guessed type, and how many cells are not empty.
+
+    One scan and one aggregation, of two numbers a column; empty cells and NULL
+    tell nothing, and a column without any other cell is text. An empty table
+    has text columns only.
+    """
+    stats = [x for c in raw.columns for x in (f"bit_or({_kind(quoted(c))})", f"count_if({quoted(c)} <> '')")]
+    held = [f"struct({kinds} AS kinds, {cells} AS cells) AS {quoted(c)}" for c, kinds, cells in zip(raw.columns, stats[::2], stats[1::2], strict=True)]
+    rows = raw.selectExpr(*held).unpivot([], raw.columns, "column_name", "found")
+    return rows.selectExpr("column_name", f"{_joined('found.kinds')} AS inferred", "found.cells AS cells")
+
+
 def inferred_scan(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """The same file with its types guessed; only good for showing drift."""
-    return spark.read.options(**_DIALECT, multiLine=spec.multi_line, inferSchema=True).csv(path)
+    """The kept columns under guessed types; only good for showing drift. Reads the file once to guess."""
+    raw = fields(spark, path, spec)
+    types = {r.column_name: r.inferred for r in inferred_types(raw).collect()}  # a row per column
+    return raw.selectExpr(*specs.projection({c: f"CAST(nullif({quoted(c)}, '') AS {types[c]})" for c in raw.columns}))
 
 
 def schema_drift(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """Columns whose guessed type differs from the pinned one."""
-    guessed = {f.name: f.dataType.simpleString() for f in inferred_scan(spark, path, spec).schema.fields}
-    rows = [(c.name, guessed.get(c.source_name), c.stored.simpleString()) for c in spec.kept]
-    drift = local_frame(spark, rows, "column_name string, inferred string, pinned string")
-    return drift.where(~F.col("inferred").eqNullSafe(F.col("pinned")))
+    """(column_name, inferred, cells, pinned): columns whose guessed type differs from the pinned one."""
+    pinned = local_frame(spark, [(c.name, c.stored.simpleString()) for c in spec.kept], "column_name string, pinned string")
+    found = inferred_types(fields(spark, path, spec)).join(F.broadcast(pinned), "column_name")
+    return found.where("inferred <> pinned")
 
 
 def as_text(column: specs.PinnedColumn) -> str:

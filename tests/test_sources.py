@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import json
 from pathlib import Path
 
@@ -83,6 +84,40 @@ def test_inferred_types_drift(spark, tmp_path):
     assert "item_key" not in drift
 
 
+@pytest.mark.parametrize(
+    "cells, want",
+    [
+        (["1", "-7", None, ""], "int"),
+        (["1", "3000000000"], "bigint"),
+        (["3000000000", "9" * 30], "decimal(38,0)"),
+        (["1", "9" * 50], "double"),
+        (["9" * 30, "1e5", "NaN"], "double"),
+        (["2024-02-29"], "date"),
+        (["2024-02-29", "2024-02-29 10:00:00.5", "2024-02-29T10:00:00Z"], "timestamp"),
+        (["2023-02-29"], "string"),
+        (["true", "FALSE"], "boolean"),
+        (["true", "1"], "string"),
+        (["2024-02-28", "1"], "string"),
+        (["1", "x"], "string"),
+        (["", None], "string"),
+        ([], "string"),
+    ],
+)
+def test_the_least_type_that_holds_all_cells(spark, cells, want):
+    raw = spark.createDataFrame([(c, "1") for c in cells], "a string, `b c` string")
+    got = {r.column_name: (r.inferred, r.cells) for r in delimited.inferred_types(raw.repartition(3)).collect()}
+    assert got == {"a": (want, sum(bool(c) for c in cells)), "b c": ("int" if cells else "string", len(cells))}
+
+
+def test_inferred_types_take_one_scan(spark, tmp_path):
+    path = file_of(tmp_path, "1,7,12.5,,1,2024-01-02 03:04:05\n2,x,3,,0,\n")
+    single = dataclasses.replace(ITEMS, multi_line=False)
+    plan = delimited.schema_drift(spark, path, single)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] csv") == 1 and plan.count("Aggregate [") == 1
+    rows = delimited.inferred_scan(spark, path, ITEMS).orderBy("item_key").collect()
+    assert [(r.item_key, r.item_name, r.list_price, r.sold_flag) for r in rows] == [(1, "7", 12.5, 1), (2, "x", 3.0, 0)]
+
+
 def test_convert_and_audit(spark, tmp_path):
     source = tmp_path / "piped"
     source.write_bytes(b'1|a,b|x\n\n2|q"q|y\n3|short\n4|a|b|long\n5||\xff\n')
