@@ -284,9 +284,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, settings: LearnerSettings = Le
     """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns and no others.
 
     The verdict is a function of the text, so it is computed in the scan of the
-    texts, beside them; nothing is joined and no text is shuffled.
+    texts, beside them; nothing is joined and no kept text is shuffled. Rules are
+    learned from the statistics of the labelled documents alone.
     """
-    statistics = frames.materialise(word_statistics(docs), "quality")
+    known = labels.where("quality is not null").select(F.col("doc_id").alias("_id")).distinct()
+    labelled = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id"), "left_semi")
+    statistics = word_statistics(labelled)
     rules = learn(frames.materialise(labelled_bins(statistics, labels), "quality-bins"), settings)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id")
     whole = docs.select(row, F.col("text"))

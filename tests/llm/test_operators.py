@@ -384,6 +384,89 @@ def test_mixing_budgets_and_prefixes(spark):
             assert max(r.n_copies for r in own) - min(r.n_copies for r in own) <= 1
 
 
+def test_mixing_takes_the_prefix_of_the_order(spark, odd):
+    """Every copy is the one that walking each leaf's rows in the order of their epoch gives."""
+    queries.importable(spark)
+    mixed = mixing.mixture(odd, {"language": F.col("lang"), "origin": F.col("source")}, {"language": {"en": 3.0}}, 0.7, max_epochs=2)
+    clashing = mixing.mixture(odd.withColumns({"quota": F.lit("q"), "n_copies": F.lit("c")}), {"language": F.col("lang"), "origin": F.col("source")}, {"language": {"en": 3.0}}, 0.7, max_epochs=2)
+    assert Counter(map(str, clashing.select(mixed.columns).collect())) == Counter(map(str, mixed.collect()))
+    key = F.xxhash64(F.col("doc_id"), F.col("text"))
+    orders = [F.xxhash64(F.lit(7), F.lit(epoch), key).alias(f"epoch{epoch}") for epoch in (0, 1)]
+    leaves = defaultdict(list)
+    for r in mixed.select("language", "origin", "n_tokens", "quota", "n_copies", *orders).collect():
+        leaves[r.language, r.origin].append(r)
+    assert len(leaves) == 3 and any(0 < r.n_copies for rows in leaves.values() for r in rows)
+    for rows in leaves.values():
+        quota, total = rows[0].quota, sum(r.n_tokens for r in rows)
+        full = quota // total if total else 0
+        rows.sort(key=lambda r: r[f"epoch{min(full, 1)}"])
+        spent, taken = 0, []
+        for r in rows:
+            spent += r.n_tokens
+            taken.append(spent <= quota - full * total)
+        # Equal rows share their place: they go together with the last of them.
+        last = {r[f"epoch{min(full, 1)}"]: t for r, t in zip(rows, taken, strict=True)}
+        assert [r.n_copies for r in rows] == [full + last[r[f"epoch{min(full, 1)}"]] for r in rows]
+
+
+def test_rules_match_a_plain_learner(spark):
+    """Sequential covering over rows in lists, against the aggregations over bins."""
+    rng, names = random.Random(5), list(quality.FEATURES)
+    rows = []
+    for _ in range(900):
+        bins = {n: rng.randint(0, 6) for n in names}
+        bad = bins[names[0]] >= 5 or (bins[names[1]] < 2 and bins[names[2]] >= 4)
+        rows.append((bins, bad != (rng.random() < 0.04), rng.random() < 0.33))
+    frame = spark.createDataFrame([(*b.values(), bad, prune, 1) for b, bad, prune in rows], [*(f"bin_{n}" for n in names), "bad", "prune", "n"])
+    settings = quality.LearnerSettings()
+
+    def covers(rule, bins):
+        return all((bins[f] >= t) if above else (bins[f] < t) for f, above, t in rule)
+
+    def grow(grown, banned):
+        best = None
+        p0, n0 = sum(bad for _, bad, _ in grown), sum(not bad for _, bad, _ in grown)
+        for f in names:
+            values = sorted({b[f] for b, _, _ in grown})
+            for t in values[1:] if f not in banned else []:
+                for above in (False, True):
+                    held = [bad for b, bad, _ in grown if covers([(f, above, t)], b)]
+                    p, n = sum(held), len(held) - sum(held)
+                    gain = p * (np.log2(p / (p + n)) - np.log2(p0 / (p0 + n0))) if p else 0.0
+                    if p >= settings.min_covered and gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                        best = (gain, (f, above, t))
+        return best and best[1]
+
+    left, want, banned = rows, [], set()
+    while len(want) < settings.max_rules:
+        rule = []
+        while len(rule) < settings.max_conditions:
+            grown = [r for r in left if not r[2] and covers(rule, r[0])]
+            if len({r[1] for r in grown}) < 2 or (condition := grow(grown, set() if rule else banned)) is None:
+                break
+            rule.append(condition)
+        if not rule:
+            break
+        scores = []
+        for k in range(1, len(rule) + 1):
+            held = [bad for b, bad, prune in left if prune and covers(rule[:k], b)]
+            scores.append(((sum(held) + 1) / (len(held) + 2), -k, sum(held), len(held)))
+        _, k, p, n = max(scores)
+        if not p or p / n < settings.min_precision:
+            banned.add(rule[0][0])
+            continue
+        want.append(rule[:-k])
+        left = [r for r in left if not covers(rule[:-k], r[0])]
+    rules = quality.learn(frame, settings)
+    assert [[(c.feature, c.above, c.threshold) for c in r] for r in rules] == want and len(want) > 1
+
+
+def test_learning_reads_labelled_documents_only(spark, odd):
+    docs, labels = (frames.read(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    kept = quality.quality_rules(docs, labels).where("kept").select("doc_id").collect()
+    assert Counter(kept) == Counter(quality.keep_good(docs, labels).select("doc_id").collect())
+
+
 def test_training_order_is_a_permutation_and_a_round_trip(spark, odd):
     for n in (1, 2, 7, 64, 1000):
         assert sorted(training_order.Feistel(n, 5).slots(np.arange(n)).tolist()) == list(range(n))
@@ -576,3 +659,27 @@ def test_pipeline_stages(spark, sf_dir):
     rows = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
     assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
     assert len(corpus_pipeline.STAGES) == 5
+
+
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_pipeline_stages_take_odd_tables(spark, odd, sf_dir, rows):
+    """Each stage by itself over null ids, null and empty texts, repeated rows and clashing columns, and over nothing."""
+    import corpus_pipeline
+
+    wordy = spark.createDataFrame([(50 + i // 2, " ".join(f"w{k * (i // 4 + 1) % 1009}" for k in range(300))) for i in range(8)], "doc_id long, text string")
+    docs = odd.unionByName(wordy, allowMissingColumns=True) if rows == "odd" else odd.limit(0)
+    given = Counter(map(str, docs.drop("text", "n_chars").collect()))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.schema.names == docs.schema.names and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        got = out.collect()
+        assert Counter(str(r) for r in out.drop("text", "n_chars").collect()) <= given and bool(got) == bool(given), name
+        if name == "quality_rules":
+            assert all(len(words_of(r.text)) >= 50 for r in got)
+        if name == "line_dedup":
+            assert len(got) == docs.count() and all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
+        if name == "near_dedup" and got:
+            assert sum(not words_of(r.text) for r in got) >= sum(not words_of(t) for t in ODD)
+            assert sum(r.doc_id is not None and r.doc_id >= 50 for r in got) == 2
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.collect()}
