@@ -127,16 +127,16 @@ def _footers(spark: SparkSession, sf_dir: str, replaced: dict[str, str]) -> Data
 
 
 def _second_file(spark: SparkSession, sf_dir: str, table: str, change) -> str:
-    """The stored table in a folder of its own, to which a file of changed rows is added."""
+    """The stored table in a folder of its own, to which files of changed rows are added, one for each task that reads."""
     path = new_scratch(spark, f"two-{table}")
     staging.scan(spark, sf_dir, table).write.parquet(path)
-    change(_stored(spark, sf_dir, table)).coalesce(1).write.mode("append").parquet(path)
+    change(_stored(spark, sf_dir, table)).write.mode("append").parquet(path)
     return path
 
 
 @query("check_types", verdict_sql("types", str(_COLUMNS), {"clean": "0", "planted": "2"}))
 def check_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Types as stored in every file; then with a price as double and a line number as bigint in one more file."""
+    """Types as stored in every file; then with a price as double and a line number as bigint in further files."""
     wrong = {
         t: _second_file(spark, sf_dir, t, lambda df, c=c, of=of: df.withColumn(c, F.col(c).cast(of)))
         for t, c, of in (("dim_order", "total_price", "double"), ("fact_lineitem", "line_number", "bigint"))

@@ -121,3 +121,16 @@ def test_digests_differ_per_column_only(spark, sf_dir):
     wrong = profile.column_digests(planted.plant(parts, {"part_size": "part_size + 1"}), "r", "dim_part")
     differing = checks.value_digests(clean, wrong).where("NOT ok").collect()
     assert [r.subject for r in differing] == ["dim_part.part_size"]
+
+
+def test_changed_rows_are_added_by_all_tasks(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 90, 1, 3).selectExpr("CAST(id AS INT) AS region_key", "CAST(id AS STRING) AS region_name")
+    rows.write.parquet(str(tmp_path / "dim_region"))
+    monkeypatch.setattr(queries_checks.staging, "stored", lambda *_: str(tmp_path / "dim_region"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+    try:
+        path = queries_checks._second_file(spark, "", "dim_region", lambda df: df.selectExpr("CAST(region_key AS BIGINT) AS region_key", "region_name"))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    files = queries_checks.footers.stored_footers(spark, {"dim_region": path}).where("column_name = 'region_key'")
+    assert {r.stored_type: r["count"] for r in files.groupBy("stored_type").count().collect()} == {"int": 3, "bigint": 3}
