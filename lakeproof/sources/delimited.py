@@ -11,6 +11,7 @@ from lakeproof.sources.specs import TableSpec
 from lakeproof.session import local_frame
 
 _BAD = "_ragged"
+EXTRACT_ROWS = 500_000
 
 # Doubled quotes inside quotes; blanks are data; empty fields come back as NULL.
 _DIALECT = {
@@ -152,10 +153,13 @@ def as_text(column: specs.PinnedColumn) -> str:
 def write_extract(df: DataFrame, path: str, spec: TableSpec) -> str:
     """Write typed columns as an extract: source names, minimal quoting.
 
-    NULL and '' both become an empty field; blanks and NUL bytes are kept.
+    NULL and '' both become an empty field; blanks and NUL bytes are kept. Files
+    are compressed, and one of them is read by one task, so its rows are bounded;
+    text with line breaks stays as it is, because its reader splits files.
     """
     cells = {c.source_name: as_text(c) if c in spec.kept else "CAST(NULL AS STRING)" for c in spec.columns}
-    df.selectExpr(*specs.projection(cells)).write.options(**_DIALECT, emptyValue="").csv(path)
+    packed = {} if spec.multi_line else {"compression": "lz4", "maxRecordsPerFile": EXTRACT_ROWS}
+    df.selectExpr(*specs.projection(cells)).write.options(**_DIALECT, emptyValue="", **packed).csv(path)
     return path
 
 

@@ -278,3 +278,13 @@ def test_scan_matches_by_name_and_refuses_ragged_rows(spark, tmp_path, lines, er
     for run in (df.count, df.select("a").collect):
         with pytest.raises(Exception, match=error):
             run()
+
+
+def test_extracts_are_packed_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(delimited, "EXTRACT_ROWS", 10)
+    spec = TableSpec("T", "t", (PinnedColumn("A", "a", "bigint"), PinnedColumn("B", "b", "nvarchar")))
+    df = spark.range(0, 35, 1, 1).selectExpr("id AS a", "if(id % 3 = 0, NULL, concat('x \"', id, '\", ')) AS b")
+    path = delimited.write_extract(df, str(tmp_path / "t"), spec)
+    files = list(Path(path).glob("part-*"))
+    assert len(files) == 4 and all(f.suffix == ".lz4" for f in files)
+    assert sorted(map(tuple, delimited.pinned_scan(spark, path, spec).collect())) == sorted(map(tuple, df.collect()))
