@@ -380,8 +380,7 @@ def published(spark: SparkSession, sf_dir: str, label: str, tables: tuple[str, .
     """The stored tables registered in a database of their own."""
     database, _ = fresh_database(spark, label)
     spark.sql(f"CREATE DATABASE {lake.quoted(database)}")
-    for t in tables:
-        path = staging.stored(spark, sf_dir, t)
+    for t, path in staging.stored_all(spark, sf_dir, tables).items():
         columns = ", ".join(f"{name(f.name)} {f.dataType.simpleString()}" for f in star.SPECS[t].stored_schema.fields)
         spark.sql(f"CREATE TABLE {lake.quoted(database, t)} ({columns}) USING parquet LOCATION '{path}'")
     return database

@@ -7,7 +7,7 @@ import dataclasses
 import pytest
 
 from lakeproof.operators import assertions, profile
-from lakeproof.plans import checks, planted, queries_checks, star, verify
+from lakeproof.plans import checks, planted, queries_checks, queries_ingest, star, verify
 from lakeproof.session import local_frame, new_scratch
 
 
@@ -134,3 +134,17 @@ def test_changed_rows_are_added_by_all_tasks(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     files = queries_checks.footers.stored_footers(spark, {"dim_region": path}).where("column_name = 'region_key'")
     assert {r.stored_type: r["count"] for r in files.groupBy("stored_type").count().collect()} == {"int": 3, "bigint": 3}
+
+
+def test_registered_tables_are_loaded_side_by_side(spark, tmp_path, monkeypatch):
+    asked = []
+
+    def stored_all(_, sf_dir, tables):
+        asked.append(tuple(tables))
+        return {t: str(tmp_path / t) for t in tables}
+
+    monkeypatch.setattr(queries_ingest.staging, "stored_all", stored_all)
+    monkeypatch.setattr(queries_ingest.staging, "stored", lambda *_: pytest.fail("loaded one by one"))
+    database = queries_ingest.published(spark, "none", "sidebyside", ("dim_region", "dim_nation"))
+    assert asked == [("dim_region", "dim_nation")]
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
