@@ -11,7 +11,7 @@ from lakeproof.llm import arrays
 
 _U = np.uint64
 _PLACE = _U((1 << 21) - 1)
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 @dataclass(frozen=True)

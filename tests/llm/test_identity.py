@@ -65,3 +65,10 @@ def test_shingles_and_counts(spark, twins):
     assert all(r.kept for r in near_duplicates.near_duplicates(twins, near_duplicates.Join(words=4)).collect())
     scores = language_model.lm_scores(twins).collect()
     assert {(r.n_words, r.mean_log_score) for r in scores} == {(1, round(float(np.log(1 / len(TWINS))), 6))}
+
+
+def test_anchors_are_searched_in_stretches_of_a_quarter_megabyte():
+    from lakeproof.llm import suffixes
+
+    sizes = [int((end - begin).sum()) for _, _, begin, end in suffixes.slices(np.array([0, 1_500_000]), 200)]
+    assert len(sizes) == 6 and max(sizes) <= (1 << 18) + 199
