@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from lakeproof.operators import edges as rel
 from lakeproof.operators import hierarchy, joins, keys, profile, reconcile
+from lakeproof.plans import queries_profile
 from lakeproof.session import local_frame, settle, settle_all
+from lakeproof.sources import specs
 
 
 def test_key_audit_against_brute_force(spark):
@@ -236,6 +238,19 @@ def test_a_wide_empty_table_has_zeros(spark, monkeypatch):
     assert got == {0}
 
 
+def test_wide_cells_are_made_by_many_tasks(spark):
+    """One row group is one task; without a line number nothing is cast."""
+    rows = "if(id % 9 = 0, NULL, CAST(id % 9 AS INT)) AS line_number, if(id % 9 = 0, 1e30D, id / 8e0D) AS quantity"
+    rest = "CAST(id AS DECIMAL(19,4)) AS extended_price, if(id % 5 = 0, NULL, id / 100e0D) AS discount_pct, id AS order_key"
+    lines = spark.sql(f"SELECT {rows}, {rest} FROM range(0, 4000, 1, 1)")
+    dealt = queries_profile.wide_lines(lines)
+    filled = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(filled) > 1 and sum(r["count"] for r in filled) == 4000
+    plain = lines.selectExpr(*specs.projection(queries_profile._WIDE))
+    assert dealt.schema == plain.schema
+    assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+
+
 @pytest.fixture
 def ranges_kept(spark):
     """Small ranges are not put together."""
