@@ -7,9 +7,9 @@ import gc
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from lakeproof.session import materialise, new_scratch, remove
+from lakeproof.session import materialise, new_scratch, remove, write_scratch
 
-__all__ = ["documents", "materialise", "new_scratch", "plus", "read", "remove", "row_key", "same", "step"]
+__all__ = ["documents", "materialise", "new_scratch", "plus", "read", "remove", "row_key", "same", "step", "sweep", "write_scratch"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,11 +42,16 @@ def step(df: DataFrame, label: str) -> DataFrame:
     They would stay until the driver happens to collect its garbage.
     """
     out = materialise(df, label)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    sweep(df.sparkSession)
     return out
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark's cleaner take the shuffle files of finished jobs."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def same(*pairs: tuple[str, str]) -> Column:
     """A join condition in which null equals null."""
     out = F.lit(True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,9 @@ from lakeproof.llm import arrays, frames
 _U = np.uint64
 _STRETCH = 1 << 19  # words whose n-grams are held at a time
 _COPIES = 1 << 12  # length of the arrays that repeat a row
+_LONG = 64  # bytes of a word that are hashed eight at a time
+_SEED = _U(0xD6E8FEB86659FD93)
+_LAST = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
 
 
 @dataclass(frozen=True)
@@ -22,168 +27,218 @@ class Model:
     """Order of the model, factor for each step back, and the count from which an n-gram of two words or more is in the table.
 
     N-grams that stand for more than one in ``frequent`` of all words are
-    looked up where they are read: at most ``frequent`` of each length.
+    looked up where they are read: at most ``frequent`` of each length. Longer
+    n-grams are counted and looked up in ``lots`` by their hash, one after the
+    other, so that the disk holds the shuffle of one lot at a time; up to
+    ``whole`` words in all, in one.
     """
 
     order: int = 3
     backoff: float = 0.4
     min_count: int = 2
     frequent: int = 100_000
+    lots: int = 4
+    whole: int = 4_000_000
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _stretches(column: pa.Array, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Row and place in the row of every word, and the hashes of it and of the words before it (0: none), last word first."""
+def _word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, eight bytes at a time; those over 64 bytes by ``span_hash``."""
+    lengths = ends - starts
+    eights = np.ndarray((len(data) + 1,), np.dtype("<u8"), np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))
+    with np.errstate(over="ignore"):
+        out = arrays.mix((eights[starts] & _LAST[np.minimum(lengths, 8)]) + lengths.astype(_U) * _SEED)
+        for done in range(8, _LONG, 8):
+            more = np.flatnonzero((lengths > done) & (lengths <= _LONG))
+            if not len(more):
+                break
+            rest = eights[starts[more] + done] & _LAST[np.minimum(lengths[more] - done, 8)]
+            out[more] = arrays.mix(arrays.mix(out[more]) * _SEED + rest)
+    if len(long := np.flatnonzero(lengths > _LONG)):
+        out[long] = arrays.span_hash(data, starts[long], ends[long])
+    return out
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of an n-gram, of those of it without its last and without its first word."""
+    with np.errstate(over="ignore"):
+        return arrays.mix(arrays.mix(a + _SEED) * _SEED + b)
+
+
+def _grams(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Row of every n-gram of one length, place of its last word in the row, and what names it.
+
+    A single word is named by its hash, a longer n-gram by the hashes of it
+    without its last word and without its first.
+    """
     data, offsets = arrays.text_buffer(column)
     for i, j in arrays.blocks(offsets):
-        starts, ends, row = arrays.word_spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-        words = np.maximum(arrays.span_hash(data[offsets[i] : offsets[j]], starts, ends), _U(1))
+        block = data[offsets[i] : offsets[j]]
+        starts, ends, row = arrays.word_spans(block, offsets[i : j + 1] - offsets[i])
+        words = _word_hash(block, starts, ends)
         n = np.bincount(row, minlength=j - i) if len(row) else np.zeros(j - i, np.int64)
         nth = np.arange(len(words)) - (np.cumsum(n) - n)[row]
-        for a in range(0, len(words), _STRETCH):
-            at = np.arange(a, min(a + _STRETCH, len(words)))
-            yield row[at] + i, nth[at], [np.where(nth[at] >= k, words[np.maximum(at - k, 0)], _U(0)) for k in range(order)]
-
-
-def _gram_hash(words: Sequence[np.ndarray]) -> np.ndarray:
-    """One hash of the words of n-grams of one length, last word first."""
-    h = np.full(len(words[0]), len(words), _U)
-    with np.errstate(over="ignore"):
-        for w in words:
-            h = arrays.mix(h * _U(0xD6E8FEB86659FD93) + w)
-    return h
+        for first in range(0, len(words), _STRETCH):
+            at = np.arange(first, min(first + _STRETCH, len(words)))
+            at = at[nth[at] >= size - 1]
+            level = [words[at - k] for k in reversed(range(size))]
+            while len(level) > 2:
+                level = [_pair(a, b) for a, b in pairwise(level)]
+            yield row[at] + i, nth[at], level
 
 
-def _names(order: int) -> list[str]:
-    return [f"w{k}" for k in range(1, order + 1)]
+def _hash(named: Sequence[np.ndarray]) -> np.ndarray:
+    return named[0] if len(named) == 1 else _pair(*named)
 
 
-def gram_counts(source: DataFrame, model: Model) -> DataFrame:
-    """(w1 … w_order, c): every single word, and every longer n-gram that stands ``min_count`` times or more.
+def gram_counts(source: DataFrame, model: Model, size: int, lot: int = 0, lots: int = 1) -> DataFrame:
+    """(h, c), for more than one word (h, a, b, c): the n-grams of ``size`` words in a lot, of two words or more those that stand ``min_count`` times.
 
-    w1 is the hash of the last word, w2 of the one before; 0 where an n-gram is
-    shorter. Counts are added up inside each task before they are moved.
+    h is the hash of the n-gram, a and b are those of it without its last and
+    without its first word. Counts are added up inside each task before they
+    are moved.
     """
-    names, order = _names(model.order), model.order
-    schema = ", ".join(f"{n} long" for n in names) + ", n long"
+    names = ["a", "b"][: min(size, 2)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, nth, words in _stretches(batch.column(0), order):
-                for size in range(1, order + 1):
-                    there = nth >= size - 1
-                    own = [w[there] for w in words[:size]]
-                    _, first, n = np.unique(_gram_hash(own), return_index=True, return_counts=True)
-                    held = [_signed(w[first]) for w in own] + [_signed(np.zeros(len(first), _U))] * (order - size)
-                    yield pa.RecordBatch.from_arrays([*held, pa.array(n)], names=[*names, "n"])
+            for _, _, named in _grams(batch.column(0), size):
+                h = _hash(named)
+                if lots > 1:
+                    mine = np.flatnonzero(h % _U(lots) == _U(lot))
+                    h, named = h[mine], [x[mine] for x in named]
+                by = np.argsort(h)
+                h = h[by]
+                first = np.flatnonzero(np.concatenate([np.ones(min(1, len(h)), bool), h[1:] != h[:-1]]))
+                n = np.diff(np.append(first, len(h)))
+                yield pa.RecordBatch.from_arrays([*(_signed(x[by[first]]) for x in named), pa.array(n)], names=[*names, "n"])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = _hash([batch.column(k).to_numpy(zero_copy_only=False).view(_U) for k in range(2)])
+            yield pa.RecordBatch.from_arrays([_signed(h), *batch.columns], names=["h", *names, "c"])
 
-    grams = source.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("c"))
-    return grams.where((F.col("c") >= model.min_count) | (F.col(names[1]) == 0)) if order > 1 else grams
+    rows = source.select("text").mapInArrow(run, ", ".join(f"{n} long" for n in [*names, "n"]))
+    counts = rows.groupBy(*names).agg(F.sum("n").alias("c"))
+    if size == 1:
+        return counts.select(F.col("a").alias("h"), "c")
+    return counts.where(F.col("c") >= model.min_count).mapInArrow(hashed, "h long, a long, b long, c long")
 
 
-def _find(rows: DataFrame, keys: Sequence[str], table: DataFrame, value: str, limit: float, name: str) -> DataFrame:
-    """``rows`` with ``name``, the ``value`` of the shorter n-gram that ``keys`` spell.
+def _find(rows: DataFrame, key: str, table: DataFrame, value: str, limit: float, name: str) -> DataFrame:
+    """``rows`` with ``name``, the ``value`` of the shorter n-gram whose hash is in ``key``.
 
     Frequent n-grams are few (see ``Model.frequent``) and are broadcast, so that
     the rows of one of them never meet in one task: they go on under a spread key.
     """
-    own = _names(len(keys))
 
     def renamed(part: Column, mark: str) -> DataFrame:
-        return table.where(part).select(*[F.col(o).alias(f"{mark}{o}") for o in own], F.col(value).alias(f"{mark}value"))
-
-    def on(first: str, mark: str) -> Column:
-        out = F.col(first) == F.col(f"{mark}{own[0]}")
-        for k, o in list(zip(keys, own, strict=True))[1:]:
-            out = out & (F.col(k) == F.col(f"{mark}{o}"))
-        return out
-
-    met = rows.join(F.broadcast(renamed(F.col("c") > limit, "_f")), on(keys[0], "_f"), "left")
-    spread = F.xxhash64(*[c for c in rows.columns if c.startswith("w")])
-    met = met.withColumn("_key", F.when(F.col("_fvalue").isNull(), F.col(keys[0])).otherwise(spread))
-    met = met.join(renamed(F.col("c") <= limit, "_r"), on("_key", "_r"), "left")
+        return table.where(part).select(F.col("h").alias(f"{mark}h"), F.col(value).alias(f"{mark}value"))
+
+    met = rows.join(F.broadcast(renamed(F.col("c") > limit, "_f")), F.col(key) == F.col("_fh"), "left")
+    met = met.withColumn("_key", F.when(F.col("_fvalue").isNull(), F.col(key)).otherwise(F.xxhash64("h")))
+    met = met.join(renamed(F.col("c") <= limit, "_r").hint("shuffle_hash"), F.col("_key") == F.col("_rh"), "left")
     return met.select(*rows.columns, F.coalesce("_fvalue", "_rvalue").alias(name))
 
 
-def gram_scores(counts: DataFrame, total: int, model: Model) -> DataFrame:
-    """(h, c, gain): what an n-gram of the table adds to the score of the word it ends with.
+def gram_scores(counts: DataFrame, below: DataFrame, total: int, model: Model) -> DataFrame:
+    """(h, c, s, gain): ``counts`` of longer n-grams with what each adds to the score of the word it ends with.
 
     A word's score with the n-gram g is s(g) = ln c(g) - ln c(g without its last
     word), of a single word ln c - ln of all words. An n-gram in the table has
     all its parts in the table, so the score of a word is the sum of its n-grams'
     gains: s of the single word, s(g) - s(g without its first word) for a longer
-    one in the table, and ln backoff for one that is not.
+    one in the table, and ln backoff for one that is not. ``below`` has the
+    n-grams that are one word shorter.
     """
-    names, limit = _names(model.order), total / model.frequent
-    levels, below = [], None
-    for size in range(1, model.order + 1):
-        mine = F.col(names[size - 1]) != 0
-        if size < model.order:
-            mine = mine & (F.col(names[size]) == 0)
-        rows = counts.where(mine).select(*names[:size], "c")
-        if below is None:
-            level = rows.withColumn("s", F.log("c") - F.lit(math.log(max(total, 1)))).withColumn("gain", F.col("s"))
-        else:
-            rows = _find(rows, names[1:size], below, "c", limit, "before").withColumn("s", F.log("c") - F.log("before")).drop("before")
-            level = _find(rows, names[: size - 1], below, "s", limit, "shorter")
-            level = level.withColumn("gain", F.col("s") - F.col("shorter") - F.lit(math.log(model.backoff))).drop("shorter")
-        below = frames.materialise(level, f"lm-level-{size}")
-        levels.append(_hashed(below, names[:size]))
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
-
-
-def _hashed(level: DataFrame, names: Sequence[str]) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [batch.column(k).to_numpy(zero_copy_only=False).view(_U) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([_signed(_gram_hash(words)), *batch.columns[len(names) :]], names=["h", "c", "gain"])
+    limit = total / model.frequent
+    rows = _find(counts, "a", below, "c", limit, "before").select("h", "b", "c", (F.log("c") - F.log("before")).alias("s"))
+    rows = _find(rows, "b", below, "s", limit, "shorter")
+    return rows.select("h", "c", "s", (F.col("s") - F.col("shorter") - F.lit(math.log(model.backoff))).alias("gain"))
 
-    return level.select(*names, "c", "gain").mapInArrow(run, "h long, c long, gain double")
 
+def gram_tables(source: DataFrame, model: Model) -> tuple[int, dict[tuple[int, int, int], DataFrame]]:
+    """The number of all words, and for each length, lot and number of lots (h, c, gain).
 
-def _exploded(source: DataFrame, frequent: pa.Table, model: Model) -> DataFrame:
-    """Rows of n-grams (doc_id, key, h, top), and one row for each document with ``doc`` set.
+    The gain of a single word is ln c: the rest of its s, which all words share,
+    is added by ``lm_scores``.
+    """
+    spark = source.sparkSession
+    counts = frames.step(gram_counts(source, model, 1), "lm-counts-1")
+    total = counts.agg(F.sum("c")).collect()[0][0] or 0
+    below = counts.where(F.col("c") >= min(model.min_count, 2))
+    below = below.select("h", "c", (F.log("c") - F.lit(math.log(max(total, 1)))).alias("s"), F.log("c").alias("gain"))
+    tables, lots = {(1, 0, 1): below}, model.lots if total > model.whole else 1
+    for size in range(2, model.order + 1):
+        parts = []
+        for lot in range(lots):
+            counts = gram_counts(source, model, size, lot, lots)
+            path = frames.write_scratch(counts, f"lm-counts-{size}")
+            frames.sweep(spark)
+            level = gram_scores(spark.read.schema(counts.schema).parquet(path), below, total, model)
+            parts.append(frames.step(level.drop("s") if size == model.order else level, f"lm-gains-{size}"))
+            frames.remove(spark, path)
+        tables |= {(size, lot, lots): part for lot, part in enumerate(parts)}
+        below = reduce(DataFrame.unionByName, parts)
+    return total, tables
+
+
+def _exploded(source: DataFrame, frequent: pa.Table, model: Model, size: int, lot: int, lots: int) -> DataFrame:
+    """Rows of n-grams of one length and lot (key, h, top), and one row for each document with ``score`` and ``n`` set.
 
     ``top`` says that no longer n-gram ends there. Frequent n-grams are not
-    listed; their gains are in the document's own row, as are the steps back that
-    all words would take if nothing else were in the table.
+    listed; their gains are in the document's own row. n is the document's number of
+    words for single words, else that of its frequent n-grams that are ``top``.
     """
-    schema = frames.plus(source.select("doc_id", "key").schema, "h long, top boolean, doc struct<score:double,words:long,backed:long>")
-    arrow = frames.arrow_schema(schema)
+    schema = "key long, h long, top boolean, score double, n long"
+    names = ["key", "h", "top", "score", "n"]
     held = frequent.sort_by("h")
     shared = source.sparkSession.sparkContext.broadcast((held.column("h").to_numpy(), held.column("gain").to_numpy()))
-    order, step = model.order, math.log(model.backoff)
+    order = model.order
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, gains = shared.value
-        kinds = [f.type for f in arrow]
         for batch in batches:
-            rows = batch.num_rows
-            score, words_of, backed = np.zeros(rows), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-            for row, nth, words in _stretches(batch.column(2), order):
-                words_of += np.bincount(row, minlength=rows)
-                for size in range(1, order + 1):
-                    there = nth >= size - 1
-                    mine, h = row[there], _gram_hash([w[there] for w in words[:size]]).view(np.int64)
-                    top = (nth[there] == size - 1) | (size == order) if size > 1 else np.zeros(len(mine), bool)
-                    at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
-                    hit = known[at] == h if len(known) else np.zeros(len(h), bool)
-                    value = np.where(hit, gains[at], 0.0) if len(known) else np.zeros(len(h))
-                    score += np.bincount(mine, weights=value + (step if size > 1 else 0.0), minlength=rows)
-                    backed += np.bincount(mine[top & ~hit], minlength=rows)
-                    rest = pa.array(mine[~hit])
-                    ids = [batch.column(k).take(rest) for k in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([*ids, pa.array(h[~hit]), pa.array(top[~hit]), pa.nulls(len(rest), kinds[4])], schema=arrow)
-            doc = pa.StructArray.from_arrays([pa.array(score), pa.array(words_of), pa.array(backed)], fields=list(kinds[4]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(1), pa.array(np.zeros(rows, bool)), doc], schema=arrow)
-
-    return source.mapInArrow(run, schema)
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            score, n = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
+            for row, nth, named in _grams(batch.column(1), size):
+                if size == 1:
+                    n += np.bincount(row, minlength=len(keys))
+                h = _hash(named)
+                if lots > 1:
+                    mine = np.flatnonzero(h % _U(lots) == _U(lot))
+                    row, nth, h = row[mine], nth[mine], h[mine]
+                h = h.view(np.int64)
+                top = np.full(len(h), size == order) | (nth == size - 1) if size > 1 else np.zeros(len(h), bool)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    hit = known[at] == h
+                    score += np.bincount(row[hit], weights=gains[at[hit]], minlength=len(keys))
+                    n += np.bincount(row[hit & top], minlength=len(keys))
+                    row, h, top = row[~hit], h[~hit], top[~hit]
+                empty = [pa.nulls(len(h), pa.float64()), pa.nulls(len(h), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[row]), pa.array(h), pa.array(top), *empty], names=names)
+            own = [pa.array(keys), pa.array(keys), pa.array(np.zeros(len(keys), bool)), pa.array(score), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(own, names=names)
+
+    return source.select("key", "text").mapInArrow(run, schema)
+
+
+def gram_sums(source: DataFrame, table: DataFrame, limit: float, model: Model, size: int, lot: int, lots: int) -> DataFrame:
+    """(key, score, words, hits): the gains of a document's n-grams of one length and lot, its words, and its n-grams found that are ``top``."""
+    frequent = table.where(F.col("c") > limit).select("h", "gain").toArrow()  # at most ``frequent`` rows
+    rest = table.where(F.col("c") <= limit).select(F.col("h").alias("_h"), "gain")
+    met = _exploded(source, frequent, model, size, lot, lots).join(rest.hint("shuffle_hash"), F.col("h") == F.col("_h"), "left")
+    found = F.col("score").isNull() & F.col("gain").isNotNull()
+    sums = met.groupBy("key").agg(
+        F.sum(F.when(found, F.col("gain")).otherwise(F.coalesce("score", F.lit(0.0)))).alias("score"),
+        F.sum(F.coalesce("n", (found & F.col("top")).cast("long"))).alias("n"),
+    )
+    none = F.lit(0).cast("long")
+    return sums.select("key", "score", *([F.col("n").alias("words"), none.alias("hits")] if size == 1 else [none.alias("words"), F.col("n").alias("hits")]))
 
 
 def lm_scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,38 +257,41 @@ def lm_scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", t
     repeat; an empty table gives an empty result. Other columns are not read.
     Words are known by 64-bit hashes, n-grams by hashes of these.
 
-    One aggregation makes the table of counts, joins with the next shorter
-    n-grams turn it into gains (``gram_scores``), exploded n-grams are joined to
-    it by hash, and the gains are summed per document, first inside each task.
+    N-grams are counted by one aggregation for each length and lot of hashes,
+    joins with the next shorter n-grams turn the counts into gains
+    (``gram_scores``), exploded n-grams are joined to these by hash, lot by lot,
+    and the gains are summed per document, first inside each task. Every pass
+    reads all texts; lots keep the disk within a part of the n-grams.
     A frequent n-gram never meets in one task: counts are added up before the
     shuffle, and its rows take their gain where they are read. What is left of
     any n-gram is at most one in ``frequent`` of all words.
     """
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     source = source.select("doc_id", frames.row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    counts = frames.step(gram_counts(source, model), "lm-counts")
-    single = counts.where(F.col("w2") == 0) if model.order > 1 else counts
-    total = single.agg(F.sum("c")).collect()[0][0] or 0
-    table = frames.step(gram_scores(counts, total, model), "lm-gains")
-
+    total, tables = gram_tables(source, model)
     limit = total / model.frequent
-    frequent = table.where(F.col("c") > limit).select("h", "gain").toArrow()  # at most order * frequent rows
-    rest = table.where(F.col("c") <= limit).select(F.col("h").alias("_h"), "gain")
-    met = _exploded(source, frequent, model).join(rest.hint("shuffle_hash"), F.col("h") == F.col("_h"), "left")
-    per_row = met.groupBy("doc_id", "key").agg(
-        (F.coalesce(F.sum("doc.score"), F.lit(0.0)) + F.coalesce(F.sum("gain"), F.lit(0.0))).alias("score"),
-        F.sum("doc.words").alias("words"),
-        (F.sum("doc.backed") - F.count(F.when(F.col("top") & F.col("gain").isNotNull(), 1))).alias("backed"),
-        F.count("doc").alias("copies"),
+    parts = [frames.step(gram_sums(source, table, limit, model, *part), "lm-sums") for part, table in tables.items()]
+    sums = reduce(DataFrame.unionByName, parts).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("score", "words", "hits")])
+    per_row = source.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies")).join(sums, "key", "left")
+    # The part of a score that no n-gram of the table changes: the share of all words, and the steps back.
+    n = F.expr("words div copies")
+    steps = sum((F.greatest(n - k, F.lit(0)) for k in range(1, model.order)), F.lit(0))
+    longer = F.greatest(n - 1, F.lit(0)) if model.order > 1 else F.lit(0)
+    per_row = per_row.select(
+        "doc_id",
+        "copies",
+        n.alias("words"),
+        (longer - F.expr("hits div copies")).cast("long").alias("backed"),
+        (F.col("score") / F.col("copies") + steps * math.log(model.backoff) - n * math.log(max(total, 1))).alias("score"),
     )
-    per_row = frames.step(per_row, "lm-sums")
+    per_row = frames.step(per_row, "lm-rows")
     # Rows that are equal in id and text were summed together: each gets its part.
     per_row = per_row.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / _COPIES))).alias("_lot"))
     in_lot = F.least(F.lit(_COPIES), F.col("copies") - F.col("_lot") * _COPIES).cast("int")
     per_row = per_row.select("*", F.explode(F.sequence(F.lit(1), in_lot)))
     return per_row.select(
         "doc_id",
-        F.expr("words div copies").alias("n_words"),
-        F.expr("backed div copies").alias("n_backed_off"),
+        F.col("words").alias("n_words"),
+        F.col("backed").alias("n_backed_off"),
         F.when(F.col("words") > 0, F.round(F.col("score") / F.col("words"), 6)).alias("mean_log_score"),
     )

@@ -184,6 +184,18 @@ def test_language_model_counts_and_backs_off(spark, odd, frequent):
     assert got == want
 
 
+def test_ngrams_are_counted_and_looked_up_in_lots(spark, odd):
+    """No shuffle takes more than a lot of the n-grams, and the lots together give what one pass gives."""
+    odd = odd.unionByName(odd.where("doc_id in (3, 9)")).cache()
+    whole, lots = (language_model.lm_scores(odd, language_model.Model(frequent=30, whole=w, lots=2)) for w in (10**9, 0))
+    assert Counter(map(tuple, whole.collect())) == Counter(map(tuple, lots.collect()))
+    model = language_model.Model(min_count=1)
+    every = {r.h: r.c for r in language_model.gram_counts(odd, model, 3).collect()}
+    parts = [{r.h: r.c for r in language_model.gram_counts(odd, model, 3, k, 4).collect()} for k in range(4)]
+    assert sum(map(len, parts)) == len(every) and {h: c for p in parts for h, c in p.items()} == every
+    assert max(map(len, parts)) < 0.5 * len(every)
+
+
 def test_repeated_rows_are_each_answered(spark, monkeypatch):
     queries.importable(spark)
     monkeypatch.setattr(language_model, "_COPIES", 4)
