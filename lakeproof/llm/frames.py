@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from lakeproof.session import materialise, new_scratch, remove, write_scratch
 
-__all__ = ["documents", "materialise", "new_scratch", "plus", "read", "remove", "row_key", "same", "step", "sweep", "write_scratch"]
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+__all__ = ["documents", "materialise", "new_scratch", "plus", "read", "remove", "row_key", "same", "settled", "step", "sweep", "write_scratch"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -52,6 +54,18 @@ def sweep(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def settled(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written once and read back, and its folder; the job's shuffle files are gone when it ends, not when Spark's cleaner comes by."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        path = write_scratch(df, label)
+    finally:
+        conf.set(_CLEANUP, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def same(*pairs: tuple[str, str]) -> Column:
     """A join condition in which null equals null."""
     out = F.lit(True)

@@ -10,15 +10,21 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeproof.llm import arrays, frames
 
 _U = np.uint64
 _STRETCH = 1 << 19  # words whose n-grams are held at a time
+_HELD = 1 << 20  # n-grams that a task holds before it sends them on
+_BUCKET = 1 << 18  # n-grams of a lot that meet in one group
+_FEWEST = 64  # groups at least
 _COPIES = 1 << 12  # length of the arrays that repeat a row
 _LONG = 64  # bytes of a word that are hashed eight at a time
 _SEED = _U(0xD6E8FEB86659FD93)
+_COUNTS = "size int, h long, a long, b long, c long"
+_ASKED = "bucket int, key array<long>, h array<long>, top array<boolean>, own array<long>, score array<double>, words array<long>, hits array<long>"
 _LAST = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)
 
 
@@ -27,9 +33,9 @@ class Model:
     """Order of the model, factor for each step back, and the count from which an n-gram of two words or more is in the table.
 
     N-grams that stand for more than one in ``frequent`` of all words are
-    looked up where they are read: at most ``frequent`` of each length. Longer
-    n-grams are counted and looked up in ``lots`` by their hash, one after the
-    other, so that the disk holds the shuffle of one lot at a time; up to
+    looked up where they are read: at most ``frequent`` of each length. N-grams
+    are looked up in ``lots`` by their hash, one after the other, and counted in
+    one less, so that the disk holds the shuffle of one lot at a time; up to
     ``whole`` words in all, in one.
     """
 
@@ -51,8 +57,9 @@ def _word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     eights = np.ndarray((len(data) + 1,), np.dtype("<u8"), np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))
     with np.errstate(over="ignore"):
         out = arrays.mix((eights[starts] & _LAST[np.minimum(lengths, 8)]) + lengths.astype(_U) * _SEED)
+        more = np.flatnonzero((lengths > 8) & (lengths <= _LONG))
         for done in range(8, _LONG, 8):
-            more = np.flatnonzero((lengths > done) & (lengths <= _LONG))
+            more = more[lengths[more] > done]
             if not len(more):
                 break
             rest = eights[starts[more] + done] & _LAST[np.minimum(lengths[more] - done, 8)]
@@ -68,8 +75,8 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return arrays.mix(arrays.mix(a + _SEED) * _SEED + b)
 
 
-def _grams(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Row of every n-gram of one length, place of its last word in the row, and what names it.
+def _grams(column: pa.Array, sizes: Sequence[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """For each length, row of every n-gram, place of its last word in the row, its hash, and what names it.
 
     A single word is named by its hash, a longer n-gram by the hashes of it
     without its last word and without its first.
@@ -80,52 +87,115 @@ def _grams(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray
         starts, ends, row = arrays.word_spans(block, offsets[i : j + 1] - offsets[i])
         words = _word_hash(block, starts, ends)
         n = np.bincount(row, minlength=j - i) if len(row) else np.zeros(j - i, np.int64)
-        nth = np.arange(len(words)) - (np.cumsum(n) - n)[row]
+        nth = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n)
         for first in range(0, len(words), _STRETCH):
-            at = np.arange(first, min(first + _STRETCH, len(words)))
-            at = at[nth[at] >= size - 1]
-            level = [words[at - k] for k in reversed(range(size))]
-            while len(level) > 2:
-                level = [_pair(a, b) for a, b in pairwise(level)]
-            yield row[at] + i, nth[at], level
+            last = min(first + _STRETCH, len(words))
+            begin = max(0, first - max(sizes) + 1)
+            named, h = [words[begin:last]], words[begin:last]
+            for size in range(1, max(sizes) + 1):
+                if size > 1:
+                    named = [h[:-1], h[1:]]
+                    h = _pair(*named)
+                if size in sizes:
+                    at = np.arange(begin + size - 1, begin + size - 1 + len(h))
+                    here = np.flatnonzero((nth[at] >= size - 1) & (at >= first))
+                    yield size, row[at[here]] + i, nth[at[here]], h[here], [x[here] for x in named]
 
 
 def _hash(named: Sequence[np.ndarray]) -> np.ndarray:
     return named[0] if len(named) == 1 else _pair(*named)
 
 
-def gram_counts(source: DataFrame, model: Model, size: int, lot: int = 0, lots: int = 1) -> DataFrame:
-    """(h, c), for more than one word (h, a, b, c): the n-grams of ``size`` words in a lot, of two words or more those that stand ``min_count`` times.
+def _buckets(n: int = 0) -> int:
+    """Groups in which ``n`` n-grams meet; they follow the n-grams alone, not the cluster."""
+    return min(max(_FEWEST, n // _BUCKET), 1 << 16)
+
+
+def _parcels(hashes: np.ndarray, buckets: int, /, **columns: np.ndarray) -> dict[str, pa.Array]:
+    """One row for each bucket of the hashes, with its values as arrays."""
+    bucket = ((hashes >> _U(32)) * _U(buckets) >> _U(32)).astype(np.uint16)
+    by = np.argsort(bucket, kind="stable")
+    bucket = bucket[by]
+    first = _firsts(bucket)
+    ends = pa.array(np.append(first, len(bucket)), pa.int32())
+    lists = {name: pa.ListArray.from_arrays(ends, pa.array(x[by])) for name, x in columns.items()}
+    return {"bucket": pa.array(bucket[first], pa.int32()), **lists}
+
+
+def _no_lists(rows: int, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.zeros(rows + 1, np.int32)), pa.array([], kind))
+
+
+def _firsts(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]]))
+
+
+def _flat(rows: pa.Table, name: str) -> np.ndarray:
+    return pc.list_flatten(rows.column(name)).to_numpy()
+
+
+def _in_lot(h: np.ndarray, lot: int, lots: int) -> np.ndarray | slice:
+    return np.flatnonzero(h.view(np.int64) % lots == lot) if lots > 1 else slice(None)
+
+
+def gram_parcels(source: DataFrame, sizes: Sequence[int], lot: int, lots: int, buckets: int) -> DataFrame:
+    """(size, bucket, a, b, n): arrays of the n-grams in a lot, each with its count in a stretch of texts; single words have no b."""
+
+    def parcels(size: int, held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        h, *named = (np.concatenate(x) for x in zip(*held, strict=True))
+        by = np.argsort(h)
+        h = h[by]
+        first = _firsts(h)
+        columns = {name: x[by[first]].view(np.int64) for name, x in zip("ab", named, strict=False)}
+        made = _parcels(h[first], buckets, **columns, n=np.diff(np.append(first, len(h))))
+        rows = len(made["bucket"])
+        made["size"] = pa.array(np.full(rows, size, np.int32))
+        made.setdefault("b", _no_lists(rows, pa.int64()))
+        return pa.RecordBatch.from_pydict({name: made[name] for name in ("size", "bucket", "a", "b", "n")})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {size: [] for size in sizes}
+        n = dict.fromkeys(sizes, 0)
+        for batch in batches:
+            for size, _, _, h, named in _grams(batch.column(0), sizes):
+                mine = _in_lot(h, lot, lots)
+                held[size].append([h[mine], *(x[mine] for x in named)])
+                n[size] += len(held[size][-1][0])
+                if n[size] >= _HELD:
+                    yield parcels(size, held[size])
+                    held[size], n[size] = [], 0
+        for size in sizes:
+            if n[size]:
+                yield parcels(size, held[size])
+
+    return source.select("text").mapInArrow(run, "size int, bucket int, a array<long>, b array<long>, n array<long>")
+
+
+def gram_counts(source: DataFrame, model: Model, sizes: int | Sequence[int], lot: int = 0, lots: int = 1, buckets: int = 0) -> DataFrame:
+    """(size, h, a, b, c): the n-grams of these lengths in a lot, of two words or more those that stand ``min_count`` times.
 
     h is the hash of the n-gram, a and b are those of it without its last and
     without its first word. Counts are added up inside each task before they
-    are moved.
+    are moved, and move as arrays: n-grams that stand once, most of all, never
+    become rows.
     """
-    names = ["a", "b"][: min(size, 2)]
+    sizes = [sizes] if isinstance(sizes, int) else list(sizes)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, named in _grams(batch.column(0), size):
-                h = _hash(named)
-                if lots > 1:
-                    mine = np.flatnonzero(h % _U(lots) == _U(lot))
-                    h, named = h[mine], [x[mine] for x in named]
-                by = np.argsort(h)
-                h = h[by]
-                first = np.flatnonzero(np.concatenate([np.ones(min(1, len(h)), bool), h[1:] != h[:-1]]))
-                n = np.diff(np.append(first, len(h)))
-                yield pa.RecordBatch.from_arrays([*(_signed(x[by[first]]) for x in named), pa.array(n)], names=[*names, "n"])
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = _hash([batch.column(k).to_numpy(zero_copy_only=False).view(_U) for k in range(2)])
-            yield pa.RecordBatch.from_arrays([_signed(h), *batch.columns], names=["h", *names, "c"])
+    def add(rows: pa.Table) -> pa.Table:
+        size = rows.column("size")[0].as_py()
+        named = [_flat(rows, name).view(_U) for name in "ab"[: min(size, 2)]]
+        h = _hash(named)
+        by = np.argsort(h)
+        first = _firsts(h[by])
+        c = np.add.reduceat(_flat(rows, "n")[by], first)
+        kept = c >= (model.min_count if size > 1 else 1)
+        at = by[first[kept]]
+        parts = [_signed(x[at]) for x in named] if size > 1 else [pa.nulls(len(at), pa.int64())] * 2
+        return pa.table([pa.array(np.full(len(at), size, np.int32)), _signed(h[at]), *parts, pa.array(c[kept])], names=["size", "h", "a", "b", "c"])
 
-    rows = source.select("text").mapInArrow(run, ", ".join(f"{n} long" for n in [*names, "n"]))
-    counts = rows.groupBy(*names).agg(F.sum("n").alias("c"))
-    if size == 1:
-        return counts.select(F.col("a").alias("h"), "c")
-    return counts.where(F.col("c") >= model.min_count).mapInArrow(hashed, "h long, a long, b long, c long")
+    parcels = gram_parcels(source, sizes, lot, lots, buckets or _buckets())
+    return parcels.groupBy("size", "bucket").applyInArrow(add, _COUNTS)
 
 
 def _find(rows: DataFrame, key: str, table: DataFrame, value: str, limit: float, name: str) -> DataFrame:
@@ -160,85 +230,147 @@ def gram_scores(counts: DataFrame, below: DataFrame, total: int, model: Model) -
     return rows.select("h", "c", "s", (F.col("s") - F.col("shorter") - F.lit(math.log(model.backoff))).alias("gain"))
 
 
-def gram_tables(source: DataFrame, model: Model) -> tuple[int, dict[tuple[int, int, int], DataFrame]]:
-    """The number of all words, and for each length, lot and number of lots (h, c, gain).
+def gram_tables(source: DataFrame, model: Model) -> tuple[int, int, list[DataFrame]]:
+    """The number of all words, the lots to look n-grams up in, and for each length (h, c, gain).
 
     The gain of a single word is ln c: the rest of its s, which all words share,
     is added by ``lm_scores``.
     """
     spark = source.sparkSession
-    counts = frames.step(gram_counts(source, model, 1), "lm-counts-1")
-    total = counts.agg(F.sum("c")).collect()[0][0] or 0
-    below = counts.where(F.col("c") >= min(model.min_count, 2))
+    about = (source.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0) // 6  # words, which only lots and buckets follow
+    lots = model.lots if about > model.whole else 1
+    counted = max(1, lots - 1)
+    paths = []
+    for lot in range(counted):
+        counts = gram_counts(source, model, range(1, model.order + 1), lot, counted, _buckets(about // counted))
+        paths.append(frames.settled(counts, "lm-counts")[1])
+    counts = spark.read.schema(_COUNTS).parquet(*paths)
+    words = counts.where(F.col("size") == 1)
+    total = words.agg(F.sum("c")).collect()[0][0] or 0
+    below = words.where(F.col("c") >= min(model.min_count, 2))
     below = below.select("h", "c", (F.log("c") - F.lit(math.log(max(total, 1)))).alias("s"), F.log("c").alias("gain"))
-    tables, lots = {(1, 0, 1): below}, model.lots if total > model.whole else 1
+    below = frames.settled(below, "lm-gains-1")[0]
+    tables = [below]
     for size in range(2, model.order + 1):
-        parts = []
-        for lot in range(lots):
-            counts = gram_counts(source, model, size, lot, lots)
-            path = frames.write_scratch(counts, f"lm-counts-{size}")
-            frames.sweep(spark)
-            level = gram_scores(spark.read.schema(counts.schema).parquet(path), below, total, model)
-            parts.append(frames.step(level.drop("s") if size == model.order else level, f"lm-gains-{size}"))
-            frames.remove(spark, path)
-        tables |= {(size, lot, lots): part for lot, part in enumerate(parts)}
-        below = reduce(DataFrame.unionByName, parts)
-    return total, tables
-
-
-def _exploded(source: DataFrame, frequent: pa.Table, model: Model, size: int, lot: int, lots: int) -> DataFrame:
-    """Rows of n-grams of one length and lot (key, h, top), and one row for each document with ``score`` and ``n`` set.
+        level = counts.where(F.col("size") == size)
+        parts = [level.where(F.pmod("h", F.lit(2)) == k) for k in range(2)] if lots > 1 else [level]
+        parts = [gram_scores(part, below, total, model) for part in parts]
+        parts = [part.drop("s") if size == model.order else part for part in parts]
+        below = reduce(DataFrame.unionByName, [frames.settled(part, f"lm-gains-{size}")[0] for part in parts])
+        tables.append(below)
+    for path in paths:
+        frames.remove(spark, path)
+    return total, lots, [table.select("h", "c", "gain") for table in tables]
+
+
+def _asked(source: DataFrame, frequent: pa.Table, model: Model, lot: int, lots: int, buckets: int) -> DataFrame:
+    """Exploded n-grams of a lot (key, h, top), and for each document its ``own`` key, ``score``, ``words`` and ``hits``, as arrays.
 
     ``top`` says that no longer n-gram ends there. Frequent n-grams are not
-    listed; their gains are in the document's own row. n is the document's number of
-    words for single words, else that of its frequent n-grams that are ``top``.
+    listed; their gains are in the document's own score. Words are counted in
+    the first lot; hits are the document's frequent n-grams that are ``top``.
     """
-    schema = "key long, h long, top boolean, score double, n long"
-    names = ["key", "h", "top", "score", "n"]
+    kinds = {"key": pa.int64(), "h": pa.int64(), "top": pa.bool_(), "own": pa.int64(), "score": pa.float64(), "words": pa.int64(), "hits": pa.int64()}
     held = frequent.sort_by("h")
     shared = source.sparkSession.sparkContext.broadcast((held.column("h").to_numpy(), held.column("gain").to_numpy()))
     order = model.order
 
+    def parcels(hashes: np.ndarray, /, **columns: np.ndarray) -> pa.RecordBatch:
+        made = _parcels(hashes, buckets, **columns)
+        made |= {name: _no_lists(len(made["bucket"]), kind) for name, kind in kinds.items() if name not in made}
+        return pa.RecordBatch.from_pydict({name: made[name] for name in ["bucket", *kinds]})
+
+    def grams(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        key, h, top = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return parcels(h.view(_U), key=key, h=h, top=top)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, gains = shared.value
+        parts, waiting = [], 0
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
-            score, n = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
-            for row, nth, named in _grams(batch.column(1), size):
-                if size == 1:
-                    n += np.bincount(row, minlength=len(keys))
-                h = _hash(named)
-                if lots > 1:
-                    mine = np.flatnonzero(h % _U(lots) == _U(lot))
-                    row, nth, h = row[mine], nth[mine], h[mine]
-                h = h.view(np.int64)
+            score, words, hits = np.zeros(len(keys)), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+            for size, row, nth, h, _ in _grams(batch.column(1), range(1, order + 1)):
+                if size == 1 and lot == 0:
+                    words += np.bincount(row, minlength=len(keys))
+                mine = _in_lot(h, lot, lots)
+                row, nth, h = row[mine], nth[mine], h[mine].view(np.int64)
                 top = np.full(len(h), size == order) | (nth == size - 1) if size > 1 else np.zeros(len(h), bool)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                     hit = known[at] == h
                     score += np.bincount(row[hit], weights=gains[at[hit]], minlength=len(keys))
-                    n += np.bincount(row[hit & top], minlength=len(keys))
+                    hits += np.bincount(row[hit & top], minlength=len(keys))
                     row, h, top = row[~hit], h[~hit], top[~hit]
-                empty = [pa.nulls(len(h), pa.float64()), pa.nulls(len(h), pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[row]), pa.array(h), pa.array(top), *empty], names=names)
-            own = [pa.array(keys), pa.array(keys), pa.array(np.zeros(len(keys), bool)), pa.array(score), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(own, names=names)
-
-    return source.select("key", "text").mapInArrow(run, schema)
-
-
-def gram_sums(source: DataFrame, table: DataFrame, limit: float, model: Model, size: int, lot: int, lots: int) -> DataFrame:
-    """(key, score, words, hits): the gains of a document's n-grams of one length and lot, its words, and its n-grams found that are ``top``."""
-    frequent = table.where(F.col("c") > limit).select("h", "gain").toArrow()  # at most ``frequent`` rows
-    rest = table.where(F.col("c") <= limit).select(F.col("h").alias("_h"), "gain")
-    met = _exploded(source, frequent, model, size, lot, lots).join(rest.hint("shuffle_hash"), F.col("h") == F.col("_h"), "left")
-    found = F.col("score").isNull() & F.col("gain").isNotNull()
-    sums = met.groupBy("key").agg(
-        F.sum(F.when(found, F.col("gain")).otherwise(F.coalesce("score", F.lit(0.0)))).alias("score"),
-        F.sum(F.coalesce("n", (found & F.col("top")).cast("long"))).alias("n"),
-    )
-    none = F.lit(0).cast("long")
-    return sums.select("key", "score", *([F.col("n").alias("words"), none.alias("hits")] if size == 1 else [none.alias("words"), F.col("n").alias("hits")]))
+                parts.append([keys[row], h, top])
+                waiting += len(h)
+                if waiting >= _HELD:
+                    yield grams(parts)
+                    parts, waiting = [], 0
+            if len(keys):
+                yield parcels(keys.view(_U), own=keys, score=score, words=words, hits=hits)
+        if waiting:
+            yield grams(parts)
+
+    return source.select("key", "text").mapInArrow(run, _ASKED)
+
+
+def _gain_parcels(table: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, h, gain): the rows of ``table`` as arrays."""
+
+    def parcels(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        h, gain = (np.concatenate([x.column(k).to_numpy() for x in held]) for k in range(2))
+        return pa.RecordBatch.from_pydict(_parcels(h.view(_U), buckets, h=h, gain=gain))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += len(batch)
+            if n >= _HELD:
+                yield parcels(held)
+                held, n = [], 0
+        if n:
+            yield parcels(held)
+
+    return table.select("h", "gain").mapInArrow(run, "bucket int, h array<long>, gain array<double>")
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    by = np.argsort(keys)
+    first = _firsts(keys[by])
+    return [keys[by[first]], *(np.add.reduceat(x[by], first) if len(x) else x for x in values)]
+
+
+def gram_sums(source: DataFrame, table: DataFrame, total: int, model: Model, lot: int, lots: int) -> DataFrame:
+    """(key, score, words, hits): the gains of a document's n-grams of one lot, its words (first lot), and its n-grams found that are ``top``."""
+    limit, buckets = total / model.frequent, _buckets(model.order * total // lots)
+    chunks = max(16, buckets // 8)  # of documents: each bucket answers every chunk, so there are fewer
+    sums = ("score", "words", "hits")
+
+    def found(asked: pa.Table, rest: pa.Table) -> pa.Table:
+        keys, score, words, hits = (_flat(asked, name) for name in ("own", *sums))
+        if len(rest) and len(known := _flat(rest, "h")):
+            key, h, top, gains = _flat(asked, "key"), _flat(asked, "h"), _flat(asked, "top"), _flat(rest, "gain")
+            by = np.argsort(known)
+            known, gains = known[by], gains[by]
+            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = np.flatnonzero(known[at] == h)
+            keys, score = np.concatenate([keys, key[hit]]), np.concatenate([score, gains[at[hit]]])
+            words, hits = np.concatenate([words, np.zeros(len(hit), np.int64)]), np.concatenate([hits, top[hit]])
+        keys, *values = _summed(keys, score, words, hits)
+        return pa.table(_parcels(keys.view(_U), chunks, key=keys, **dict(zip(sums, values, strict=True))))
+
+    def added(rows: pa.Table) -> pa.Table:
+        return pa.table(dict(zip(("key", *sums), _summed(*(_flat(rows, name) for name in ("key", *sums))), strict=True)))
+
+    table = table.where(F.pmod("h", F.lit(lots)) == lot)
+    frequent = table.where(F.col("c") > limit).select("h", "gain").toArrow()  # at most ``frequent`` rows of each length
+    asked = _asked(source, frequent, model, lot, lots, buckets)
+    rest = _gain_parcels(table.where(F.col("c") <= limit), buckets)
+    parts = "bucket int, key array<long>, score array<double>, words array<long>, hits array<long>"
+    met = asked.groupBy("bucket").cogroup(rest.groupBy("bucket")).applyInArrow(found, parts)
+    return met.groupBy("bucket").applyInArrow(added, "key long, score double, words long, hits long")
 
 
 def lm_scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,20 +389,23 @@ def lm_scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", t
     repeat; an empty table gives an empty result. Other columns are not read.
     Words are known by 64-bit hashes, n-grams by hashes of these.
 
-    N-grams are counted by one aggregation for each length and lot of hashes,
+    N-grams of all lengths are counted by one grouping for each lot of hashes,
     joins with the next shorter n-grams turn the counts into gains
     (``gram_scores``), exploded n-grams are joined to these by hash, lot by lot,
-    and the gains are summed per document, first inside each task. Every pass
-    reads all texts; lots keep the disk within a part of the n-grams.
+    and the gains are summed per document. Where every n-gram moves, in the
+    counts, the last join and the sums, Spark deals and groups buckets of
+    hashes, and an array holds the n-grams that a stretch of texts has in a
+    bucket; buckets grow in number with the words. Every pass reads all texts;
+    lots keep the disk within a part of the n-grams.
     A frequent n-gram never meets in one task: counts are added up before the
-    shuffle, and its rows take their gain where they are read. What is left of
+    shuffle, and its places take their gain where they are read. What is left of
     any n-gram is at most one in ``frequent`` of all words.
     """
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     source = source.select("doc_id", frames.row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    total, tables = gram_tables(source, model)
-    limit = total / model.frequent
-    parts = [frames.step(gram_sums(source, table, limit, model, *part), "lm-sums") for part, table in tables.items()]
+    total, lots, tables = gram_tables(source, model)
+    table = reduce(DataFrame.unionByName, tables)
+    parts = [frames.settled(gram_sums(source, table, total, model, lot, lots), "lm-sums")[0] for lot in range(lots)]
     sums = reduce(DataFrame.unionByName, parts).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("score", "words", "hits")])
     per_row = source.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies")).join(sums, "key", "left")
     # The part of a score that no n-gram of the table changes: the share of all words, and the steps back.
@@ -284,7 +419,7 @@ def lm_scores(docs: DataFrame, model: Model = Model(), id_col: str = "doc_id", t
         (longer - F.expr("hits div copies")).cast("long").alias("backed"),
         (F.col("score") / F.col("copies") + steps * math.log(model.backoff) - n * math.log(max(total, 1))).alias("score"),
     )
-    per_row = frames.step(per_row, "lm-rows")
+    per_row = frames.settled(per_row, "lm-rows")[0]
     # Rows that are equal in id and text were summed together: each gets its part.
     per_row = per_row.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / _COPIES))).alias("_lot"))
     in_lot = F.least(F.lit(_COPIES), F.col("copies") - F.col("_lot") * _COPIES).cast("int")

@@ -196,6 +196,42 @@ def test_ngrams_are_counted_and_looked_up_in_lots(spark, odd):
     assert max(map(len, parts)) < 0.5 * len(every)
 
 
+def test_ngrams_leave_a_task_in_few_rows(spark):
+    """One pass counts all lengths; what a stretch of texts has in a bucket is one row, however many n-grams that is."""
+    queries.importable(spark)
+    docs = spark.range(200, numPartitions=2).select(F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda x: F.concat_ws("-", x, "id"))).alias("text"))
+    rows = language_model.gram_parcels(docs, [1, 2, 3], 0, 1, 8).collect()
+    assert len(rows) <= 2 * 3 * 8 and Counter(r.size for r in rows).keys() == {1, 2, 3}
+    assert {k: sum(sum(r.n) for r in rows if r.size == k) for k in (1, 2, 3)} == {1: 20000, 2: 19800, 3: 19600}
+    assert language_model.gram_counts(docs, language_model.Model(), [1, 2, 3]).groupBy("size").count().collect() == [(1, 20000)]
+
+
+def test_buckets_follow_the_ngrams_alone(spark):
+    queries.importable(spark)
+    docs = spark.range(400).select(F.col("id").alias("key"), F.concat_ws(" ", *[F.concat(F.lit(w), "id") for w in "abcdefgh"]).alias("text"))
+    table = spark.createDataFrame([(1, 2, 0.5)], "h long, c long, gain double")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        asked = language_model._asked(docs.repartition(1), table.toArrow(), language_model.Model(), 0, 1, language_model._buckets())
+        assert asked.count() <= 2 * 64
+        sums = language_model.gram_sums(docs, table, 3200, language_model.Model(), 0, 1)
+        assert Counter((r.words, r.hits) for r in sums.collect()) == {(8, 0): 400}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+def test_shuffle_files_go_when_a_settled_job_ends(spark):
+    kept = spark._jsc.sc().env().blockManager().diskBlockManager()
+    made = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).agg(F.collect_list("id").alias("ids"))
+    before = set(kept.getAllBlocks().mkString(" ").split())
+    rows, path = frames.settled(made, "settled")
+    after = set(kept.getAllBlocks().mkString(" ").split())
+    assert rows.count() == 100 and not [f for f in after - before if f.startswith("shuffle")]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    frames.remove(spark, path)
+
+
 def test_repeated_rows_are_each_answered(spark, monkeypatch):
     queries.importable(spark)
     monkeypatch.setattr(language_model, "_COPIES", 4)
