@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -206,6 +207,43 @@ def test_ngrams_leave_a_task_in_few_rows(spark):
     assert language_model.gram_counts(docs, language_model.Model(), [1, 2, 3]).groupBy("size").count().collect() == [(1, 20000)]
 
 
+def test_a_document_is_looked_up_in_one_lot(spark):
+    """A lot is of documents: their texts are hashed once, and the rows that name them are spread over the buckets."""
+    queries.importable(spark)
+    docs = spark.range(0, 300, 1, 12).select(F.xxhash64("id").alias("key"), F.concat_ws(" ", F.lit("one two"), F.col("id")).alias("text"))
+    nothing = spark.createDataFrame([], "h long, c long").toArrow()
+    own = [language_model._asked(docs, nothing, language_model.Model(), k, 3, 64).where("octet_length(keys) > 0").collect() for k in range(3)]
+    keys = [[x for r in rows for x in np.frombuffer(r["keys"], np.int64).tolist()] for rows in own]
+    assert sorted(sum(keys, [])) == sorted(r.key for r in docs.collect()) and all(keys)
+    assert len({r.bucket for r in own[0]}) == len(own[0]) == 12
+    assert {x for r in own[0] for x in np.frombuffer(r["n"], np.int32).tolist()} == {3}
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_words_on_the_edge_of_a_stretch_keep_their_ngrams(monkeypatch, order):
+    """Every word is new in one stretch, has all n-grams that end with it there, and scores as in one stretch."""
+    texts = pa.array(["a b a b a b c", "", "a", None, " ", "b a b c c c a b a", "", "c a b"])
+    model = language_model.Model(order=order)
+
+    def scored(stretch):
+        monkeypatch.setattr(language_model, "_STRETCH", stretch)
+        pieces = [(first, words, n, skip, dict(language_model._chained(words, order))) for first, words, n, skip in language_model._pieces(texts, order)]
+        new = [(size, int(x)) for _, _, n, skip, h in pieces for size in h for e, x in enumerate(h[size].tolist(), size - 1)
+               if (nth := language_model._nth(n)[e]) >= size - 1 and nth >= np.repeat(skip, n)[e]]
+        counts, sums = Counter(new), {}
+        for first, words, n, skip, h in pieces:
+            nth = language_model._nth(n)
+            there = np.array([[counts[size, int(h[size][e - size + 1])] if nth[e] >= size - 1 else 0 for size in h] for e in range(len(words))], np.int64)
+            there[there < model.min_count] = 0
+            for row, *x in zip(range(first, first + len(n)), *language_model._scored(there.reshape(-1, order), n, skip, 20, model)):
+                sums[row] = [a + b for a, b in zip(sums.get(row, [0, 0, 0]), x)]
+        return counts, {row: [round(float(x), 9) for x in y] for row, y in sums.items()}
+
+    whole = scored(1 << 19)
+    assert sorted(whole[1]) == [*range(8)] and [whole[1][r][1] for r in range(8)] == [7, 0, 1, 0, 0, 9, 0, 3]
+    assert all(scored(stretch) == whole for stretch in (1, 2, 3, 5, 7, 19))
+
+
 def test_buckets_follow_the_ngrams_alone(spark):
     queries.importable(spark)
     docs = spark.range(400).select(F.col("id").alias("key"), F.concat_ws(" ", *[F.concat(F.lit(w), "id") for w in "abcdefgh"]).alias("text"))
