@@ -608,7 +608,8 @@ def check_copies_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     views, _ = fresh_database(spark, "seen")
     copies, copied_to = fresh_database(spark, "copied")
     for t in _COPIED:
-        lake.full_refresh(staging.scan(spark, sf_dir, t), source, t, root)
+        with staging.passing(spark, sf_dir, t) as stored:
+            lake.full_refresh(stored, source, t, root)
         lake.full_refresh(spark.table(lake.quoted(source, t)), copies, t, copied_to)
     lake.publish_views(spark, source, views)
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import dataclasses
+import os
 
 import pytest
 
+from lakeproof import session
 from lakeproof.operators import assertions, profile
-from lakeproof.plans import checks, planted, queries_checks, queries_ingest, star, verify
+from lakeproof.plans import checks, planted, queries_checks, queries_ingest, staging, star, verify
 from lakeproof.session import local_frame, new_scratch
 
 
@@ -148,3 +150,44 @@ def test_registered_tables_are_loaded_side_by_side(spark, tmp_path, monkeypatch)
     database = queries_ingest.published(spark, "none", "sidebyside", ("dim_region", "dim_nation"))
     assert asked == [("dim_region", "dim_nation")]
     spark.sql(f"DROP DATABASE `{database}` CASCADE")
+
+
+@pytest.fixture
+def two_tables(spark, tmp_path):
+    """A folder with customers and nations."""
+    spark.sql("SELECT CAST(id AS INT) AS n_nationkey, concat('N', id) AS n_name, CAST(0 AS INT) AS n_regionkey FROM range(3)").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql(
+        "SELECT id AS c_custkey, concat('C, ', id) AS c_name, CAST(id % 3 AS INT) AS c_nationkey, "
+        "if(id % 4 = 0, NULL, id - 20.5D) AS c_acctbal, if(id % 5 = 0, NULL, 'M') AS c_mktsegment FROM range(40)"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    return str(tmp_path)
+
+
+def folders(spark):
+    top = f"{session.scratch_root(spark)}/lakeproof/{spark.sparkContext.applicationId}"
+    return set(os.listdir(top)) if os.path.isdir(top) else set()
+
+
+def test_a_passing_table_leaves_no_staging(spark, two_tables):
+    before = folders(spark)
+    wanted = star.frame(spark, two_tables, "dim_customer")
+    with staging.passing(spark, two_tables, "dim_customer") as stored:
+        assert {f.rsplit("-", 1)[0] for f in folders(spark) - before} == {"passing-lake-dim_customer"}
+        assert stored.exceptAll(wanted).isEmpty() and wanted.exceptAll(stored).isEmpty()
+    assert folders(spark) == before
+    with pytest.raises(ValueError), staging.passing(spark, two_tables, "dim_customer"):
+        raise ValueError
+    assert folders(spark) == before
+    kept = staging.stored(spark, two_tables, "dim_customer")
+    there = folders(spark)
+    with staging.passing(spark, two_tables, "dim_customer") as stored:
+        assert stored.inputFiles()[0].startswith(f"file://{kept}") and stored.count() == 40
+    assert folders(spark) == there and session.exists(spark, kept)
+
+
+def test_copies_are_compared_without_keeping_the_staging(spark, two_tables, monkeypatch):
+    monkeypatch.setattr(queries_checks, "_COPIED", ("dim_nation", "dim_customer"))
+    before = folders(spark)
+    rows = {r.side: (r.status, r.checked, r.failed) for r in queries_checks.check_copies_agree(spark, two_tables).collect()}
+    assert rows == {"clean": ("PASS", 4, 0), "planted": ("FAIL", 5, 2)}
+    assert {f.split("-")[0] for f in folders(spark) - before} == {"original", "copied"}
